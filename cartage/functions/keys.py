@@ -72,10 +72,22 @@ def any_partition(rows: Sequence[Mapping[str, object]], schema: T.StructType) ->
     return reduce(lambda a, b: a | b, terms)
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality over the key columns; Spark plans it as a hash or merge join."""
-    terms = [left[quoted(k)].eqNullSafe(right[quoted(k)]) for k in keys]
-    return reduce(lambda a, b: a & b, terms)
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on null-safe equality of the key columns, as a hash or merge join.
+
+    The right side's keys come out as ``other_key(name)``, so both sides may
+    stem from the same table.
+    """
+    names = set(keys)
+    renamed = right.select(
+        *[F.col(quoted(c)).alias(other_key(c) if c in names else c) for c in right.columns]
+    )
+    terms = [F.col(quoted(k)).eqNullSafe(F.col(quoted(other_key(k)))) for k in keys]
+    return left.join(renamed, reduce(lambda a, b: a & b, terms), how)
+
+
+def other_key(name: str) -> str:
+    return f"__other_{name}"
 
 
 def restrict_to_keys(
@@ -94,7 +106,7 @@ def restrict_to_keys(
             return df.filter(F.lit(False))
         if len(rows) <= max_literals:
             return df.filter(any_partition(rows, df.schema))
-    return df.join(selected, same_key(df, selected, keys), "left_semi")
+    return join_on_keys(df, selected, keys, "left_semi")
 
 
 def key_text(column: Column, dt: T.DataType) -> Column:

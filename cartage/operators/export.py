@@ -28,7 +28,7 @@ from cartage.operators.logs import (
     with_status,
 )
 from cartage.plans.profile import partition_profile
-from cartage.plans.work import MAX_FILE_SIZE, file_count, rows_per_file, wave_ranges, with_slots
+from cartage.plans.work import HASH_SLOTS, MAX_FILE_SIZE, file_count, rows_per_file, wave_ranges, with_slots
 from cartage.session import literal_path, materialize, one_row, path_exists, plan_bytes
 from cartage.sources.tables import select_columns
 
@@ -96,7 +96,7 @@ def analyse_partitions(
         profile = profile.withColumn("input_bytes", estimate)
 
     known = log.current()
-    unseen = profile.join(known.select("part_key"), "part_key", "left_anti") if log.commits() else profile
+    unseen = profile.join(known.select("part_key"), "part_key", "left_anti") if log.exists() else profile
     flat = unseen.select("part_key.*", "part_key", "total_rows", "input_bytes")
     named = assign_path_keys(flat, known.select("path_key"), keys)
     log.append(
@@ -113,7 +113,7 @@ def analyse_partitions(
     return profile
 
 
-def select_partitions(log: StateLog, selection: DataFrame | Column | None = None, note: str = "selected") -> None:
+def select_partitions(log: StateLog, selection: DataFrame | Column | None = None, event: str = "selected") -> None:
     """Mark partitions PENDING: those whose key is in ``selection``, those a
     predicate over the log holds for, or all that are not completed."""
     state = log.current()
@@ -125,7 +125,7 @@ def select_partitions(log: StateLog, selection: DataFrame | Column | None = None
         key = key_struct(log.schema["part_key"].dataType.names)
         chosen = state.join(selection.select(key).distinct(), "part_key", "left_semi")
     log.transition(
-        chosen, note,
+        chosen, event,
         status=F.lit("PENDING"), retry_count=F.lit(0), error_message=F.lit(None), rows_unloaded=F.lit(None),
     )
 
@@ -151,6 +151,8 @@ def distribute(
     columns: Sequence[str] | None = None,
     single_file: bool = True,
     restricted: bool = True,
+    renamed: bool = True,
+    split: bool = True,
 ) -> DataFrame:
     """Rows of the planned partitions, projected for Parquet and placed for the write.
 
@@ -158,6 +160,10 @@ def distribute(
     unless the plan gives it several files because one would pass the size cap;
     its rows are then dealt out over that many tasks. Otherwise a rebalance lets
     AQE merge small partitions and split large ones by what the shuffle weighs.
+
+    A caller that knows better may switch off what its plan does not need:
+    ``restricted`` (the plan leaves some keys of the table out), ``renamed`` (some
+    folder is not named after its key alone), ``split`` (some partition has several files).
     """
     clash = [c for c in _RESERVED if c in df.columns]
     if clash:
@@ -168,32 +174,29 @@ def distribute(
     if restricted:
         rows = restrict_to_keys(rows, plan.select("part_key.*"), keys)
 
-    renamed = plan.filter("path_key <> base_key").select("part_key", "path_key")
-    split = plan.filter("file_count > 1").select("part_key", F.col("file_count").alias(_SALT))
-    has_renamed = bool(renamed.take(1))
-    has_split = single_file and bool(split.take(1))
-
+    split = split and single_file
     wanted = T.StructType([df.schema[c] for c in exported])
     projected = [*compat_columns(wanted), base_path_key(df.schema, keys).alias("path_key")]
-    if has_renamed or has_split:
+    if renamed or split:
         projected.append(key_struct(keys))
-    if has_split:
+    if split:
         projected.append(_row_identity(rows).alias(_ROW))
     rows = rows.select(*projected)
 
     # both lookups hold exceptions only: colliding names, and partitions beyond the
     # size cap (at most table size / cap rows); Spark broadcasts them while they are small
-    if has_renamed:
-        rows = rows.join(renamed.withColumnRenamed("path_key", "__name"), "part_key", "left")
-        rows = rows.withColumn("path_key", F.coalesce("__name", "path_key"))
-    if has_split:
-        rows = rows.join(split, "part_key", "left")
+    if renamed:
+        names = plan.filter("path_key <> base_key").select("part_key", F.col("path_key").alias("__name"))
+        rows = rows.join(names, "part_key", "left").withColumn("path_key", F.coalesce("__name", "path_key"))
+    if split:
+        counts = plan.filter("file_count > 1").select("part_key", F.col("file_count").alias(_SALT))
+        rows = rows.join(counts, "part_key", "left")
         salt = F.when(F.col(_SALT).isNotNull(), F.pmod(F.col(_ROW), F.col(_SALT))).otherwise(F.lit(0))
         rows = rows.withColumn(_SALT, salt)
 
     if not single_file:
         rows = rows.hint("rebalance", "path_key")
-    elif has_split:
+    elif split:
         rows = rows.repartition("path_key", _SALT)
     else:
         rows = rows.repartition("path_key")
@@ -248,25 +251,33 @@ def export_pending(
     """Export every PENDING partition, and those a crashed run left IN_PROGRESS."""
     spark = df.sparkSession
     run = ExportRun(task_id, stage_uri, log)
-    open_items = with_status(log.current(), "PENDING", "IN_PROGRESS").drop("total_rows", "input_bytes", "at", "seq")
+    open_items = with_status(log.current(), "PENDING", "IN_PROGRESS").drop("total_rows", "input_bytes", "event", "at", "seq")
     sized = open_items.join(profile, "part_key", "left").withColumn(
         "total_rows", F.coalesce("total_rows", F.lit(0).cast("bigint"))
     )
     sized = sized.withColumn("file_count", file_count(F.coalesce("input_bytes", F.lit(0)), max_file_size))
-    sized = materialize(sized, f"{log.uri}/plans/{task_id}-sized")
-    totals = sized.agg(
-        F.count(F.lit(1)).alias("n"), F.sum("total_rows").alias("rows"), F.sum("input_bytes").alias("bytes")
+    # a count of the written profile reads footers only; it decides how the work is ordered
+    profiled = profile.count()
+    ordered, ranked = with_slots(sized, profiled, "total_rows", "part_key")
+    plan = materialize(ordered, f"{log.uri}/plans/{task_id}")
+    facts = plan.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("total_rows") > 0).alias("filled"),
+        F.sum("total_rows").alias("rows"),
+        F.sum("input_bytes").alias("bytes"),
+        F.count_if(F.col("path_key") != F.col("base_key")).alias("renamed"),
+        F.count_if(F.col("file_count") > 1).alias("split"),
     ).first()
-    run.total = totals.n
-    if not totals.n:
+    run.total = facts.n
+    if not facts.n:
         return run
-    ordered, slots = with_slots(sized, totals.n, "total_rows", "part_key")
-    plan = materialize(ordered, f"{log.uri}/plans/{task_id}")
-    per_row = (totals.bytes or 0) / totals.rows if totals.rows else 1.0
+    slots = facts.n if ranked else HASH_SLOTS
+    per_row = (facts.bytes or 0) / facts.rows if facts.rows else 1.0
     max_records = rows_per_file(per_row, max_file_size)
     # the source is a snapshot: when every profiled key is open, no filter is needed
-    restricted = bool(profile.join(plan, "part_key", "left_anti").take(1))
-    waves = wave_ranges(totals.n, slots, wave_size)
+    restricted = facts.filled < profiled
+    shape = {"renamed": facts.renamed > 0, "split": facts.split > 0}
+    waves = wave_ranges(facts.n, slots, wave_size)
     waved = len(waves) > 1
     failures: list[str] = []
 
@@ -274,7 +285,7 @@ def export_pending(
         """Slot ranges written and ranges (of one partition each) that failed."""
         narrowed = waved or (lo, hi) != waves[0]
         try:
-            rows = distribute(df, keys, part, columns, single_file, restricted or narrowed)
+            rows = distribute(df, keys, part, columns, single_file, restricted or narrowed, **shape)
             write_partitions(rows, stage_uri, max_records)
             return [(lo, hi)], []
         except Exception as problem:
@@ -315,9 +326,9 @@ def export_pending(
             ended_at=F.lit(None), rows_unloaded=F.lit(None),
         )
         # partitions that lost all their rows since they were analysed have nothing to write
-        filled = wave.filter("total_rows > 0")
+        filled = wave.filter("total_rows > 0") if facts.filled < facts.n else wave
         bad: list[tuple[int, int, str]] = []
-        if filled.take(1):
+        if facts.filled == facts.n and overwrite or filled.take(1):
             _, bad = export_range(lo, hi, filled)
 
         error = F.lit(None).cast("string")
@@ -349,7 +360,7 @@ def export_pending(
     return run
 
 
-def record_run(runs: StateLog, task_id: str, operation: str, status: str, note: str = "", **values) -> None:
+def record_run(runs: StateLog, task_id: str, operation: str, status: str, **values) -> None:
     """Append one state of a run to the registry."""
     row = one_row(runs.spark, task_id=task_id, operation=operation, status=status, **values)
     missing = [f for f in runs.schema if f.name not in row.columns]
@@ -360,7 +371,7 @@ def record_run(runs: StateLog, task_id: str, operation: str, status: str, note:
         "ended_at": now if status in ("COMPLETED", "FAILED") else F.lit(None),
     }
     runs.append(
-        row.select("*", *[stamps.get(f.name, F.lit(None)).alias(f.name) for f in missing]), note or status
+        row.select("*", *[stamps.get(f.name, F.lit(None)).alias(f.name) for f in missing]), status
     )
 
 
@@ -375,6 +386,13 @@ def refuse_concurrent(runs: StateLog, stage_uri: str, takeover: bool) -> None:
         )
 
 
+def refuse_reuse(runs: StateLog, task_id: str | None) -> None:
+    """A run's name marks the folders it writes, so no second run may carry it."""
+    if task_id is not None and runs.exists():
+        if runs.current().filter(F.col("task_id") == task_id).take(1):
+            raise ValueError(f"a run named {task_id} exists already")
+
+
 def export_table(
     df: DataFrame,
     keys: Sequence[str],
@@ -400,8 +418,9 @@ def export_table(
     if not 0 < max_file_size <= MAX_FILE_SIZE:
         raise ValueError(f"max_file_size must be between 1 and {MAX_FILE_SIZE} bytes")
     spark = df.sparkSession
-    task_id = task_id or new_task_id("export")
     runs = run_log(spark, f"{log_uri}/runs")
+    refuse_reuse(runs, task_id)
+    task_id = task_id or new_task_id("export")
     refuse_concurrent(runs, stage_uri, takeover)
     log = open_partition_log(spark, log_uri, df, keys)
     facts = {

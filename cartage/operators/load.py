@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -23,7 +22,7 @@ from pyspark.sql import types as T
 from cartage.functions.paths import relative_path
 from cartage.functions.texts import ERROR_LIMIT, both_failed_message, clip_error, fallback_message
 from cartage.functions.types import bind_by_name
-from cartage.operators.export import TooManyFailures, new_task_id, record_run, refuse_concurrent
+from cartage.operators.export import TooManyFailures, new_task_id, record_run, refuse_concurrent, refuse_reuse
 from cartage.operators.logs import StateLog, with_status
 from cartage.operators.target import (
     ADD_FILES_COPY,
@@ -33,8 +32,8 @@ from cartage.operators.target import (
     RESERVED_FOLDERS,
     Target,
 )
-from cartage.plans.work import wave_ranges, with_slots
-from cartage.session import literal_path, materialize, qualify
+from cartage.plans.work import HASH_SLOTS, wave_ranges, with_slots
+from cartage.session import literal_path, materialize, qualify, session_setting
 from cartage.sources.files import files_only, list_files, open_file, read_footers, spread
 
 _CHUNK = 8 * 1024 * 1024
@@ -61,7 +60,7 @@ def discover(listing: DataFrame, stage_uri: str, log: StateLog, stage_path: str
         relative_path(F.col("path"), stage_path, stage_uri).alias("file_path"),
         "length",
     )
-    if not log.commits():
+    if not log.exists():
         return staged
     return staged.join(log.current().select("source_uri"), "source_uri", "left_anti")
 
@@ -176,17 +175,6 @@ def inspect_files(files: DataFrame, target: Target) -> DataFrame:
     )
 
 
-@contextmanager
-def case_sensitive(spark: SparkSession):
-    """Exact column names for the jobs inside; the session's own setting comes back."""
-    before = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", before)
-
-
 def read_bound(spark: SparkSession, file_schema: str, paths: list[str], schema: T.StructType) -> DataFrame:
     """Files of one physical schema, bound to the table's columns by exact name."""
     files = spark.read.schema(file_schema).option("recursiveFileLookup", "true")
@@ -241,7 +229,7 @@ def ingest(files: list[Row], target: Target, load_id: str, max_failures: int = 3
         middle = len(accepted) // 2
         return refused + attempt(accepted[:middle], f"{name}a") + attempt(accepted[middle:], f"{name}b")
 
-    with case_sensitive(spark):
+    with session_setting(spark, "spark.sql.caseSensitive", "true"):
         return attempt(files, load_id)
 
 
@@ -285,8 +273,8 @@ def copy_files(files: DataFrame, folder: str) -> DataFrame:
     return spread(files.select("source_uri", "length")).mapInPandas(copy, "source_uri string, problem string")
 
 
-def _settle(log: StateLog, files: DataFrame, note: str, **changes: Column) -> None:
-    log.transition(files, note, ended_at=F.current_timestamp(), **changes)
+def _settle(log: StateLog, files: DataFrame, event: str, **changes: Column) -> None:
+    log.transition(files, event, ended_at=F.current_timestamp(), **changes)
 
 
 def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str, load_id: str, max_failures: int) -> None:
@@ -383,9 +371,10 @@ def import_files(
     if log_mode not in ("reuse", "fresh"):
         raise ValueError("log_mode is 'reuse' or 'fresh'")
     stage_uri = qualify(spark, stage_uri)
+    runs, log = target.runs, target.files
+    refuse_reuse(runs, task_id)
     task_id = task_id or new_task_id("import")
     run = ImportRun(task_id, target)
-    runs, log = target.runs, target.files
     refuse_concurrent(runs, stage_uri, takeover)
     facts = {
         "target": target.base_uri,
@@ -400,12 +389,11 @@ def import_files(
         enqueue(discover(listing, stage_uri, log, stage_path), log, task_id)
         # files a crashed run left behind count as pending: nothing of theirs was published
         pending = with_status(log.current(), "PENDING", "IN_PROGRESS", "RETRYING_FULL_INGEST")
-        pending = materialize(pending.drop("at", "seq"), f"{log.uri}/plans/{task_id}-pending")
         run.total = pending.count()
         if run.total:
-            ordered, slots = with_slots(pending, run.total, "source_uri")
+            ordered, ranked = with_slots(pending.drop("event", "at", "seq"), run.total, "source_uri")
             plan = materialize(ordered, f"{log.uri}/plans/{task_id}")
-            ranges = wave_ranges(run.total, slots, wave_size)
+            ranges = wave_ranges(run.total, run.total if ranked else HASH_SLOTS, wave_size)
             for number, (lo, hi) in enumerate(ranges):
                 wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if len(ranges) > 1 else plan
                 import_wave(wave.drop("slot"), target, log, load_mode, f"{task_id}-{number}", max_failures)

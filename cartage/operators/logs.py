@@ -1,16 +1,17 @@
 """Append-only state logs.
 
 Spark's Parquet tables have no UPDATE, and a log that is only appended to keeps
-the whole history for audits. Every append writes one folder ``seq=N`` and then
-a one-row commit file; rows without a commit are invisible, so an append is seen
-whole or not at all, whichever executor dies meanwhile. The current state of a
-key is its row with the highest ``seq``.
+the whole history for audits. Every append writes one folder ``seq=N``; the
+write job marks the folder as its very last step, and folders without that mark
+are ignored. An append is therefore seen whole or not at all, whichever executor
+dies meanwhile. The current state of a key is its row with the highest ``seq``.
 
 One writer per log at a time; readers are free.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,15 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartage.functions.types import quoted
-from cartage.session import literal_path, one_row, path_exists
+from cartage.session import glob_paths, literal_path
 
 # States of partitions, files and runs.
 PARTITION_STATES = ("NOT_SELECTED", "PENDING", "IN_PROGRESS", "COMPLETED", "FAILED")
 FILE_STATES = ("PENDING", "IN_PROGRESS", "RETRYING_FULL_INGEST", "SUCCESS", "FAILED")
 RUN_STATES = ("CREATED", "RUNNING", "COMPLETED", "FAILED", "SUSPENDED")
 
-_COMMITS = "seq bigint, generation int, note string, at timestamp"
-
 PARTITION_COLUMNS = (
     "base_key string, path_key string, status string, task_id string, total_rows bigint, "
     "rows_unloaded bigint, input_bytes bigint, output_bytes bigint, file_count bigint, "
@@ -69,36 +68,33 @@ class StateLog:
     def _items(self) -> str:
         return f"{self.uri}/items"
 
-    @property
-    def _marks(self) -> str:
-        return f"{self.uri}/commits"
+    def _folder(self, generation: int, seq: int) -> str:
+        return f"{self._items}/generation={generation}/seq={seq}"
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self._marks)
+        return bool(self.commits())
 
     def commits(self) -> list[tuple[int, int]]:
-        """``(seq, generation)`` of every append; a handful of rows per run."""
+        """``(generation, seq)`` of every complete append; a handful per run."""
         if self._commits is None:
-            rows = []
-            if self.exists():
-                marks = self.spark.read.schema(_COMMITS).parquet(literal_path(self._marks))
-                rows = marks.select("seq", "generation").collect()
-            self._commits = sorted((r.seq, r.generation) for r in rows)
+            marks = glob_paths(self.spark, f"{self._items}/generation=*/seq=*/_SUCCESS")
+            found = [re.search(r"/generation=(\d+)/seq=(\d+)/_SUCCESS$", m) for m in marks]
+            self._commits = sorted((int(m[1]), int(m[2])) for m in found)
         return self._commits
 
     def _generation(self) -> int:
-        return max((g for _, g in self.commits()), default=0)
+        return max((g for g, _ in self.commits()), default=0)
 
     def history(self) -> DataFrame:
-        """Every row of the current generation, with the ``seq`` of its append."""
+        """Every row of the current generation, with the ``seq`` and event of its append."""
         generation = self._generation()
-        folders = [f"{self._items}/seq={s}" for s, g in self.commits() if g == generation]
-        schema = T.StructType([*self.schema, *ddl_schema("at timestamp, seq bigint")])
+        folders = [self._folder(g, s) for g, s in self.commits() if g == generation]
+        schema = T.StructType([*self.schema, *ddl_schema("event string, at timestamp, seq bigint")])
         if not folders:
             return self.spark.createDataFrame([], schema)
         return (
             self.spark.read.schema(schema)
-            .option("basePath", self._items)
+            .option("basePath", f"{self._items}/generation={generation}")
             .parquet(*[literal_path(f) for f in folders])
             .select(*schema.names)
         )
@@ -106,29 +102,30 @@ class StateLog:
     def current(self) -> DataFrame:
         return fold(self.history(), self.keys)
 
-    def append(self, rows: DataFrame, note: str = "", generation: int | None = None) -> int:
-        """Add state rows; they become visible together once their commit is written."""
+    def append(self, rows: DataFrame, event: str = "", generation: int | None = None) -> int:
+        """Add state rows; they become visible together when the write job is done."""
         known = self.commits()
         generation = self._generation() if generation is None else generation
-        seq = max((s for s, _ in known), default=0) + 1
+        seq = max((s for _, s in known), default=0) + 1
         shaped = rows.select(
             *[F.col(quoted(f.name)).cast(f.dataType) for f in self.schema],
+            F.lit(event).alias("event"),
             F.current_timestamp().alias("at"),
         )
-        # a crash before the commit leaves an orphan folder that this overwrite replaces
-        shaped.write.mode("overwrite").parquet(f"{self._items}/seq={seq}")
-        mark = one_row(self.spark, seq=seq, generation=generation, note=note)
-        mark.select(
-            F.col("seq").cast("bigint"), F.col("generation").cast("int"), "note", F.current_timestamp().alias("at")
-        ).write.mode("append").parquet(self._marks)
-        known.append((seq, generation))
+        # a crash half way leaves an unmarked folder, which this overwrite replaces
+        (
+            shaped.write.mode("overwrite")
+            .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+            .parquet(self._folder(generation, seq))
+        )
+        known.append((generation, seq))
         return seq
 
-    def transition(self, rows: DataFrame, note: str = "", **changes: Column) -> int:
+    def transition(self, rows: DataFrame, event: str = "", **changes: Column) -> int:
         """Append ``rows`` (in the log's shape) with some columns changed."""
         kept = [F.col(quoted(f.name)) for f in self.schema if f.name not in changes]
         changed = [value.alias(name) for name, value in changes.items()]
-        return self.append(rows.select(*kept, *changed), note)
+        return self.append(rows.select(*kept, *changed), event)
 
     def start_fresh(self) -> None:
         """Begin a new generation: earlier rows stay on disk but no longer count."""

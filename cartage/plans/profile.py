@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartage.functions.keys import same_key
+from cartage.functions.keys import join_on_keys
 from cartage.functions.types import quoted, row_bytes
 
 
@@ -40,4 +40,4 @@ def partition_bytes(df: DataFrame, keys: Sequence[str], columns: Sequence[str] |
 
 def new_partitions(profile: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Profile rows whose key no log row holds; a NULL key matches a logged NULL key."""
-    return profile.join(known, same_key(profile, known, keys), "left_anti")
+    return join_on_keys(profile, known, keys, "left_anti")

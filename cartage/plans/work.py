@@ -38,11 +38,16 @@ def ranked_waves(
     return profile.withColumn("wave", F.floor(rank / wave_size).cast("int"))
 
 
-def with_slots(plan: DataFrame, total: int, *order: str) -> tuple[DataFrame, int]:
-    """Add ``slot``, a position on a line that waves cut into ranges, and its upper bound."""
-    if total <= MAX_RANKED:
-        return plan.withColumn("slot", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint")), total
-    return plan.withColumn("slot", F.pmod(F.xxhash64(*order), F.lit(HASH_SLOTS))), HASH_SLOTS
+def with_slots(plan: DataFrame, about: int, *order: str) -> tuple[DataFrame, bool]:
+    """Add ``slot``, a position on a line that waves cut into ranges.
+
+    With ``about`` rows in the plan: their rank if they may be sorted in one
+    task (then the answer is ``True``), else a hash.
+    """
+    if about <= MAX_RANKED:
+        rank = F.row_number().over(Window.orderBy(*order)) - 1
+        return plan.withColumn("slot", rank.cast("bigint")), True
+    return plan.withColumn("slot", F.pmod(F.xxhash64(*order), F.lit(HASH_SLOTS))), False
 
 
 def wave_ranges(total: int, slots: int, wave_size: int | None) -> list[tuple[int, int]]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,13 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a Hadoop glob pattern."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
+
+
 def materialize(df: DataFrame, uri: str) -> DataFrame:
     """Write ``df`` once and hand back the written table (cuts lineage, survives lost executors)."""
     df.write.mode("overwrite").parquet(uri)
@@ -96,3 +104,17 @@ def materialize(df: DataFrame, uri: str) -> DataFrame:
 def one_row(spark: SparkSession, **values) -> DataFrame:
     """A single-row frame built on the JVM side."""
     return spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+
+
+@contextmanager
+def session_setting(spark: SparkSession, name: str, value: str):
+    """A runtime setting for the jobs inside; the session's own value comes back."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
