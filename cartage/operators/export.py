@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,12 +29,14 @@ from cartage.operators.logs import (
 )
 from cartage.plans.profile import partition_profile
 from cartage.plans.work import HASH_SLOTS, MAX_FILE_SIZE, file_count, rows_per_file, wave_ranges, with_slots
-from cartage.session import literal_path, materialize, one_row, path_exists, plan_bytes
+from cartage.session import glob_paths, literal_path, materialize, one_row, path_exists, plan_bytes
 from cartage.sources.tables import select_columns
 
+_HEADROOM = 0.9
+_LISTED_FOLDERS = 10_000
 _ROW = "__row"
-_SALT = "__salt"
-_RESERVED = ("path_key", _ROW, _SALT)
+_FIRST = "__first_task"
+_RESERVED = ("path_key", "part_key", "file_count", _ROW, _FIRST)
 
 
 @dataclass
@@ -74,14 +76,21 @@ def open_partition_log(spark: SparkSession, log_uri: str, df: DataFrame, keys: S
 
 
 def analyse_partitions(
-    df: DataFrame, keys: Sequence[str], log: StateLog, task_id: str, measure_bytes: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    log: StateLog,
+    task_id: str,
+    measure_bytes: bool = False,
+    initial: str = "NOT_SELECTED",
 ) -> DataFrame:
     """Profile the table and add the partitions the log does not know yet.
 
-    Returns the written profile ``(part_key, total_rows, input_bytes)``. Known
-    partitions keep their state and folder; new ones start as NOT_SELECTED.
+    Returns the written profile ``(part_key, total_rows, input_bytes)``; the bytes are
+    a share of the table's file size unless they are measured, or have to be. Known
+    partitions keep their state and folder; new ones start as ``initial``.
     """
-    spark = df.sparkSession
+    size = None if measure_bytes else plan_bytes(df)
+    measure_bytes = size is None
     counts = partition_profile(df, keys, measure_bytes=measure_bytes)
     if not measure_bytes:
         # share of the table's size by rows; good enough to plan file counts
@@ -91,7 +100,7 @@ def analyse_partitions(
     )
     if not measure_bytes:
         total = profile.agg(F.sum("total_rows")).first()[0] or 0
-        per_row = plan_bytes(df) / total if total else 0.0
+        per_row = size / total if total else 0.0
         estimate = F.ceil(F.col("total_rows") * F.lit(per_row)).cast("bigint")
         profile = profile.withColumn("input_bytes", estimate)
 
@@ -102,7 +111,7 @@ def analyse_partitions(
     log.append(
         named.select(
             "part_key", "base_key", "path_key", "total_rows", "input_bytes",
-            F.lit("NOT_SELECTED").alias("status"),
+            F.lit(initial).alias("status"),
             F.lit(task_id).alias("task_id"),
             F.lit(0).alias("retry_count"),
             *[F.lit(None).alias(c) for c in (
@@ -144,6 +153,14 @@ def _row_identity(df: DataFrame) -> Column:
                             else F.col(quoted(f.name)) for f in df.schema])
 
 
+def checked_columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
+    """The columns to export, after a look at their names."""
+    clash = [c for c in _RESERVED if c in df.columns]
+    if clash:
+        raise ValueError(f"column names reserved by the export: {', '.join(clash)}")
+    return select_columns(df, columns).columns
+
+
 def distribute(
     df: DataFrame,
     keys: Sequence[str],
@@ -165,22 +182,18 @@ def distribute(
     ``restricted`` (the plan leaves some keys of the table out), ``renamed`` (some
     folder is not named after its key alone), ``split`` (some partition has several files).
     """
-    clash = [c for c in _RESERVED if c in df.columns]
-    if clash:
-        raise ValueError(f"column names reserved by the export: {', '.join(clash)}")
-    exported = [c.strip() for c in (columns or df.columns)]
-    select_columns(df, exported)
-    rows = df
+    exported = checked_columns(df, columns)
+    split = split and single_file
+    rows = df.withColumn(_ROW, _row_identity(df)) if split else df
     if restricted:
         rows = restrict_to_keys(rows, plan.select("part_key.*"), keys)
 
-    split = split and single_file
     wanted = T.StructType([df.schema[c] for c in exported])
     projected = [*compat_columns(wanted), base_path_key(df.schema, keys).alias("path_key")]
     if renamed or split:
         projected.append(key_struct(keys))
     if split:
-        projected.append(_row_identity(rows).alias(_ROW))
+        projected.append(F.col(_ROW))
     rows = rows.select(*projected)
 
     # both lookups hold exceptions only: colliding names, and partitions beyond the
@@ -189,20 +202,34 @@ def distribute(
         names = plan.filter("path_key <> base_key").select("part_key", F.col("path_key").alias("__name"))
         rows = rows.join(names, "part_key", "left").withColumn("path_key", F.coalesce("__name", "path_key"))
     if split:
-        counts = plan.filter("file_count > 1").select("part_key", F.col("file_count").alias(_SALT))
-        rows = rows.join(counts, "part_key", "left")
-        salt = F.when(F.col(_SALT).isNotNull(), F.pmod(F.col(_ROW), F.col(_SALT))).otherwise(F.lit(0))
-        rows = rows.withColumn(_SALT, salt)
-
-    if not single_file:
-        rows = rows.hint("rebalance", "path_key")
-    elif split:
-        rows = rows.repartition("path_key", _SALT)
-    else:
+        rows = _deal_out(rows, plan)
+    elif single_file:
         rows = rows.repartition("path_key")
+    else:
+        rows = rows.hint("rebalance", "path_key")
     return rows.select(*[F.col(quoted(c)) for c in exported], "path_key")
 
 
+def _deal_out(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """One task per folder, but one task per planned file for a partition of several files.
+
+    Each of those files has a task of its own: hashing partition and file number
+    together would now and then bring two files into one task, and so into one file.
+    """
+    several = plan.filter("file_count > 1")
+    before = Window.orderBy("part_key").rowsBetween(Window.unboundedPreceding, -1)
+    # at most table size / size cap rows, so one task may add them up
+    offsets = several.select(
+        "part_key", "file_count", F.coalesce(F.sum("file_count").over(before), F.lit(0)).alias(_FIRST)
+    )
+    extra = several.agg(F.sum("file_count")).first()[0] or 0
+    shared = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own_task = F.lit(shared) + F.col(_FIRST) + F.pmod(F.col(_ROW), F.col("file_count"))
+    task = F.when(F.col(_FIRST).isNotNull(), own_task).otherwise(F.pmod(F.xxhash64("path_key"), F.lit(shared)))
+    joined = rows.join(offsets, "part_key", "left")
+    return joined.repartitionById(shared + int(extra), task.cast("int"))
+
+
 def write_partitions(rows: DataFrame, stage_uri: str, max_records_per_file: int) -> None:
     """Replace exactly the folders that ``rows`` has partitions for."""
     (
@@ -220,13 +247,23 @@ def read_staged(spark: SparkSession, stage_uri: str, schema: T.StructType) -> Da
     return spark.read.schema(full).parquet(literal_path(stage_uri))
 
 
-def staged_counts(spark: SparkSession, stage_uri: str) -> DataFrame:
-    """Rows, files and bytes per folder, read from footers alone (no column is decoded)."""
-    if not path_exists(spark, stage_uri):
+def staged_counts(spark: SparkSession, stage_uri: str, folders: DataFrame | None = None) -> DataFrame:
+    """Rows, files and bytes per folder, read from footers alone (no column is decoded).
+
+    With ``folders`` (a table of ``path_key``, at most a wave) only those are listed.
+    """
+    found = glob_paths(spark, f"{stage_uri}/path_key=*") if path_exists(spark, stage_uri) else []
+    if folders is not None:
+        wanted = {f"path_key={r.path_key}" for r in folders.select("path_key").collect()}
+        found = [f for f in found if f.rsplit("/", 1)[-1] in wanted]
+    if not found:
         return spark.createDataFrame([], "path_key string, rows bigint, files bigint, bytes bigint")
-    scan = spark.read.schema("path_key string").parquet(literal_path(stage_uri))
-    per_file = scan.groupBy("path_key", F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("size")
+    reader = spark.read.schema("path_key string").option("basePath", stage_uri)
+    paths = [stage_uri] if folders is None else found
+    per_file = (
+        reader.parquet(*[literal_path(p) for p in paths])
+        .groupBy("path_key", F.col("_metadata.file_path").alias("file"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("size"))
     )
     return per_file.groupBy("path_key").agg(
         F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")
@@ -255,7 +292,7 @@ def export_pending(
     sized = open_items.join(profile, "part_key", "left").withColumn(
         "total_rows", F.coalesce("total_rows", F.lit(0).cast("bigint"))
     )
-    sized = sized.withColumn("file_count", file_count(F.coalesce("input_bytes", F.lit(0)), max_file_size))
+    sized = sized.withColumn("file_count", file_count(F.coalesce("input_bytes", F.lit(0)), max_file_size, _HEADROOM))
     # a count of the written profile reads footers only; it decides how the work is ordered
     profiled = profile.count()
     ordered, ranked = with_slots(sized, profiled, "total_rows", "part_key")
@@ -263,8 +300,8 @@ def export_pending(
     facts = plan.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("total_rows") > 0).alias("filled"),
-        F.sum("total_rows").alias("rows"),
-        F.sum("input_bytes").alias("bytes"),
+        F.max(F.col("input_bytes") / F.col("total_rows")).alias("widest"),
+        F.max(F.when(F.col("file_count") == 1, F.col("total_rows"))).alias("longest"),
         F.count_if(F.col("path_key") != F.col("base_key")).alias("renamed"),
         F.count_if(F.col("file_count") > 1).alias("split"),
     ).first()
@@ -272,8 +309,11 @@ def export_pending(
     if not facts.n:
         return run
     slots = facts.n if ranked else HASH_SLOTS
-    per_row = (facts.bytes or 0) / facts.rows if facts.rows else 1.0
-    max_records = rows_per_file(per_row, max_file_size)
+    # the cap in rows holds for the partition with the widest rows, but
+    # must not cut a partition that was found to fit into its single file
+    max_records = rows_per_file(facts.widest or 1.0, max_file_size)
+    if single_file:
+        max_records = max(max_records, facts.longest or 1)
     # the source is a snapshot: when every profiled key is open, no filter is needed
     restricted = facts.filled < profiled
     shape = {"renamed": facts.renamed > 0, "split": facts.split > 0}
@@ -289,7 +329,7 @@ def export_pending(
             write_partitions(rows, stage_uri, max_records)
             return [(lo, hi)], []
         except Exception as problem:
-            if part.count() <= 1:
+            if hi - lo <= 1 or part.count() <= 1:
                 failures.append(str(problem)[:ERROR_LIMIT])
                 if len(failures) > max_failures:
                     raise TooManyFailures(failures[-1]) from problem
@@ -304,11 +344,15 @@ def export_pending(
                 bad += bad_ranges
         return done, bad
 
+    def counts_of(wave: DataFrame) -> DataFrame:
+        """Staged counts; a small wave out of many does not list the whole stage."""
+        listed = wave if waved and wave_size <= _LISTED_FOLDERS else None
+        return staged_counts(spark, stage_uri, listed)
+
     for lo, hi in waves:
         wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if waved else plan
-        refused = None
         if not overwrite:
-            present = staged_counts(spark, stage_uri).select("path_key")
+            present = counts_of(wave).select("path_key")
             refused = wave.join(present, "path_key", "left_semi")
             wave = wave.join(present, "path_key", "left_anti")
             refused = materialize(refused, f"{log.uri}/plans/{task_id}-refused-{lo}")
@@ -334,11 +378,7 @@ def export_pending(
         error = F.lit(None).cast("string")
         for a, b, text in bad:
             error = F.when((F.col("slot") >= a) & (F.col("slot") < b), F.lit(text)).otherwise(error)
-        counted = staged_counts(spark, stage_uri)
-        if waved:
-            # fetch the counts of this wave's folders only; a small key table prunes the others
-            counted = counted.join(wave.select("path_key"), "path_key", "left_semi")
-        settled = wave.join(counted, "path_key", "left").withColumn("problem", error)
+        settled = wave.join(counts_of(wave), "path_key", "left").withColumn("problem", error)
         ok = F.col("problem").isNull()
         written = ok & (F.col("total_rows") > 0)
         nothing = F.lit(0).cast("bigint")
@@ -417,12 +457,13 @@ def export_table(
         raise ValueError("log_mode is 'reuse' or 'fresh'")
     if not 0 < max_file_size <= MAX_FILE_SIZE:
         raise ValueError(f"max_file_size must be between 1 and {MAX_FILE_SIZE} bytes")
+    checked_columns(df, columns)
+    log = open_partition_log(df.sparkSession, log_uri, df, keys)
     spark = df.sparkSession
     runs = run_log(spark, f"{log_uri}/runs")
     refuse_reuse(runs, task_id)
     task_id = task_id or new_task_id("export")
     refuse_concurrent(runs, stage_uri, takeover)
-    log = open_partition_log(spark, log_uri, df, keys)
     facts = {
         "source": source,
         "stage_uri": stage_uri,
@@ -441,8 +482,12 @@ def export_table(
     try:
         if log_mode == "fresh":
             log.start_fresh()
-        profile = analyse_partitions(df, keys, log, task_id, measure_bytes)
-        select_partitions(log, selection)
+        # with nothing logged and nothing to choose, all partitions start out selected
+        choose = selection is not None or log.exists()
+        initial = "NOT_SELECTED" if choose else "PENDING"
+        profile = analyse_partitions(df, keys, log, task_id, measure_bytes, initial)
+        if choose:
+            select_partitions(log, selection)
         run = export_pending(
             df, keys, stage_uri, log, profile, task_id,
             columns=columns, overwrite=overwrite, single_file=single_file,

@@ -57,9 +57,14 @@ def wave_ranges(total: int, slots: int, wave_size: int | None) -> list[tuple[int
     return [(lo, min(lo + width, slots)) for lo in range(0, slots, width)] if slots else []
 
 
-def file_count(estimated_bytes: Column, max_file_size: int) -> Column:
-    """Files a partition needs so that none exceeds the size cap."""
-    return F.greatest(F.ceil(estimated_bytes / F.lit(max_file_size)), F.lit(1)).cast("bigint")
+def file_count(estimated_bytes: Column, max_file_size: int, headroom: float = 1.0) -> Column:
+    """Files a partition needs so that none exceeds the size cap.
+
+    Rows dealt out by hash do not split evenly to the row; with ``headroom``
+    below 1 the files of a split partition are planned that much smaller.
+    """
+    split = F.ceil(estimated_bytes / F.lit(max_file_size * headroom))
+    return F.when(estimated_bytes <= max_file_size, F.lit(1)).otherwise(split).cast("bigint")
 
 
 def rows_per_file(row_bytes: float, max_file_size: int) -> int:

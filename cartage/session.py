@@ -23,7 +23,13 @@ RECOMMENDED = {
 }
 
 
-def local_session(app: str = "cartage", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+# sources that cannot tell their size report one near the largest long
+_UNKNOWN_SIZE = 1 << 60
+
+
+def local_session(
+    app: str = "cartage", cores: str = "*", shuffle_partitions: int = 8, java_options: str = ""
+) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -33,6 +39,8 @@ def local_session(app: str = "cartage", cores: str = "*", shuffle_partitions: in
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
+    if java_options:
+        builder = builder.config("spark.driver.extraJavaOptions", java_options)
     for name, value in RECOMMENDED.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
@@ -71,16 +79,18 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; for a file scan this is the size of the files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def plan_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a table: the size of its files, scaled by the columns kept.
 
-
-def read_or_empty(spark: SparkSession, schema, *paths: str, **options) -> DataFrame:
-    """Read Parquet with a fixed schema; a folder nobody wrote yet is an empty table."""
-    if not paths or not any(path_exists(spark, p) for p in paths):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).options(**options).parquet(*paths)
+    ``None`` where the estimate means nothing: sources without a known size, and
+    plans (joins, say) whose estimate has run away from what they read.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves, read = plan.collectLeaves().iterator(), 0
+    while leaves.hasNext():
+        read += int(leaves.next().stats().sizeInBytes())
+    estimate = int(plan.stats().sizeInBytes())
+    return estimate if estimate <= 4 * read < _UNKNOWN_SIZE else None
 
 
 def path_exists(spark: SparkSession, uri: str) -> bool:
