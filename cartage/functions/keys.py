@@ -173,14 +173,18 @@ def path_collisions(profile: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def assign_path_keys(new_keys: DataFrame, taken: DataFrame, keys: Sequence[str]) -> DataFrame:
+def assign_path_keys(
+    new_keys: DataFrame, taken: DataFrame, keys: Sequence[str], parent: str | None = None
+) -> DataFrame:
     """Add ``base_key`` and ``path_key`` to new keys.
 
     A key keeps the plain folder name unless another new key sanitizes to the
     same name or an earlier run already gave the name away; then a digest of the
-    key is appended. ``taken`` holds the ``path_key`` of the keys known so far.
+    key is appended. ``taken`` holds the ``path_key`` of the keys known so far;
+    ``parent`` names the struct that holds the key columns, if one does.
     """
-    based = new_keys.withColumn("base_key", base_path_key(new_keys.schema, keys))
+    schema = new_keys.schema[parent].dataType if parent else new_keys.schema
+    based = new_keys.withColumn("base_key", base_path_key(schema, keys, parent))
     clashing = (
         based.groupBy("base_key")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -188,7 +192,7 @@ def assign_path_keys(new_keys: DataFrame, taken: DataFrame, keys: Sequence[str])
         .filter("n > 1 or used")
         .select("base_key", F.lit(True).alias("clash"))
     )
-    digest = key_digest(new_keys.schema, keys)
+    digest = key_digest(schema, keys, parent)
     return based.join(clashing, "base_key", "left").select(
         *[F.col(quoted(c)) for c in new_keys.columns],
         "base_key",

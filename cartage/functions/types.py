@@ -187,16 +187,31 @@ def target_schema(schema: T.StructType, integers: str = "keep") -> T.StructType:
     return T.StructType([T.StructField(f.name, target_type(f.dataType, integers)) for f in schema])
 
 
+def fitted(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``value`` as type ``want``; struct fields are matched by name, not by position."""
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType) and not is_offset_timestamp(have):
+        present = {f.name: f.dataType for f in have}
+        fields = [
+            (fitted(value.getField(f.name), present[f.name], f.dataType) if f.name in present
+             else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(value, lambda x: fitted(x, have.elementType, want.elementType))
+    return parquet_value(value, have).cast(want)
+
+
 def bind_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` from ``df`` by exact name: missing is NULL, extra is dropped."""
     present = {f.name: f.dataType for f in df.schema}
     out = []
     for field in schema:
         if field.name in present:
-            value = parquet_value(F.col(quoted(field.name)), present[field.name])
+            value = fitted(F.col(quoted(field.name)), present[field.name], field.dataType)
         else:
-            value = F.lit(None)
-        out.append(value.cast(field.dataType).alias(field.name))
+            value = F.lit(None).cast(field.dataType)
+        out.append(value.alias(field.name))
     return df.select(*out)
 
 

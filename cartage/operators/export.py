@@ -20,15 +20,14 @@ from pyspark.sql import types as T
 
 from cartage.functions.keys import assign_path_keys, base_path_key, restrict_to_keys
 from cartage.functions.texts import ERROR_LIMIT
-from cartage.functions.types import compat_columns, quoted
+from cartage.functions.types import compat_columns, quoted, row_bytes
 from cartage.operators.logs import (
     StateLog,
     partition_log,
     run_log,
     with_status,
 )
-from cartage.plans.profile import partition_profile
-from cartage.plans.work import HASH_SLOTS, MAX_FILE_SIZE, file_count, rows_per_file, wave_ranges, with_slots
+from cartage.plans.work import MAX_FILE_SIZE, file_count, rows_per_file, wave_ranges, with_rank
 from cartage.session import glob_paths, literal_path, materialize, one_row, path_exists, plan_bytes
 from cartage.sources.tables import select_columns
 
@@ -91,13 +90,12 @@ def analyse_partitions(
     """
     size = None if measure_bytes else plan_bytes(df)
     measure_bytes = size is None
-    counts = partition_profile(df, keys, measure_bytes=measure_bytes)
-    if not measure_bytes:
-        # share of the table's size by rows; good enough to plan file counts
-        counts = counts.withColumn("input_bytes", F.lit(None).cast("bigint"))
-    profile = materialize(
-        counts.select(key_struct(keys), "total_rows", "input_bytes"), f"{log.uri}/profiles/{task_id}"
+    # grouped by the key as one value, so no key column can clash with a counter's name
+    keyed = df.select(key_struct(keys), row_bytes(df.schema).alias("bytes") if measure_bytes else F.lit(None).alias("bytes"))
+    counts = keyed.groupBy("part_key").agg(
+        F.count(F.lit(1)).alias("total_rows"), F.sum(F.col("bytes").cast("bigint")).alias("input_bytes")
     )
+    profile = materialize(counts, f"{log.uri}/profiles/{task_id}")
     if not measure_bytes:
         total = profile.agg(F.sum("total_rows")).first()[0] or 0
         per_row = size / total if total else 0.0
@@ -106,8 +104,7 @@ def analyse_partitions(
 
     known = log.current()
     unseen = profile.join(known.select("part_key"), "part_key", "left_anti") if log.exists() else profile
-    flat = unseen.select("part_key.*", "part_key", "total_rows", "input_bytes")
-    named = assign_path_keys(flat, known.select("path_key"), keys)
+    named = assign_path_keys(unseen, known.select("path_key"), keys, "part_key")
     log.append(
         named.select(
             "part_key", "base_key", "path_key", "total_rows", "input_bytes",
@@ -293,9 +290,9 @@ def export_pending(
         "total_rows", F.coalesce("total_rows", F.lit(0).cast("bigint"))
     )
     sized = sized.withColumn("file_count", file_count(F.coalesce("input_bytes", F.lit(0)), max_file_size, _HEADROOM))
-    # a count of the written profile reads footers only; it decides how the work is ordered
+    # a count of the written profile reads footers only; it tells how the work is to be ordered
     profiled = profile.count()
-    ordered, ranked = with_slots(sized, profiled, "total_rows", "part_key")
+    ordered = with_rank(sized, ["total_rows", "part_key"], f"{log.uri}/plans/{task_id}-ranges", profiled)
     plan = materialize(ordered, f"{log.uri}/plans/{task_id}")
     facts = plan.agg(
         F.count(F.lit(1)).alias("n"),
@@ -308,7 +305,6 @@ def export_pending(
     run.total = facts.n
     if not facts.n:
         return run
-    slots = facts.n if ranked else HASH_SLOTS
     # the cap in rows holds for the partition with the widest rows, but
     # must not cut a partition that was found to fit into its single file
     max_records = rows_per_file(facts.widest or 1.0, max_file_size)
@@ -317,7 +313,7 @@ def export_pending(
     # the source is a snapshot: when every profiled key is open, no filter is needed
     restricted = facts.filled < profiled
     shape = {"renamed": facts.renamed > 0, "split": facts.split > 0}
-    waves = wave_ranges(facts.n, slots, wave_size)
+    waves = wave_ranges(facts.n, wave_size)
     waved = len(waves) > 1
     failures: list[str] = []
 
@@ -329,7 +325,7 @@ def export_pending(
             write_partitions(rows, stage_uri, max_records)
             return [(lo, hi)], []
         except Exception as problem:
-            if hi - lo <= 1 or part.count() <= 1:
+            if hi - lo <= 1:
                 failures.append(str(problem)[:ERROR_LIMIT])
                 if len(failures) > max_failures:
                     raise TooManyFailures(failures[-1]) from problem

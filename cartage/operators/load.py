@@ -32,7 +32,7 @@ from cartage.operators.target import (
     RESERVED_FOLDERS,
     Target,
 )
-from cartage.plans.work import HASH_SLOTS, wave_ranges, with_slots
+from cartage.plans.work import wave_ranges, with_rank
 from cartage.session import literal_path, materialize, qualify, session_setting
 from cartage.sources.files import files_only, list_files, open_file, read_footers, spread
 
@@ -391,9 +391,11 @@ def import_files(
         pending = with_status(log.current(), "PENDING", "IN_PROGRESS", "RETRYING_FULL_INGEST")
         run.total = pending.count()
         if run.total:
-            ordered, ranked = with_slots(pending.drop("event", "at", "seq"), run.total, "source_uri")
+            ordered = with_rank(
+                pending.drop("event", "at", "seq"), ["source_uri"], f"{log.uri}/plans/{task_id}-ranges", run.total
+            )
             plan = materialize(ordered, f"{log.uri}/plans/{task_id}")
-            ranges = wave_ranges(run.total, run.total if ranked else HASH_SLOTS, wave_size)
+            ranges = wave_ranges(run.total, wave_size)
             for number, (lo, hi) in enumerate(ranges):
                 wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if len(ranges) > 1 else plan
                 import_wave(wave.drop("slot"), target, log, load_mode, f"{task_id}-{number}", max_failures)

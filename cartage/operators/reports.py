@@ -51,6 +51,11 @@ def run_progress(runs: DataFrame, state: DataFrame, done: str = "COMPLETED") ->
     return runs.select("task_id", "operation", "status").join(counts, "task_id", "left")
 
 
+def parameter(parameters: str, name: str, type_name: str = "string") -> Column:
+    """One value out of a run's JSON parameters; NULL where the run has none of that name."""
+    return F.try_variant_get(F.try_parse_json(parameters), f"$.{name}", type_name).alias(name)
+
+
 def run_totals(state: DataFrame, by: Sequence[str], done: str) -> DataFrame:
     """Completed, failed and fallen-back items per run."""
     fell_back = (F.col("status") == done) & F.startswith(

@@ -11,14 +11,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartage.functions.types import quoted
+from cartage.session import materialize
 
 # Fixed value: the largest file an unload may write, which is also its default.
 MAX_FILE_SIZE = 5_368_709_120
 
-# Above this many partitions the order of work no longer matters enough to sort
-# them in one task; they are dealt out by hash instead.
+_RANGE = "__range"
+_START = "__start"
+
+# Up to this many rows a plan may be sorted in one task.
 MAX_RANKED = 100_000
-HASH_SLOTS = 1 << 30
 
 
 def smallest_first(profile: DataFrame, keys: Sequence[str], n: int, counted: str = "total_rows") -> DataFrame:
@@ -26,35 +28,41 @@ def smallest_first(profile: DataFrame, keys: Sequence[str], n: int, counted: str
     return profile.orderBy(counted, *[F.col(quoted(k)) for k in keys]).limit(n)
 
 
-def ranked_waves(
-    profile: DataFrame, keys: Sequence[str], wave_size: int, counted: str = "total_rows"
-) -> DataFrame:
-    """Wave number of every partition, smallest partitions first.
+def with_rank(plan: DataFrame, order: Sequence[str], work_uri: str, about: int | None = None) -> DataFrame:
+    """Add ``slot``: 0 for the first row by ``order``, 1 for the next, and so on.
 
-    For profiles of at most ``MAX_RANKED`` rows: ranking runs in one task.
+    A plan known to be short (``about`` rows) is numbered in one task. Otherwise
+    each task numbers a range of the order and adds what lies in the ranges
+    before it. The ranges are written first, so that a rerun task cannot see
+    other ones. ``order`` must be unique.
     """
-    order = Window.orderBy(counted, *[F.col(quoted(k)) for k in keys])
-    rank = F.row_number().over(order) - 1
-    return profile.withColumn("wave", F.floor(rank / wave_size).cast("int"))
-
+    columns = [F.col(quoted(c)) for c in order]
+    if about is not None and about <= MAX_RANKED:
+        return plan.withColumn("slot", (F.row_number().over(Window.orderBy(*columns)) - 1).cast("bigint"))
+    ranges = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = plan.repartitionByRange(ranges, *columns).withColumn(_RANGE, F.spark_partition_id())
+    placed = materialize(placed, work_uri)
+    # one row per range
+    sizes = placed.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(_RANGE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_START))
+    within = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*columns)) - 1
+    numbered = placed.withColumn("slot", within).join(starts, _RANGE)
+    return numbered.withColumn("slot", (F.col("slot") + F.col(_START)).cast("bigint")).drop(_RANGE, _START)
 
-def with_slots(plan: DataFrame, about: int, *order: str) -> tuple[DataFrame, bool]:
-    """Add ``slot``, a position on a line that waves cut into ranges.
 
-    With ``about`` rows in the plan: their rank if they may be sorted in one
-    task (then the answer is ``True``), else a hash.
-    """
-    if about <= MAX_RANKED:
-        rank = F.row_number().over(Window.orderBy(*order)) - 1
-        return plan.withColumn("slot", rank.cast("bigint")), True
-    return plan.withColumn("slot", F.pmod(F.xxhash64(*order), F.lit(HASH_SLOTS))), False
+def ranked_waves(
+    profile: DataFrame, keys: Sequence[str], wave_size: int, work_uri: str, counted: str = "total_rows"
+) -> DataFrame:
+    """Wave number of every partition, smallest partitions first."""
+    ranked = with_rank(profile, [counted, *keys], work_uri)
+    return ranked.withColumn("wave", F.floor(F.col("slot") / wave_size).cast("int")).drop("slot")
 
 
-def wave_ranges(total: int, slots: int, wave_size: int | None) -> list[tuple[int, int]]:
-    """Slot ranges of about ``wave_size`` partitions each; ``None`` means one wave."""
-    waves = 1 if not wave_size else max(1, -(-total // wave_size))
-    width = max(1, -(-slots // waves))
-    return [(lo, min(lo + width, slots)) for lo in range(0, slots, width)] if slots else []
+def wave_ranges(total: int, wave_size: int | None) -> list[tuple[int, int]]:
+    """Slot ranges of at most ``wave_size`` rows each; ``None`` means one wave."""
+    width = wave_size or total
+    return [(lo, min(lo + width, total)) for lo in range(0, total, width)] if total else []
 
 
 def file_count(estimated_bytes: Column, max_file_size: int, headroom: float = 1.0) -> Column:

@@ -201,9 +201,7 @@ def export_columns(spark, sf_dir):
 
 @query
 def run_parameters(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(
-        "event_id", F.variant_get(F.parse_json("props"), "$.k", "bigint").alias("k")
-    )
+    return table(spark, sf_dir, "events").select("event_id", reports.parameter("props", "k", "bigint"))
 
 
 # ------------------------------------------------------- folders and paths
@@ -270,7 +268,7 @@ def next_batch(spark, sf_dir):
 @query
 def wave_plan(spark, sf_dir):
     profile = partition_profile(table(spark, sf_dir, "part"), ["p_brand"])
-    return ranked_waves(profile, ["p_brand"], 4)
+    return ranked_waves(profile, ["p_brand"], 4, scratch(spark, "waves"))
 
 
 @query

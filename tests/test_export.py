@@ -134,6 +134,13 @@ def test_rerun_exports_nothing_again_and_finds_new_keys(spark, folder):
     assert staged.select("path_key").distinct().count() == 5
 
 
+def test_key_columns_may_be_named_like_log_columns(spark, folder):
+    df = spark.createDataFrame([("a", 1, 5), ("b", 2, 6)], "status string, total_rows int, seq int")
+    run = export_table(df, ["status", "total_rows", "seq"], f"{folder}/stage", log_uri=f"{folder}/log")
+    assert run.completed == 2
+    assert {k: r.path_key for k, r in states(run).items()} == {("a", 1, 5): "a__1__5", ("b", 2, 6): "b__2__6"}
+
+
 def test_fresh_log_exports_everything_again_and_keeps_history(spark, folder):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
     export_table(df, ["k"], f"{folder}/stage", log_uri=f"{folder}/log")
@@ -230,7 +237,7 @@ def test_waves_give_the_same_files_as_one_job(spark, folder):
     assert sorted(r["count"] for r in started) == [1, 2, 2, 2, 2]
 
 
-def test_many_partitions_are_dealt_out_by_hash(spark, folder, monkeypatch):
+def test_many_partitions_are_ranked_in_ranges(spark, folder, monkeypatch):
     monkeypatch.setattr(work, "MAX_RANKED", 10)
     spark.range(300).select((F.col("id") % 30).alias("k"), F.col("id").alias("n")).write.parquet(f"{folder}/t")
     df = spark.read.parquet(f"{folder}/t")
@@ -301,17 +308,25 @@ def test_new_partitions_is_null_safe(spark):
     assert [tuple(r) for r in new_partitions(profile, known, ["k"]).collect()] == [("", 3)]
 
 
-def test_work_plans():
-    assert work.wave_ranges(10, 10, None) == [(0, 10)]
-    assert work.wave_ranges(10, 10, 4) == [(0, 4), (4, 8), (8, 10)]
-    assert work.wave_ranges(1, 1, 5) == [(0, 1)]
-    for total, slots, size in ((1000, work.HASH_SLOTS, 100), (7, 7, 3)):
-        ranges = work.wave_ranges(total, slots, size)
-        assert ranges[0][0] == 0 and ranges[-1][1] == slots
-        assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+def test_wave_ranges():
+    assert work.wave_ranges(10, None) == [(0, 10)]
+    assert work.wave_ranges(10, 4) == [(0, 4), (4, 8), (8, 10)]
+    assert work.wave_ranges(1, 5) == [(0, 1)] and work.wave_ranges(0, 5) == []
     assert work.rows_per_file(10.0, 100) == 10 and work.rows_per_file(0.0, 1) >= 1
 
 
+def test_ranks_are_the_same_in_one_task_and_in_many(spark, folder):
+    plan = spark.range(2000).select((F.col("id") % 7).alias("total_rows"), F.col("id").alias("k"))
+    order = ["total_rows", "k"]
+    one = work.with_rank(plan, order, f"{folder}/a", about=2000)
+    many = work.with_rank(plan, order, f"{folder}/b")
+    # only the row counts of the ranges go through a single task
+    text = plan_text(many)
+    assert text.count("SinglePartition") == 1 and "hashpartitioning(__range" in text
+    assert rows_of(one) == rows_of(many)
+    assert sorted(r.slot for r in many.collect()) == list(range(2000))
+
+
 def test_file_counts(spark):
     df = spark.createDataFrame([(0,), (100,), (101,), (1000,)], "b bigint")
     assert [r[0] for r in df.select(work.file_count(F.col("b"), 100)).collect()] == [1, 1, 2, 10]

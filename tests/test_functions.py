@@ -211,6 +211,15 @@ def test_target_schema_and_binding_by_exact_name(spark):
     assert [f.dataType.simpleString() for f in decimals] == ["decimal(38,0)", "decimal(38,0)", "array<decimal(38,0)>"]
 
 
+def test_nested_fields_are_bound_by_name(spark):
+    source = spark.sql("select named_struct('b', 2, 'a', 'x') as s, array(named_struct('n', 1)) as many")
+    schema = T.StructType.fromDDL("s struct<a:string,b:bigint,c:date>, many array<struct<n:double>>")
+    bound = types.bind_by_name(source, schema)
+    assert bound.schema.simpleString() == schema.simpleString()
+    row = bound.first()
+    assert tuple(row.s) == ("x", 2, None) and row.many[0].n == 1.0
+
+
 def test_row_bytes(spark):
     df = spark.sql("select 'ab' as s, cast(null as string) as n, 1 as i, 2L as l, array(1L, 2L) as a, date'2024-01-01' as d")
     assert values(df.select(types.row_bytes(df.schema))) == [2 + 0 + 4 + 8 + 16 + 4]
