@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -48,6 +48,7 @@ class ExportRun:
     completed: int = 0
     failed: int = 0
     total: int = 0
+    suspended: bool = False
     errors: list[str] = field(default_factory=list)
 
 
@@ -281,6 +282,7 @@ def export_pending(
     max_file_size: int = MAX_FILE_SIZE,
     wave_size: int | None = None,
     max_failures: int = 32,
+    suspended: Callable[[], bool] = lambda: False,
 ) -> ExportRun:
     """Export every PENDING partition, and those a crashed run left IN_PROGRESS."""
     spark = df.sparkSession
@@ -346,6 +348,9 @@ def export_pending(
         return staged_counts(spark, stage_uri, listed)
 
     for lo, hi in waves:
+        if lo and suspended():
+            run.suspended = True
+            break
         wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if waved else plan
         if not overwrite:
             present = counts_of(wave).select("path_key")
@@ -358,7 +363,9 @@ def export_pending(
                 status=F.lit("FAILED"), task_id=F.lit(task_id), ended_at=F.current_timestamp(),
                 error_message=F.lit("files already exist in the partition's folder and overwrite is off"),
             )
-            run.failed += refused.count()
+            refusals = refused.count()
+            run.failed += refusals
+            run.completed -= refusals
         started = F.lit(datetime.now(timezone.utc))
         log.transition(
             wave, "started",
@@ -392,7 +399,7 @@ def export_pending(
         )
         run.errors += [text for _, _, text in bad]
         run.failed += len(bad)
-    run.completed = run.total - run.failed
+        run.completed += min(hi, facts.n) - lo - len(bad)
     return run
 
 
@@ -411,17 +418,32 @@ def record_run(runs: StateLog, task_id: str, operation: str, status: str, **valu
     )
 
 
-def refuse_concurrent(runs: StateLog, stage_uri: str, takeover: bool) -> None:
-    """Two runs on one stage would overwrite each other's folders."""
+def refuse_concurrent(runs: StateLog, takeover: bool) -> None:
+    """Logs have one writer at a time, and two runs on one stage would overwrite each other's folders."""
     if takeover or not runs.exists():
         return
-    busy = with_status(runs.current(), "RUNNING").filter(F.col("stage_uri") == stage_uri).select("task_id").take(1)
+    busy = with_status(runs.current(), "RUNNING").select("task_id", "stage_uri").take(1)
     if busy:
         raise RuntimeError(
-            f"run {busy[0].task_id} is still RUNNING on {stage_uri}; pass takeover=True once it is known to be dead"
+            f"run {busy[0].task_id} is still RUNNING on {busy[0].stage_uri}; "
+            "pass takeover=True once it is known to be dead"
         )
 
 
+def _suspension(runs: StateLog, task_id: str) -> str:
+    return f"{runs.uri}/suspend/task_id={task_id}"
+
+
+def suspend_run(runs: StateLog, task_id: str) -> None:
+    """Ask a run to stop before its next wave; what is left stays PENDING for a later call."""
+    # a mark beside the log: the log itself belongs to the run
+    one_row(runs.spark, task_id=task_id).write.mode("overwrite").parquet(_suspension(runs, task_id))
+
+
+def is_suspended(runs: StateLog, task_id: str) -> bool:
+    return path_exists(runs.spark, _suspension(runs, task_id))
+
+
 def refuse_reuse(runs: StateLog, task_id: str | None) -> None:
     """A run's name marks the folders it writes, so no second run may carry it."""
     if task_id is not None and runs.exists():
@@ -459,7 +481,7 @@ def export_table(
     runs = run_log(spark, f"{log_uri}/runs")
     refuse_reuse(runs, task_id)
     task_id = task_id or new_task_id("export")
-    refuse_concurrent(runs, stage_uri, takeover)
+    refuse_concurrent(runs, takeover)
     facts = {
         "source": source,
         "stage_uri": stage_uri,
@@ -488,12 +510,13 @@ def export_table(
             df, keys, stage_uri, log, profile, task_id,
             columns=columns, overwrite=overwrite, single_file=single_file,
             max_file_size=max_file_size, wave_size=wave_size, max_failures=max_failures,
+            suspended=lambda: is_suspended(runs, task_id),
         )
     except Exception as problem:
         record_run(runs, task_id, "EXPORT", "FAILED", error_message=str(problem)[:ERROR_LIMIT], **facts)
         raise
     record_run(
-        runs, task_id, "EXPORT", "COMPLETED",
+        runs, task_id, "EXPORT", "SUSPENDED" if run.suspended else "COMPLETED",
         total_items=run.total, completed_items=run.completed, failed_items=run.failed, **facts,
     )
     return run

@@ -12,17 +12,25 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartage.functions.paths import relative_path
 from cartage.functions.texts import ERROR_LIMIT, both_failed_message, clip_error, fallback_message
 from cartage.functions.types import bind_by_name
-from cartage.operators.export import TooManyFailures, new_task_id, record_run, refuse_concurrent, refuse_reuse
+from cartage.operators.export import (
+    TooManyFailures,
+    is_suspended,
+    new_task_id,
+    record_run,
+    refuse_concurrent,
+    refuse_reuse,
+)
 from cartage.operators.logs import StateLog, with_status
 from cartage.operators.target import (
     ADD_FILES_COPY,
@@ -43,6 +51,12 @@ _WAVE_FILES = 10_000
 _INTEGER_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
 
 
+class StagedFile(NamedTuple):
+    source_uri: str
+    num_rows: int
+    file_schema: str
+
+
 @dataclass
 class ImportRun:
     task_id: str
@@ -51,6 +65,7 @@ class ImportRun:
     failed: int = 0
     fell_back: int = 0
     total: int = 0
+    suspended: bool = False
 
 
 def discover(listing: DataFrame, stage_uri: str, log: StateLog, stage_path: str = "") -> DataFrame:
@@ -181,7 +196,7 @@ def read_bound(spark: SparkSession, file_schema: str, paths: list[str], schema:
     return bind_by_name(files.parquet(*[literal_path(p) for p in paths]), schema)
 
 
-def ingest(files: list[Row], target: Target, load_id: str, max_failures: int = 32) -> list[tuple]:
+def ingest(files: list[StagedFile], target: Target, load_id: str, max_failures: int = 32) -> list[tuple]:
     """Rewrite files as one load; returns ``(source_uri, folder, problem)`` per file.
 
     All files go through one job, whatever number of physical schemas they have.
@@ -193,10 +208,10 @@ def ingest(files: list[Row], target: Target, load_id: str, max_failures: int = 3
     def problem_of(error: Exception) -> str:
         return str(error).strip().split("\n")[0][:ERROR_LIMIT]
 
-    def attempt(part: list[Row], name: str) -> list[tuple]:
+    def attempt(part: list[StagedFile], name: str) -> list[tuple]:
         nonlocal failures
         folder = target.load_folder(name)
-        by_schema: dict[str, list[Row]] = {}
+        by_schema: dict[str, list[StagedFile]] = {}
         for row in part:
             by_schema.setdefault(row.file_schema, []).append(row)
         frames, refused, accepted = [], [], []
@@ -325,9 +340,12 @@ def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str,
         todo = materialize(todo.drop("problem"), f"{log.uri}/inspections/{load_id}-retry")
         log.transition(todo, "retrying", status=F.lit("RETRYING_FULL_INGEST"))
 
-    readable = todo.filter("error is null").select("source_uri", "file_schema", "num_rows")
-    rows = readable.orderBy("source_uri").collect()  # at most a wave of file names, which Spark's reader needs
-    outcome = ingest(rows, target, f"{load_id}-ingest", max_failures) if rows else []
+    # at most a wave of file names, which Spark's reader needs; each schema comes once
+    readable = todo.filter("error is null").groupBy("file_schema").agg(
+        F.sort_array(F.collect_list(F.struct("source_uri", "num_rows"))).alias("files")
+    )
+    files = [StagedFile(f.source_uri, f.num_rows, g.file_schema) for g in readable.collect() for f in g.files]
+    outcome = ingest(files, target, f"{load_id}-ingest", max_failures) if files else []
     results = spark.createDataFrame(outcome, "source_uri string, folder string, problem string")
     # a file whose copy failed keeps that message when the ingest worked out
     problem = F.coalesce("error", "problem", F.when(F.col("folder").isNull(), F.lit("file was not loaded")))
@@ -375,7 +393,7 @@ def import_files(
     refuse_reuse(runs, task_id)
     task_id = task_id or new_task_id("import")
     run = ImportRun(task_id, target)
-    refuse_concurrent(runs, stage_uri, takeover)
+    refuse_concurrent(runs, takeover)
     facts = {
         "target": target.base_uri,
         "stage_uri": stage_uri,
@@ -397,6 +415,9 @@ def import_files(
             plan = materialize(ordered, f"{log.uri}/plans/{task_id}")
             ranges = wave_ranges(run.total, wave_size)
             for number, (lo, hi) in enumerate(ranges):
+                if number and is_suspended(runs, task_id):
+                    run.suspended = True
+                    break
                 wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if len(ranges) > 1 else plan
                 import_wave(wave.drop("slot"), target, log, load_mode, f"{task_id}-{number}", max_failures)
             mine = log.current().filter(F.col("task_id") == task_id)
@@ -410,7 +431,7 @@ def import_files(
         record_run(runs, task_id, "IMPORT", "FAILED", error_message=str(problem)[:ERROR_LIMIT], **facts)
         raise
     record_run(
-        runs, task_id, "IMPORT", "COMPLETED",
+        runs, task_id, "IMPORT", "SUSPENDED" if run.suspended else "COMPLETED",
         total_items=run.total, completed_items=run.completed, failed_items=run.failed, **facts,
     )
     return run

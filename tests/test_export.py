@@ -17,6 +17,7 @@ from cartage.operators.export import (
     record_run,
     select_partitions,
     staged_counts,
+    suspend_run,
 )
 from cartage.operators.logs import (
     PARTITION_STATES,
@@ -219,6 +220,26 @@ def test_crashed_run_is_taken_up(spark, folder, monkeypatch):
     assert set(seen) <= set(PARTITION_STATES)
 
 
+def test_suspended_run_stops_between_waves_and_resumes(spark, folder, monkeypatch):
+    spark.range(60).select((F.col("id") % 6).alias("k"), F.col("id").alias("n")).write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    runs = run_log(spark, f"{folder}/log/runs")
+    write = export_module.write_partitions
+
+    def write_and_suspend(*args):
+        write(*args)
+        suspend_run(runs, "MINE")
+
+    monkeypatch.setattr(export_module, "write_partitions", write_and_suspend)
+    run = export_table(df, ["k"], f"{folder}/stage", log_uri=f"{folder}/log", wave_size=4, task_id="MINE")
+    monkeypatch.undo()
+    assert run.suspended and (run.total, run.completed, run.failed) == (6, 4, 0)
+    assert Counter(r.status for r in states(run).values()) == {"COMPLETED": 4, "PENDING": 2}
+    assert run_log(spark, f"{folder}/log/runs").current().first().status == "SUSPENDED"
+    again = export_table(df, ["k"], f"{folder}/stage", log_uri=f"{folder}/log", wave_size=4)
+    assert (again.total, again.completed) == (2, 2)
+
+
 def test_vanished_partition_completes_with_zero_rows(spark, folder):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
     trial = df.filter("k = 'a'").select("k")
