@@ -43,13 +43,37 @@ RUN_COLUMNS = (
 )
 
 
-def fold(history: DataFrame, keys: Sequence[str], order: str = "seq") -> DataFrame:
-    """Latest row per key. ``max_by`` combines before the shuffle, so long histories stay cheap."""
-    rest = [c for c in history.columns if c not in keys]
+def fold(
+    history: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, order: str = "seq"
+) -> DataFrame:
+    """Latest row per key, all of it or some ``columns``.
+
+    ``max_by`` combines before the shuffle, so a long history of one key costs one
+    row per task. Naming the columns keeps the others out of the scan.
+    """
+    rest = [c for c in columns or history.columns if c not in keys]
     latest = F.max_by(F.struct(*[F.col(quoted(c)) for c in rest]), F.col(order)).alias("latest")
     return history.groupBy(*[F.col(quoted(k)) for k in keys]).agg(latest).select(*[F.col(quoted(k)) for k in keys], "latest.*")
 
 
+def latest_status(
+    history: DataFrame, keys: Sequence[str], states: Sequence[str], order: str = "seq"
+) -> DataFrame:
+    """Latest ``order`` and status per key, which is all that counting reports need.
+
+    The status is folded as a small number: with values of fixed width Spark
+    aggregates by hash, where texts would make it sort the history first.
+    """
+    names = F.array(*[F.lit(s) for s in states])
+    code = F.array_position(names, F.col("status")).cast("int")
+    folded = history.groupBy(*[F.col(quoted(k)) for k in keys]).agg(
+        F.max(order).alias(order), F.max_by(code, order).alias("code")
+    )
+    return folded.select(
+        *[F.col(quoted(k)) for k in keys], order, F.get(names, F.col("code") - 1).alias("status")
+    )
+
+
 def ddl_schema(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 

@@ -29,9 +29,12 @@ from cartage.operators.export import (
 )
 from cartage.operators.load import discover, enqueue, import_files, inspect_files
 from cartage.operators.logs import (
+    FILE_STATES,
+    PARTITION_STATES,
     extended,
     failed_as_pending,
     fold,
+    latest_status,
     not_completed,
     selected_as_pending,
     with_status,
@@ -282,12 +285,13 @@ def file_cap(spark, sf_dir):
 
 @query
 def log_state(spark, sf_dir):
-    return fold(file_history(spark, sf_dir), KEYS).select(*KEYS, "seq", "status")
+    return latest_status(file_history(spark, sf_dir), KEYS, FILE_STATES)
 
 
 @query
 def pending_items(spark, sf_dir):
-    return with_status(fold(file_history(spark, sf_dir), KEYS), "PENDING").select(*KEYS, "seq")
+    state = latest_status(file_history(spark, sf_dir), KEYS, FILE_STATES)
+    return with_status(state, "PENDING").select(*KEYS, "seq")
 
 
 @query
@@ -302,19 +306,21 @@ def select_items(spark, sf_dir):
 
 @query
 def select_non_completed(spark, sf_dir):
-    return not_completed(fold(partition_history(spark, sf_dir), KEYS)).select(*KEYS, "status")
+    state = latest_status(partition_history(spark, sf_dir), KEYS, PARTITION_STATES)
+    return not_completed(state).select(*KEYS, "status")
 
 
 @query
 def reset_failed(spark, sf_dir):
-    reset = failed_as_pending(fold(partition_history(spark, sf_dir), KEYS))
+    columns = ["status", "retry_count", "error_message"]
+    reset = failed_as_pending(fold(partition_history(spark, sf_dir), KEYS, columns))
     return reset.select(*KEYS, "status", "retry_count", "error_message")
 
 
 @query
 def log_extend(spark, sf_dir):
     """Customers nobody has a log row for join the log as NOT_SELECTED."""
-    state = fold(partition_history(spark, sf_dir), ["task_id"]).select("task_id", "status", "seq")
+    state = latest_status(partition_history(spark, sf_dir), ["task_id"], PARTITION_STATES)
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("task_id"))
     unseen = new_partitions(partition_profile(customers, ["task_id"]), state.select("task_id"), ["task_id"])
     return extended(state, unseen.select("task_id", F.lit("NOT_SELECTED").alias("status")))
@@ -325,22 +331,22 @@ def log_extend(spark, sf_dir):
 
 @query
 def status_counts(spark, sf_dir):
-    return reports.status_counts(fold(partition_history(spark, sf_dir), KEYS))
+    return reports.status_counts(latest_status(partition_history(spark, sf_dir), KEYS, PARTITION_STATES))
 
 
 @query
 def status_counts_import(spark, sf_dir):
-    return reports.import_status_counts(fold(file_history(spark, sf_dir), KEYS))
+    return reports.import_status_counts(latest_status(file_history(spark, sf_dir), KEYS, FILE_STATES))
 
 
 @query
 def task_progress(spark, sf_dir):
-    return reports.progress(fold(partition_history(spark, sf_dir), KEYS), ["task_id"])
+    return reports.progress(latest_status(partition_history(spark, sf_dir), KEYS, PARTITION_STATES), ["task_id"])
 
 
 @query
 def load_mode_summary(spark, sf_dir):
-    return reports.load_mode_summary(fold(file_history(spark, sf_dir), KEYS))
+    return reports.load_mode_summary(fold(file_history(spark, sf_dir), KEYS, ["status", "load_mode_used"]))
 
 
 @query
@@ -350,24 +356,25 @@ def run_summary(spark, sf_dir):
 
 @query
 def run_totals(spark, sf_dir):
-    return reports.run_totals(fold(file_history(spark, sf_dir), KEYS), ["task_id"], done="SUCCESS")
+    state = fold(file_history(spark, sf_dir), KEYS, ["status", "error_message"])
+    return reports.run_totals(state, ["task_id"], done="SUCCESS")
 
 
 @query
 def error_audit(spark, sf_dir):
-    return reports.error_audit(fold(file_history(spark, sf_dir), KEYS)).select(*KEYS, "status", "error_message")
+    return reports.error_audit(fold(file_history(spark, sf_dir), KEYS, ["status", "error_message"]))
 
 
 @query
 def fallback_audit(spark, sf_dir):
-    state = fold(file_history(spark, sf_dir), KEYS)
+    state = fold(file_history(spark, sf_dir), KEYS, ["status", "load_mode_used", "error_message"])
     return reports.fallback_audit(state).select(*KEYS, "error_message")
 
 
 @query
 def fallback_history(spark, sf_dir):
     history = file_history(spark, sf_dir)
-    return reports.fallback_history(history, fold(history, KEYS), KEYS).select(*KEYS, "seq")
+    return reports.fallback_history(history, latest_status(history, KEYS, FILE_STATES), KEYS).select(*KEYS, "seq")
 
 
 @query
@@ -382,7 +389,7 @@ def active_runs(spark, sf_dir):
 
 @query
 def log_view(spark, sf_dir):
-    state = fold(file_history(spark, sf_dir), KEYS).select(*KEYS, "seq", "status", "error_message", "retry_count")
+    state = fold(file_history(spark, sf_dir), KEYS, ["seq", "status", "error_message", "retry_count"])
     return reports.log_view(state, [F.col("status"), F.col("seq")])
 
 

@@ -24,6 +24,7 @@ from cartage.operators.logs import (
     StateLog,
     ddl_schema,
     fold,
+    latest_status,
     run_log,
 )
 from cartage.operators.reconcile import reconcile_export
@@ -397,6 +398,15 @@ def test_generations(spark, log):
 def test_fold_combines_before_the_shuffle(spark):
     history = spark.range(10).select((F.col("id") % 2).alias("k"), F.col("id").alias("seq"), F.lit("x").alias("status"))
     assert "partial_max_by" in plan_text(fold(history, ["k"]))
+    text = plan_text(latest_status(history, ["k"], ("w", "x")))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_latest_status(spark):
+    rows = [("a", 1, "PENDING"), ("a", 3, "FAILED"), ("a", 2, "IN_PROGRESS"), (None, 5, "COMPLETED"), ("b", 1, None)]
+    history = spark.createDataFrame(rows, "k string, seq int, status string")
+    found = {tuple(r) for r in latest_status(history, ["k"], PARTITION_STATES).collect()}
+    assert found == {("a", 3, "FAILED"), (None, 5, "COMPLETED"), ("b", 1, None)}
 
 
 def test_selection_by_predicate_and_by_keys(spark, folder):
