@@ -28,7 +28,7 @@ from cartage.operators.logs import (
     with_status,
 )
 from cartage.plans.work import MAX_FILE_SIZE, file_count, rows_per_file, wave_ranges, with_rank
-from cartage.session import glob_paths, literal_path, materialize, one_row, path_exists, plan_bytes
+from cartage.session import as_lookup, glob_paths, literal_path, materialize, one_row, path_exists, plan_bytes
 from cartage.sources.tables import select_columns
 
 _HEADROOM = 0.9
@@ -129,8 +129,9 @@ def select_partitions(log: StateLog, selection: DataFrame | Column | None = None
     elif isinstance(selection, Column):
         chosen = state.filter(selection)
     else:
-        key = key_struct(log.schema["part_key"].dataType.names)
-        chosen = state.join(selection.select(key).distinct(), "part_key", "left_semi")
+        typed = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in log.schema["part_key"].dataType]
+        wanted = selection.select(F.struct(*typed).alias("part_key")).distinct()
+        chosen = state.join(wanted, "part_key", "left_semi")
     log.transition(
         chosen, event,
         status=F.lit("PENDING"), retry_count=F.lit(0), error_message=F.lit(None), rows_unloaded=F.lit(None),
@@ -166,8 +167,8 @@ def distribute(
     columns: Sequence[str] | None = None,
     single_file: bool = True,
     restricted: bool = True,
-    renamed: bool = True,
-    split: bool = True,
+    renamed: int | None = None,
+    split: int | None = None,
 ) -> DataFrame:
     """Rows of the planned partitions, projected for Parquet and placed for the write.
 
@@ -176,31 +177,32 @@ def distribute(
     its rows are then dealt out over that many tasks. Otherwise a rebalance lets
     AQE merge small partitions and split large ones by what the shuffle weighs.
 
-    A caller that knows better may switch off what its plan does not need:
-    ``restricted`` (the plan leaves some keys of the table out), ``renamed`` (some
-    folder is not named after its key alone), ``split`` (some partition has several files).
+    A caller that knows its plan may spare work: ``restricted=False`` if no key of the
+    table is left out; ``renamed`` and ``split``, how many folders are not named after their
+    key alone and how many partitions have several files.
     """
     exported = checked_columns(df, columns)
-    split = split and single_file
-    rows = df.withColumn(_ROW, _row_identity(df)) if split else df
+    if not single_file:
+        split = 0
+    rows = df.withColumn(_ROW, _row_identity(df)) if split != 0 else df
     if restricted:
         rows = restrict_to_keys(rows, plan.select("part_key.*"), keys)
 
     wanted = T.StructType([df.schema[c] for c in exported])
     projected = [*compat_columns(wanted), base_path_key(df.schema, keys).alias("path_key")]
-    if renamed or split:
+    if renamed != 0 or split != 0:
         projected.append(key_struct(keys))
-    if split:
+    if split != 0:
         projected.append(F.col(_ROW))
     rows = rows.select(*projected)
 
-    # both lookups hold exceptions only: colliding names, and partitions beyond the
-    # size cap (at most table size / cap rows); Spark broadcasts them while they are small
-    if renamed:
+    # both lookups hold exceptions only: colliding names, and partitions beyond the size
+    # cap (at most table size / cap rows); counted and few they are broadcast, else joined
+    if renamed != 0:
         names = plan.filter("path_key <> base_key").select("part_key", F.col("path_key").alias("__name"))
-        rows = rows.join(names, "part_key", "left").withColumn("path_key", F.coalesce("__name", "path_key"))
-    if split:
-        rows = _deal_out(rows, plan)
+        rows = rows.join(as_lookup(names, renamed), "part_key", "left").withColumn("path_key", F.coalesce("__name", "path_key"))
+    if split != 0:
+        rows = _deal_out(rows, plan, split)
     elif single_file:
         rows = rows.repartition("path_key")
     else:
@@ -208,7 +210,7 @@ def distribute(
     return rows.select(*[F.col(quoted(c)) for c in exported], "path_key")
 
 
-def _deal_out(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def _deal_out(rows: DataFrame, plan: DataFrame, split: int | None) -> DataFrame:
     """One task per folder, but one task per planned file for a partition of several files.
 
     Each of those files has a task of its own: hashing partition and file number
@@ -224,7 +226,7 @@ def _deal_out(rows: DataFrame, plan: DataFrame) -> DataFrame:
     shared = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own_task = F.lit(shared) + F.col(_FIRST) + F.pmod(F.col(_ROW), F.col("file_count"))
     task = F.when(F.col(_FIRST).isNotNull(), own_task).otherwise(F.pmod(F.xxhash64("path_key"), F.lit(shared)))
-    joined = rows.join(offsets, "part_key", "left")
+    joined = rows.join(as_lookup(offsets, split), "part_key", "left")
     return joined.repartitionById(shared + int(extra), task.cast("int"))
 
 
@@ -314,7 +316,7 @@ def export_pending(
         max_records = max(max_records, facts.longest or 1)
     # the source is a snapshot: when every profiled key is open, no filter is needed
     restricted = facts.filled < profiled
-    shape = {"renamed": facts.renamed > 0, "split": facts.split > 0}
+    shape = {"renamed": facts.renamed, "split": facts.split}
     waves = wave_ranges(facts.n, wave_size)
     waved = len(waves) > 1
     failures: list[str] = []

@@ -26,6 +26,9 @@ RECOMMENDED = {
 # sources that cannot tell their size report one near the largest long
 _UNKNOWN_SIZE = 1 << 60
 
+# counted side tables of a few short columns may be broadcast up to this many rows
+_LOOKUP_ROWS = 50_000
+
 
 def local_session(
     app: str = "cartage", cores: str = "*", shuffle_partitions: int = 8, java_options: str = ""
@@ -93,6 +96,14 @@ def plan_bytes(df: DataFrame) -> int | None:
     return estimate if estimate <= 4 * read < _UNKNOWN_SIZE else None
 
 
+def as_lookup(df: DataFrame, rows: int | None) -> DataFrame:
+    """A side table of ``rows`` rows, broadcast if that count is known and small.
+
+    Without the hint Spark decides by its own estimate, and joins by shuffling otherwise.
+    """
+    return F.broadcast(df) if rows is not None and rows <= _LOOKUP_ROWS else df
+
+
 def path_exists(spark: SparkSession, uri: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
