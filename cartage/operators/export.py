@@ -247,19 +247,27 @@ def read_staged(spark: SparkSession, stage_uri: str, schema: T.StructType) -> Da
     return spark.read.schema(full).parquet(literal_path(stage_uri))
 
 
+def _existing_folders(spark: SparkSession, stage_uri: str, names: list[str]) -> list[str]:
+    """Those of a wave's folders that exist, looked up by name some hundreds at a time."""
+    found = []
+    for start in range(0, len(names), 500):
+        # folder names hold no character that means anything in a pattern
+        choice = ",".join(names[start : start + 500])
+        found += glob_paths(spark, f"{literal_path(stage_uri)}/path_key={{{choice}}}")
+    return found
+
+
 def staged_counts(spark: SparkSession, stage_uri: str, folders: DataFrame | None = None) -> DataFrame:
     """Rows, files and bytes per folder, read from footers alone (no column is decoded).
 
     With ``folders`` (a table of ``path_key``, at most a wave) only those are listed.
     """
-    found = glob_paths(spark, f"{stage_uri}/path_key=*") if path_exists(spark, stage_uri) else []
+    paths = [stage_uri] if path_exists(spark, stage_uri) else []
     if folders is not None:
-        wanted = {f"path_key={r.path_key}" for r in folders.select("path_key").collect()}
-        found = [f for f in found if f.rsplit("/", 1)[-1] in wanted]
-    if not found:
+        paths = _existing_folders(spark, stage_uri, [r.path_key for r in folders.select("path_key").collect()])
+    if not paths:
         return spark.createDataFrame([], "path_key string, rows bigint, files bigint, bytes bigint")
     reader = spark.read.schema("path_key string").option("basePath", stage_uri)
-    paths = [stage_uri] if folders is None else found
     per_file = (
         reader.parquet(*[literal_path(p) for p in paths])
         .groupBy("path_key", F.col("_metadata.file_path").alias("file"))

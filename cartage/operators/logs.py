@@ -101,7 +101,7 @@ class StateLog:
     def commits(self) -> list[tuple[int, int]]:
         """``(generation, seq)`` of every complete append; a handful per run."""
         if self._commits is None:
-            marks = glob_paths(self.spark, f"{self._items}/generation=*/seq=*/_SUCCESS")
+            marks = glob_paths(self.spark, f"{literal_path(self._items)}/generation=*/seq=*/_SUCCESS")
             found = [re.search(r"/generation=(\d+)/seq=(\d+)/_SUCCESS$", m) for m in marks]
             self._commits = sorted((int(m[1]), int(m[2])) for m in found)
         return self._commits

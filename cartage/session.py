@@ -119,7 +119,7 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
 def materialize(df: DataFrame, uri: str) -> DataFrame:
     """Write ``df`` once and hand back the written table (cuts lineage, survives lost executors)."""
     df.write.mode("overwrite").parquet(uri)
-    return df.sparkSession.read.schema(df.schema).parquet(uri)
+    return df.sparkSession.read.schema(df.schema).parquet(literal_path(uri))
 
 
 def one_row(spark: SparkSession, **values) -> DataFrame:

@@ -259,6 +259,14 @@ def test_waves_give_the_same_files_as_one_job(spark, folder):
     assert sorted(r["count"] for r in started) == [1, 4, 4]
 
 
+def test_odd_stage_and_log_names(spark, folder):
+    df = spark.createDataFrame([("a", 1), ("b c", 2), (None, 3)], "k string, n int")
+    stage, logs = f"{folder}/st [1] {{x}}", f"{folder}/lo*g"
+    assert export_table(df, ["k"], stage, log_uri=logs, wave_size=2).completed == 3
+    assert export_table(df, ["k"], stage, log_uri=logs).total == 0
+    assert rows_of(read_staged(spark, stage, df.schema).drop("path_key")) == rows_of(df)
+
+
 def test_many_partitions_are_ranked_in_ranges(spark, folder, monkeypatch):
     monkeypatch.setattr(work, "MAX_RANKED", 10)
     spark.range(300).select((F.col("id") % 30).alias("k"), F.col("id").alias("n")).write.parquet(f"{folder}/t")

@@ -280,7 +280,7 @@ def test_two_stages_with_the_same_relative_paths(spark, folder):
 
 def test_odd_path_names(spark, folder):
     good(spark).coalesce(1).write.parquet(f"{folder}/st age/k=[a]{{b}} c%20d")
-    target = Target(spark, f"{folder}/tar get", SCHEMA)
+    target = Target(spark, f"{folder}/tar get [x]", SCHEMA)
     for mode in (FULL_INGEST, ADD_FILES_COPY):
         run = import_files(spark, f"{folder}/st age", target, load_mode=mode, log_mode="fresh")
         assert (run.completed, run.failed) == (1, 0)
