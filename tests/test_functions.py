@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartage.functions import keys, paths, texts, types
+from cartage.session import session_setting
 from cartage.sources.tables import catalog_tables, column_list, describe_columns, select_columns
 
 
@@ -196,6 +197,17 @@ def test_compat_report_counts_columns_and_values(awkward):
     assert types.compat_report(awkward.select("bin")).count() == 0
 
 
+def test_geometries_are_exported_as_wkb(spark, folder):
+    point = "X'0101000000000000000000F03F0000000000000040'"
+    with session_setting(spark, "spark.sql.geospatial.enabled", "true"):
+        df = spark.sql(f"select st_geogfromwkb({point}) as g, st_geomfromwkb({point}) as m")
+        assert [types.source_type_name(f.dataType) for f in df.schema] == ["GEOGRAPHY", "GEOMETRY"]
+        types.compat_projection(df).write.parquet(f"{folder}/out")
+        row = spark.read.parquet(f"{folder}/out").first()
+    assert row.g == row.m and len(row.g) == 21
+    assert {f.dataType.simpleString() for f in types.target_schema(df.schema)} == {"binary"}
+
+
 def test_projection_has_no_python_step(awkward):
     plan = types.compat_projection(awkward)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
