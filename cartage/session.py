@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -52,17 +51,11 @@ def local_session(
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local folder would be lost with its machine.
-    """
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, else one below the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="cartage-")
-    raise ValueError("spark.checkpoint.dir is not set: name a folder every executor can reach")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.scratch"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
