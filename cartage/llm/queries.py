@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartage.llm import oracles
 from cartage.llm.minhash import near_duplicates
+from cartage.llm.splitters import shards
 from cartage.session import literal_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +28,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op10_minhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_splitters(spark, sf_dir):
+    return shards(read(spark, sf_dir, "documents"))
