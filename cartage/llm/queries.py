@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartage.llm import oracles
 from cartage.llm.minhash import near_duplicates
+from cartage.llm.secrets import secret_spans
 from cartage.llm.splitters import shards
 from cartage.session import literal_path
 
@@ -33,3 +34,8 @@ def op10_minhash(spark, sf_dir):
 @query
 def op9_splitters(spark, sf_dir):
     return shards(read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_secrets(spark, sf_dir):
+    return secret_spans(read(spark, sf_dir, "documents"))

@@ -92,8 +92,8 @@ def range_numbers(keys: DataFrame, uri: str, total: int, rounds: int = 4) -> Dat
 def shards(docs: DataFrame, count: int = 16) -> DataFrame:
     """``(doc_id, size, text_crc32, law, shard, slot, grown_shard)`` per row of ``docs``.
 
-    ``law`` is ``bytes``: record n in key order, starting at byte b of all T, goes to shard b * count / T,
-    so every shard's bytes differ from T / count by less than its largest record on either side. Slots
+    ``law`` is ``bytes``: a record whose middle is byte b of all T, in key order, goes to shard b * count / T,
+    so a shard's bytes differ from T / count by at most half of the records at its two ends. Slots
     number a shard's records in key order, without gaps. Size is the UTF-8 bytes of the text plus 1; a null
     text has size 1 and crc 0, as the empty text. Null doc_ids sort first. Rows that repeat key and size
     are interchangeable and get neighbouring slots. Other columns are ignored; an empty table gives an
@@ -126,7 +126,7 @@ def shards(docs: DataFrame, count: int = 16) -> DataFrame:
     running = ranged.withColumn("through", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     running = running.withColumn("nth", F.row_number().over(inside)).join(F.broadcast(bases), "range")
     start = F.col("bytes_before") + F.col("through") - F.col("size")
-    shard = F.expr(f"cast((cast(start as decimal(38,0)) * {count}) div {max(1, total)} as int)")
+    shard = F.expr(f"cast(((2 * cast(start as decimal(30,0)) + size) * {count}) div {max(1, 2 * total)} as int)")
     placed = materialize(
         running.withColumn("start", start).select(
             "doc_id", "size", "text_crc32", shard.alias("shard"), (F.col("rows_before") + F.col("nth") - 1).alias("position")
