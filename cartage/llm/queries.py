@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartage.llm import oracles
+from cartage.llm.bpe import bpe_digests
 from cartage.llm.minhash import near_duplicates
 from cartage.llm.secrets import secret_spans
 from cartage.llm.splitters import shards
@@ -39,3 +41,8 @@ def op9_splitters(spark, sf_dir):
 @query
 def op4_secrets(spark, sf_dir):
     return secret_spans(read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_bpe(spark, sf_dir):
+    return bpe_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
