@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cartage.llm import oracles
 from cartage.llm.bpe import bpe_digests
+from cartage.llm.langid import languages
 from cartage.llm.minhash import near_duplicates
 from cartage.llm.secrets import secret_spans
 from cartage.llm.splitters import shards
@@ -46,3 +47,8 @@ def op4_secrets(spark, sf_dir):
 @query
 def op6_bpe(spark, sf_dir):
     return bpe_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_language(spark, sf_dir):
+    return languages(read(spark, sf_dir, "documents"))
