@@ -14,6 +14,7 @@ from cartage.llm.langid import languages
 from cartage.llm.minhash import near_duplicates
 from cartage.llm.secrets import secret_spans
 from cartage.llm.splitters import shards
+from cartage.llm.url_ratio import judge_urls
 from cartage.session import literal_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +53,8 @@ def op6_bpe(spark, sf_dir):
 @query
 def op5_language(spark, sf_dir):
     return languages(read(spark, sf_dir, "documents"))
+
+
+@query
+def op1_url_ratio(spark, sf_dir):
+    return judge_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
