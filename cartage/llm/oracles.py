@@ -29,7 +29,43 @@ SHINGLE_COMPONENTS = f"""
     groups AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
 """
 
+_SEED = "concat_ws(' ', w[i+{0}], w[i+{0}+1], w[i+{1}], w[i+{1}+1], w[i+{2}], w[i+{2}+1], '{3}')"
+SEEDS = ", ".join(_SEED.format(*(o + 1 for o in offsets), number) for number, offsets in enumerate(((0, 3, 6), (0, 2, 6))))
+
+CONTAMINATIONS = f"""
+    doc_words AS (SELECT doc_id, {WORDS} AS w FROM {{docs}}),
+    item_words AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+    doc_seeds AS (
+        SELECT doc_id, i, unnest([{SEEDS}]) AS seed
+        FROM (SELECT doc_id, w, unnest(range(0, len(w) - 7)) AS i FROM doc_words)
+    ),
+    item_seeds AS (
+        SELECT item_id, i, unnest([{SEEDS}]) AS seed
+        FROM (SELECT item_id, w, unnest(range(0, len(w) - 7)) AS i FROM item_words)
+    ),
+    lines AS (SELECT DISTINCT doc_id, item_id, d.i - m.i AS line FROM doc_seeds d JOIN item_seeds m USING (seed)),
+    compared AS (
+        SELECT doc_id, item_id, least(20, len(m.w)) AS n_window, list_transform(
+            range(1, len(m.w) + 1),
+            lambda i: CASE WHEN i + line >= 1 AND coalesce(m.w[i] = d.w[i + line], false) THEN 1 ELSE 0 END) AS equal
+        FROM lines JOIN doc_words d USING (doc_id) JOIN item_words m USING (item_id)
+    ),
+    held AS (
+        SELECT doc_id, item_id, n_window, list_max(list_transform(
+            range(1, len(equal) - n_window + 2), lambda i: list_sum(equal[i:i + n_window - 1]))) AS n_equal
+        FROM compared
+    ),
+    contaminated AS (
+        SELECT doc_id, item_id, max(n_equal) AS n_equal, max(n_window) AS n_window
+        FROM held WHERE n_equal >= 0.75 * n_window GROUP BY doc_id, item_id
+    )
+"""
+
 SQL = {
+    "op2_spaced_seeds": f"""
+        WITH {CONTAMINATIONS.format(docs="documents")}
+        SELECT doc_id, item_id, n_equal, n_window FROM contaminated
+    """,
     "op10_minhash": f"""
         WITH RECURSIVE {SHINGLE_COMPONENTS.format(docs="documents")}
         SELECT doc_id, len(bag) AS n_shingles, coalesce(component, doc_id) AS component_id,

@@ -13,6 +13,7 @@ from cartage.llm.bpe import bpe_digests
 from cartage.llm.langid import languages
 from cartage.llm.minhash import near_duplicates
 from cartage.llm.secrets import secret_spans
+from cartage.llm.spaced_seeds import contaminations
 from cartage.llm.splitters import shards
 from cartage.llm.url_ratio import judge_urls
 from cartage.session import literal_path
@@ -58,3 +59,8 @@ def op5_language(spark, sf_dir):
 @query
 def op1_url_ratio(spark, sf_dir):
     return judge_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op2_spaced_seeds(spark, sf_dir):
+    return contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
