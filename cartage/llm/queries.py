@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cartage.llm import oracles
 from cartage.llm.bpe import bpe_digests
 from cartage.llm.langid import languages
+from cartage.llm.maxent import lm_scores
 from cartage.llm.minhash import near_duplicates
 from cartage.llm.secrets import secret_spans
 from cartage.llm.spaced_seeds import contaminations
@@ -64,3 +65,8 @@ def op1_url_ratio(spark, sf_dir):
 @query
 def op2_spaced_seeds(spark, sf_dir):
     return contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_maxent(spark, sf_dir):
+    return lm_scores(read(spark, sf_dir, "documents"))
