@@ -13,6 +13,7 @@ from cartage.llm.bpe import bpe_digests
 from cartage.llm.langid import languages
 from cartage.llm.maxent import lm_scores
 from cartage.llm.minhash import near_duplicates
+from cartage.llm.projections import embedding_groups
 from cartage.llm.secrets import secret_spans
 from cartage.llm.spaced_seeds import contaminations
 from cartage.llm.splitters import shards
@@ -70,3 +71,8 @@ def op2_spaced_seeds(spark, sf_dir):
 @query
 def op3_maxent(spark, sf_dir):
     return lm_scores(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_projections(spark, sf_dir):
+    return embedding_groups(read(spark, sf_dir, "embeddings"))
