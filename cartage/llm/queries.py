@@ -17,6 +17,7 @@ from cartage.llm.projections import embedding_groups
 from cartage.llm.secrets import secret_spans
 from cartage.llm.spaced_seeds import contaminations
 from cartage.llm.splitters import shards
+from cartage.llm.toxicity import toxicity
 from cartage.llm.url_ratio import judge_urls
 from cartage.session import literal_path
 
@@ -76,3 +77,8 @@ def op3_maxent(spark, sf_dir):
 @query
 def op7_projections(spark, sf_dir):
     return embedding_groups(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
