@@ -155,8 +155,8 @@ def _threshold(judged: DataFrame) -> float:
     before = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     rates = steps.select(
         "step",
-        (1 - F.coalesce(F.sum("accepted").over(before), F.lit(0)) / F.sum("accepted").over(everything)).alias("kept"),
-        (F.coalesce(F.sum("rejected").over(before), F.lit(0)) / F.sum("rejected").over(everything)).alias("caught"),
+        (1 - F.try_divide(F.coalesce(F.sum("accepted").over(before), F.lit(0)), F.sum("accepted").over(everything))).alias("kept"),
+        F.try_divide(F.coalesce(F.sum("rejected").over(before), F.lit(0)), F.sum("rejected").over(everything)).alias("caught"),
     )
     best = rates.where("kept is not null and caught is not null").orderBy(F.desc(F.round(F.col("kept") + F.col("caught"), 9)), F.abs("step"), "step").first()
     return best["step"] * STEP if best else 0.0
