@@ -8,22 +8,25 @@ from pyspark.sql import functions as F
 from cartage.session import materialize, scratch
 
 
-def _nearest(edges: DataFrame, uri: str) -> DataFrame:
+EDGES_PER_TASK = 100_000  # edges get smaller and fewer; so do the tasks that hold them
+
+
+def _nearest(edges: DataFrame, uri: str, tasks: int) -> DataFrame:
     """Per node the smallest neighbour; written, so that the join on a hub's key can be split at run time."""
-    return materialize(edges.groupBy("u").agg(F.min("v").alias("m")), uri)
+    return materialize(edges.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), uri)
 
 
-def _large_star(edges: DataFrame, uri: str) -> DataFrame:
+def _large_star(edges: DataFrame, uri: str, tasks: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    nearest = _nearest(both, f"{uri}-large")
+    nearest = _nearest(both, f"{uri}-large", tasks)
     larger = both.where("v > u").join(nearest, "u")
-    return larger.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+    return larger.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct().coalesce(tasks)
 
 
-def _small_star(edges: DataFrame, uri: str) -> DataFrame:
-    nearest = _nearest(edges, f"{uri}-small")
+def _small_star(edges: DataFrame, uri: str, tasks: int) -> DataFrame:
+    nearest = _nearest(edges, f"{uri}-small", tasks)
     moved = edges.join(nearest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(nearest.select("u", F.col("m").alias("v"))).distinct()
+    return moved.unionByName(nearest.select("u", F.col("m").alias("v"))).distinct().coalesce(tasks)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -46,8 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
         ).first()
         if count == 0 or (count, digest) == before:
             break
-        before, step = (count, digest), step + 1
-        large = materialize(_large_star(now, f"{uri}/{step}"), f"{uri}/{step}-moved")
-        now = materialize(_small_star(large, f"{uri}/{step}"), f"{uri}/{step}")
+        before, step, tasks = (count, digest), step + 1, count // EDGES_PER_TASK + 4
+        large = materialize(_large_star(now, f"{uri}/{step}", tasks), f"{uri}/{step}-moved")
+        now = materialize(_small_star(large, f"{uri}/{step}", tasks), f"{uri}/{step}")
     roots = now.select(F.col("v").alias("u"), "v").distinct()
     return now.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))

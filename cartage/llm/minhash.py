@@ -16,20 +16,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartage.llm.components import components
-from cartage.llm.words import chunks, hashed_words, mix, shingle_sets, utf8
+from cartage.llm.words import chunks, hashed_words, mix, shingle_sets
 from cartage.session import materialize, scratch
 
 WIDTH = 5  # words of a shingle
 PERCENT = 75  # least similarity of a link, in percent
 ROWS, BANDS = 5, 40
-BINS = ROWS * BANDS
+BINS = 2 * ROWS * BANDS  # the bands take every other bin, the sketch takes all
 CELL = 64  # members that one task compares with one centre before the centre is copied to another cell
 BLOCK = 512  # members of a bucket that meet in one task when a bucket holds several components
-SKETCH_FLOOR = 0.5  # a pair at PERCENT is eight standard deviations above this share of equal bins
+SKETCH_FLOOR = 0.66  # a pair at PERCENT is over four standard deviations above this share of equal bins
 
 _U = np.uint64
 _BIN_SALT = mix(np.arange(1, BINS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
-_ROW_SALT = mix(_BIN_SALT) | _U(1)
+_ROW_SALT = mix(_BIN_SALT[::2]) | _U(1)
 
 
 def densified(shingles: np.ndarray) -> np.ndarray:
@@ -63,7 +63,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 signs.append(np.array([np.add.reduce(shingles), np.bitwise_xor.reduce(mix(shingles))]).tobytes())
                 values = densified(shingles)
                 keyed = mix(values + _BIN_SALT)
-                bands.append(mix((keyed * _ROW_SALT).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64)).view(np.int64))
+                bands.append(mix((keyed[::2] * _ROW_SALT).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64)).view(np.int64))
                 marks.append((keyed & _U(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -119,27 +119,31 @@ def verified(pairs: DataFrame, docs: DataFrame, uri: str) -> DataFrame:
     asked = materialize(asked, f"{uri}-asked")
     hubs = asked.select("a", "cell").distinct().select("a", "cell", F.col("a").alias("need"), F.lit(0).alias("role"))
     texts = docs.select(F.col("doc_id").cast("long").alias("need"), "text").where("need is not null and text is not null")
-    rows = asked.unionByName(hubs).join(texts, "need").repartition("a", "cell")
+    # the texts always move by hash: what is asked for grows with them, so its broadcast would not last
+    rows = asked.unionByName(hubs).join(texts.hint("merge"), "need").repartition("a", "cell")
     return rows.sortWithinPartitions("a", "cell", "role").mapInArrow(_verify_batches, "a long, b long")
 
 
 def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block that lie in different components and whose sketches are close."""
+    """Pairs of one block that lie in different components and whose sketches are close, from their first shared bucket."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     held: dict[str, list] = {}
     key = None
 
     def compare() -> Iterator[pa.RecordBatch]:
         marks = np.frombuffer(b"".join(held["sketch"]), np.uint8).reshape(-1, BINS)
+        bands = np.array(held["bands"])
         ids, parts, sides = np.array(held["rep"]), np.array(held["component"]), np.array(held["side"])
         sizes = np.array(held["n_shingles"])
         left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == (1 if (sides == 1).any() else 0))
         found = []
         for i in left:
             near = right[(parts[right] != parts[i]) & (100 * np.minimum(sizes[right], sizes[i]) >= PERCENT * np.maximum(sizes[right], sizes[i]))]
+            near = near[(marks[near] == marks[i]).mean(axis=1) >= SKETCH_FLOOR]
             if len(near):
-                alike = (marks[near] == marks[i]).mean(axis=1) >= SKETCH_FLOOR
-                found += [(min(ids[i], j), max(ids[i], j)) for j in ids[near[alike]]]
+                first = (bands[near] == bands[i]).argmax(axis=1)
+                near = near[bands[i][first] == key[0]]
+                found += [(min(ids[i], j), max(ids[i], j)) for j in ids[near]]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in found], pa.int64()) for k in (0, 1)], schema=schema)
 
@@ -150,7 +154,7 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if now != key:
                 if key is not None:
                     yield from compare()
-                key, held = now, {c: [] for c in ("sketch", "rep", "component", "side", "n_shingles")}
+                key, held = now, {c: [] for c in ("sketch", "bands", "rep", "component", "side", "n_shingles")}
             for c in held:
                 held[c].append(rows[c][i])
     if key is not None:
@@ -172,7 +176,7 @@ def crossing_pairs(members: DataFrame, uri: str) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
         "bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "component", "n_shingles", "sketch",
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "component", "n_shingles", "bands", "sketch",
     )
     dealt = rows.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
     return dealt.mapInArrow(_block_batches, "a long, b long").distinct()
@@ -209,12 +213,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = materialize(verified(stars, docs, f"{uri}/star"), f"{uri}/star-links")
     found = materialize(components(links), f"{uri}/first")
 
-    marked = classes.select("rep", "n_shingles", "sketch").join(found, classes["rep"] == found["node"], "left")
-    marked = marked.select("rep", "n_shingles", "sketch", F.coalesce("component", "rep").alias("component"))
+    marked = classes.select("rep", "n_shingles", "bands", "sketch").join(found, classes["rep"] == found["node"], "left")
+    marked = marked.select("rep", "n_shingles", "bands", "sketch", F.coalesce("component", "rep").alias("component"))
     members = shared.select("bucket", "rep").join(marked, "rep")
     open_pairs = crossing_pairs(members, f"{uri}/open").join(stars, ["a", "b"], "left_anti")
     more = materialize(verified(open_pairs, docs, f"{uri}/cross"), f"{uri}/cross-links")
-    joined = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    joined = found
+    if not more.isEmpty():
+        joined = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     # one document may stand in several classes when rows repeat a doc_id: its classes are one node already
     same = joined.withColumnRenamed("node", "rep")
