@@ -22,7 +22,6 @@ SUBSTITUTE = "_"
 
 NULL_FOLDER = "__NULL__"
 EMPTY_FOLDER = "__EMPTY__"
-_LONGEST_FOLDER = 120
 _SUFFIX_DIGITS = 16
 
 # Types whose values survive the trip to text and back, so that a few selected
@@ -57,21 +56,6 @@ def partition_predicate(values: Mapping[str, object], schema: T.StructType) -> C
     return reduce(lambda a, b: a & b, terms)
 
 
-def any_partition(rows: Sequence[Mapping[str, object]], schema: T.StructType) -> Column:
-    """Rows of a few partitions, as one filter the scan can push down."""
-    names = list(rows[0])
-    if len(names) == 1:
-        name = names[0]
-        column, dt = F.col(quoted(name)), schema[name].dataType
-        values = [r[name] for r in rows if r[name] is not None]
-        terms = [column.isin([typed_literal(v, dt) for v in values])] if values else []
-        if len(values) < len(rows):
-            terms.append(column.isNull())
-    else:
-        terms = [partition_predicate(r, schema) for r in rows]
-    return reduce(lambda a, b: a | b, terms)
-
-
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on null-safe equality of the key columns, as a hash or merge join.
 
@@ -90,23 +74,49 @@ def other_key(name: str) -> str:
     return f"__other_{name}"
 
 
-def restrict_to_keys(
-    df: DataFrame, selected: DataFrame, keys: Sequence[str], max_literals: int = 500
-) -> DataFrame:
+def key_ranges(df: DataFrame, selected: DataFrame, keys: Sequence[str]) -> Column | None:
+    """What the smallest and largest selected value of each key column say about a row; ``None`` if no key is selected.
+
+    One row of facts reaches the driver, however many keys are selected.
+    """
+    facts = selected.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[
+            x
+            for i, k in enumerate(keys)
+            for x in (
+                F.min(quoted(k)).cast("string").alias(f"low_{i}"), F.max(quoted(k)).cast("string").alias(f"high_{i}"),
+                F.count_if(F.col(quoted(k)).isNull()).alias(f"nulls_{i}"),
+            )
+        ],
+    ).first()
+    if not facts["n"]:
+        return None
+    terms = [F.lit(True)]
+    for i, name in enumerate(keys):
+        column, dt = F.col(quoted(name)), df.schema[name].dataType
+        if not isinstance(dt, _LITERAL_TYPES):
+            continue
+        term = None
+        if facts[f"low_{i}"] is not None:
+            low, high = (typed_literal(facts[f"{end}_{i}"], dt) for end in ("low", "high"))
+            term = (column >= low) & (column <= high)
+        if facts[f"nulls_{i}"]:
+            term = column.isNull() if term is None else term | column.isNull()
+        terms.append(term)
+    return reduce(lambda a, b: a & b, terms)
+
+
+def restrict_to_keys(df: DataFrame, selected: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``selected``.
 
-    A handful of keys become a literal filter, which reaches the Parquet scan.
-    More of them stay a semi join: broadcast while the key table is small,
-    shuffled beyond that. Never more than ``max_literals + 1`` keys are fetched.
+    A semi join for any number of keys, which Spark broadcasts while the key table is small. The range that
+    the selected keys span reaches the scan as a filter.
     """
-    if all(isinstance(df.schema[k].dataType, _LITERAL_TYPES) for k in keys):
-        text = selected.select(*[F.col(quoted(k)).cast("string").alias(k) for k in keys])
-        rows = [r.asDict() for r in text.limit(max_literals + 1).collect()]
-        if not rows:
-            return df.filter(F.lit(False))
-        if len(rows) <= max_literals:
-            return df.filter(any_partition(rows, df.schema))
-    return join_on_keys(df, selected, keys, "left_semi")
+    spanned = key_ranges(df, selected, keys)
+    if spanned is None:
+        return df.filter(F.lit(False))
+    return join_on_keys(df.filter(spanned), selected, keys, "left_semi")
 
 
 def key_text(column: Column, dt: T.DataType) -> Column:
@@ -137,15 +147,8 @@ def base_path_key(schema: T.StructType, keys: Sequence[str], parent: str | None
         parts.append(
             F.when(text.isNull(), NULL_FOLDER).when(text == "", EMPTY_FOLDER).otherwise(sanitized(text))
         )
-    folder = parts[0] if len(parts) == 1 else F.concat_ws("__", *parts)
-    return F.when(
-        F.length(folder) > _LONGEST_FOLDER,
-        F.concat(
-            F.substring(folder, 1, _LONGEST_FOLDER),
-            F.lit("_"),
-            key_digest(schema, keys, parent),
-        ),
-    ).otherwise(folder)
+    # never shortened: a name the store refuses fails its own partition
+    return parts[0] if len(parts) == 1 else F.concat_ws("__", *parts)
 
 
 def key_digest(schema: T.StructType, keys: Sequence[str], parent: str | None = None) -> Column:

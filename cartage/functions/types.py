@@ -122,10 +122,11 @@ def export_schema(schema: T.StructType, spark) -> T.StructType:
     return compat_projection(spark.createDataFrame([], schema)).schema
 
 
-def compat_report(df: DataFrame) -> DataFrame:
-    """Per transformed type: how many columns carry it and how many values get cast.
+def compat_report(df: DataFrame, count_values: bool = False) -> DataFrame:
+    """Per transformed type: how many columns carry it and, on request, how many values get cast.
 
-    One pass over the transformed columns only; the other columns are pruned.
+    The columns are told from the schema alone. Counting values takes one pass over the transformed
+    columns; ``value_count`` is NULL without it.
     """
     by_type: dict[str, list[str]] = {}
     for field in df.schema:
@@ -136,6 +137,9 @@ def compat_report(df: DataFrame) -> DataFrame:
         return df.sparkSession.createDataFrame(
             [], "data_type string, column_count bigint, value_count bigint"
         )
+    if not count_values:
+        rows = [(name, len(by_type[name]), None) for name in sorted(by_type)]
+        return df.sparkSession.createDataFrame(rows, "data_type string, column_count bigint, value_count bigint")
     totals = []
     for name in sorted(by_type):
         counts = [F.count(F.col(quoted(c))) for c in by_type[name]]
@@ -199,6 +203,16 @@ def fitted(value: Column, have: T.DataType, want: T.DataType) -> Column:
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
         return F.transform(value, lambda x: fitted(x, have.elementType, want.elementType))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return F.map_from_entries(
+            F.transform(
+                F.map_entries(value),
+                lambda e: F.struct(
+                    fitted(e["key"], have.keyType, want.keyType).alias("key"),
+                    fitted(e["value"], have.valueType, want.valueType).alias("value"),
+                ),
+            )
+        )
     return parquet_value(value, have).cast(want)
 
 

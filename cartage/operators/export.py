@@ -7,13 +7,19 @@ are isolated by halving the wave.
 
 from __future__ import annotations
 
+import errno
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
+import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pa_fs
+import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +27,7 @@ from pyspark.sql import types as T
 from cartage.functions.keys import assign_path_keys, base_path_key, restrict_to_keys
 from cartage.functions.texts import ERROR_LIMIT
 from cartage.functions.types import compat_columns, quoted, row_bytes
+from cartage.operators.cleanup import remove_files
 from cartage.operators.logs import (
     StateLog,
     partition_log,
@@ -28,11 +35,11 @@ from cartage.operators.logs import (
     with_status,
 )
 from cartage.plans.work import MAX_FILE_SIZE, file_count, rows_per_file, wave_ranges, with_rank
-from cartage.session import as_lookup, glob_paths, literal_path, materialize, one_row, path_exists, plan_bytes
+from cartage.session import literal_path, materialize, one_row, path_exists, scanned_bytes
+from cartage.sources.files import open_file, spread
 from cartage.sources.tables import select_columns
 
 _HEADROOM = 0.9
-_LISTED_FOLDERS = 10_000
 _ROW = "__row"
 _FIRST = "__first_task"
 _RESERVED = ("path_key", "part_key", "file_count", _ROW, _FIRST)
@@ -52,8 +59,18 @@ class ExportRun:
     errors: list[str] = field(default_factory=list)
 
 
-class TooManyFailures(RuntimeError):
-    """So many items failed on their own that the cause is not the items."""
+# What Spark says when machines fail rather than data.
+_LOST_MACHINES = (
+    "ExecutorLostFailure", "FetchFailed", "SparkContext was shut down", "SparkContext is stopped",
+    "cancelled because SparkContext", "No space left on device", "Connection refused", "has been shutdown",
+)
+
+
+def machines_failed(problem: BaseException) -> bool:
+    """Whether a job failed for reasons that no choice of items mends, so that isolating items is pointless."""
+    return not isinstance(problem, (PySparkException, Py4JJavaError, ValueError, RuntimeError)) or any(
+        sign in str(problem) for sign in _LOST_MACHINES
+    )
 
 
 def new_task_id(operation: str) -> str:
@@ -85,23 +102,22 @@ def analyse_partitions(
 ) -> DataFrame:
     """Profile the table and add the partitions the log does not know yet.
 
-    Returns the written profile ``(part_key, total_rows, input_bytes)``; the bytes are
-    a share of the table's file size unless they are measured, or have to be. Known
+    Returns the written profile ``(part_key, total_rows, input_bytes)``. By default the bytes are a
+    share of the scanned files' size by rows, as only the key columns are read; an export corrects it by what it
+    has written. Measured, or where that size is unknown, they are summed from every column. Known
     partitions keep their state and folder; new ones start as ``initial``.
     """
-    size = None if measure_bytes else plan_bytes(df)
-    measure_bytes = size is None
+    size = None if measure_bytes else scanned_bytes(df)
+    weighed = F.lit(None) if size is not None else row_bytes(df.schema)
     # grouped by the key as one value, so no key column can clash with a counter's name
-    keyed = df.select(key_struct(keys), row_bytes(df.schema).alias("bytes") if measure_bytes else F.lit(None).alias("bytes"))
+    keyed = df.select(key_struct(keys), weighed.alias("bytes"))
     counts = keyed.groupBy("part_key").agg(
         F.count(F.lit(1)).alias("total_rows"), F.sum(F.col("bytes").cast("bigint")).alias("input_bytes")
     )
     profile = materialize(counts, f"{log.uri}/profiles/{task_id}")
-    if not measure_bytes:
-        total = profile.agg(F.sum("total_rows")).first()[0] or 0
-        per_row = size / total if total else 0.0
-        estimate = F.ceil(F.col("total_rows") * F.lit(per_row)).cast("bigint")
-        profile = profile.withColumn("input_bytes", estimate)
+    if size is not None:
+        per_row = size / max(1, profile.agg(F.sum("total_rows")).first()[0] or 0)
+        profile = profile.withColumn("input_bytes", F.ceil(F.col("total_rows") * F.lit(per_row)).cast("bigint"))
 
     known = log.current()
     unseen = profile.join(known.select("part_key"), "part_key", "left_anti") if log.exists() else profile
@@ -197,12 +213,12 @@ def distribute(
     rows = rows.select(*projected)
 
     # both lookups hold exceptions only: colliding names, and partitions beyond the size
-    # cap (at most table size / cap rows); counted and few they are broadcast, else joined
+    # cap (at most table size / cap rows); Spark broadcasts them while they are small
     if renamed != 0:
         names = plan.filter("path_key <> base_key").select("part_key", F.col("path_key").alias("__name"))
-        rows = rows.join(as_lookup(names, renamed), "part_key", "left").withColumn("path_key", F.coalesce("__name", "path_key"))
+        rows = rows.join(names, "part_key", "left").withColumn("path_key", F.coalesce("__name", "path_key"))
     if split != 0:
-        rows = _deal_out(rows, plan, split)
+        rows = _deal_out(rows, plan)
     elif single_file:
         rows = rows.repartition("path_key")
     else:
@@ -210,7 +226,7 @@ def distribute(
     return rows.select(*[F.col(quoted(c)) for c in exported], "path_key")
 
 
-def _deal_out(rows: DataFrame, plan: DataFrame, split: int | None) -> DataFrame:
+def _deal_out(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """One task per folder, but one task per planned file for a partition of several files.
 
     Each of those files has a task of its own: hashing partition and file number
@@ -226,7 +242,7 @@ def _deal_out(rows: DataFrame, plan: DataFrame, split: int | None) -> DataFrame:
     shared = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own_task = F.lit(shared) + F.col(_FIRST) + F.pmod(F.col(_ROW), F.col("file_count"))
     task = F.when(F.col(_FIRST).isNotNull(), own_task).otherwise(F.pmod(F.xxhash64("path_key"), F.lit(shared)))
-    joined = rows.join(as_lookup(offsets, split), "part_key", "left")
+    joined = rows.join(offsets, "part_key", "left")
     return joined.repartitionById(shared + int(extra), task.cast("int"))
 
 
@@ -247,29 +263,59 @@ def read_staged(spark: SparkSession, stage_uri: str, schema: T.StructType) -> Da
     return spark.read.schema(full).parquet(literal_path(stage_uri))
 
 
-def _existing_folders(spark: SparkSession, stage_uri: str, names: list[str]) -> list[str]:
-    """Those of a wave's folders that exist, looked up by name some hundreds at a time."""
-    found = []
-    for start in range(0, len(names), 500):
-        # folder names hold no character that means anything in a pattern
-        choice = ",".join(names[start : start + 500])
-        found += glob_paths(spark, f"{literal_path(stage_uri)}/path_key={{{choice}}}")
-    return found
+_STAGED = "path_key string, path string, rows bigint, size bigint, problem string"
 
 
-def staged_counts(spark: SparkSession, stage_uri: str, folders: DataFrame | None = None) -> DataFrame:
-    """Rows, files and bytes per folder, read from footers alone (no column is decoded).
+def staged_files(folders: DataFrame, stage_uri: str) -> DataFrame:
+    """Files of the named folders with their rows, told by footers; ``folders`` has a ``path_key``.
 
-    With ``folders`` (a table of ``path_key``, at most a wave) only those are listed.
+    Tasks look the folders up by name, so neither the driver nor any task lists the stage, and
+    counting costs one footer per file whatever it holds.
     """
-    paths = [stage_uri] if path_exists(spark, stage_uri) else []
-    if folders is not None:
-        paths = _existing_folders(spark, stage_uri, [r.path_key for r in folders.select("path_key").collect()])
-    if not paths:
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for key in batch["path_key"]:
+                filesystem, folder = open_file(f"{stage_uri}/path_key={key}")
+                try:
+                    infos = filesystem.get_file_info(pa_fs.FileSelector(folder, allow_not_found=True, recursive=True))
+                except OSError as refused:
+                    if refused.errno != errno.ENAMETOOLONG:  # such a folder cannot exist
+                        raise
+                    infos = []
+                for info in infos:
+                    if not info.is_file or info.base_name.startswith(("_", ".")):
+                        continue
+                    rows, problem = None, None
+                    try:
+                        with filesystem.open_input_file(info.path) as file:
+                            rows = pq.read_metadata(file).num_rows
+                    except pa.ArrowInvalid as unreadable:
+                        problem = f"{info.base_name}: {unreadable}"
+                    found.append((key, f"{stage_uri}/path_key={key}{info.path[len(folder):]}", rows, info.size, problem))
+            yield pd.DataFrame(found, columns=["path_key", "path", "rows", "size", "problem"]).astype(
+                {"rows": "Int64", "size": "Int64"}
+            )
+
+    return spread(folders.select("path_key")).mapInPandas(look, _STAGED)
+
+
+def per_folder(files: DataFrame) -> DataFrame:
+    """Rows, files and bytes per folder of ``staged_files``."""
+    return files.groupBy("path_key").agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"),
+        F.max("size").alias("largest"), F.max("problem").alias("unreadable"),
+    )
+
+
+def staged_counts(spark: SparkSession, stage_uri: str) -> DataFrame:
+    """Rows, files and bytes per folder of a whole stage, read from footers alone (no column is decoded)."""
+    if not path_exists(spark, stage_uri):
         return spark.createDataFrame([], "path_key string, rows bigint, files bigint, bytes bigint")
     reader = spark.read.schema("path_key string").option("basePath", stage_uri)
     per_file = (
-        reader.parquet(*[literal_path(p) for p in paths])
+        reader.parquet(literal_path(stage_uri))
         .groupBy("path_key", F.col("_metadata.file_path").alias("file"))
         .agg(F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("size"))
     )
@@ -291,7 +337,6 @@ def export_pending(
     single_file: bool = True,
     max_file_size: int = MAX_FILE_SIZE,
     wave_size: int | None = None,
-    max_failures: int = 32,
     suspended: Callable[[], bool] = lambda: False,
 ) -> ExportRun:
     """Export every PENDING partition, and those a crashed run left IN_PROGRESS."""
@@ -302,9 +347,9 @@ def export_pending(
         "total_rows", F.coalesce("total_rows", F.lit(0).cast("bigint"))
     )
     sized = sized.withColumn("file_count", file_count(F.coalesce("input_bytes", F.lit(0)), max_file_size, _HEADROOM))
-    # a count of the written profile reads footers only; it tells how the work is to be ordered
+    # a count of the written profile reads footers only
     profiled = profile.count()
-    ordered = with_rank(sized, ["total_rows", "part_key"], f"{log.uri}/plans/{task_id}-ranges", profiled)
+    ordered = with_rank(sized, ["total_rows", "part_key"], f"{log.uri}/plans/{task_id}-ranges")
     plan = materialize(ordered, f"{log.uri}/plans/{task_id}")
     facts = plan.agg(
         F.count(F.lit(1)).alias("n"),
@@ -327,35 +372,49 @@ def export_pending(
     shape = {"renamed": facts.renamed, "split": facts.split}
     waves = wave_ranges(facts.n, wave_size)
     waved = len(waves) > 1
-    failures: list[str] = []
-
-    def export_range(lo: int, hi: int, part: DataFrame) -> tuple[list[tuple[int, int]], list[tuple[int, int, str]]]:
-        """Slot ranges written and ranges (of one partition each) that failed."""
+    def export_range(lo: int, hi: int, part: DataFrame, done: list[tuple[int, int]], bad: list[tuple[int, int, str]]) -> None:
+        """Write a slot range; ranges written go to ``done``, single partitions that cannot be to ``bad``."""
         narrowed = waved or (lo, hi) != waves[0]
         try:
             rows = distribute(df, keys, part, columns, single_file, restricted or narrowed, **shape)
             write_partitions(rows, stage_uri, max_records)
-            return [(lo, hi)], []
+            done.append((lo, hi))
+            return
         except Exception as problem:
+            if machines_failed(problem):
+                raise
             if hi - lo <= 1:
-                failures.append(str(problem)[:ERROR_LIMIT])
-                if len(failures) > max_failures:
-                    raise TooManyFailures(failures[-1]) from problem
-                return [], [(lo, hi, failures[-1])]
+                bad.append((lo, hi, str(problem)[:ERROR_LIMIT]))
+                return
         middle = (lo + hi) // 2
-        done, bad = [], []
         for a, b in ((lo, middle), (middle, hi)):
             half = part.filter((F.col("slot") >= a) & (F.col("slot") < b))
             if half.take(1):
-                good_ranges, bad_ranges = export_range(a, b, half)
-                done += good_ranges
-                bad += bad_ranges
-        return done, bad
-
-    def counts_of(wave: DataFrame) -> DataFrame:
-        """Staged counts; a small wave out of many does not list the whole stage."""
-        listed = wave if waved and wave_size <= _LISTED_FOLDERS else None
-        return staged_counts(spark, stage_uri, listed)
+                export_range(a, b, half, done, bad)
+
+    def fitted(wave: DataFrame, lo: int) -> DataFrame:
+        """What the wave's folders hold, after a second write of those whose estimate was wrong.
+
+        A partition with a file beyond the cap, or split though one file would have held it, is written
+        again by what it was found to weigh.
+        """
+        for moment in ("written", "rewritten", "settled"):
+            held = per_folder(listed(wave, f"{moment}-files", lo))
+            if not single_file or moment == "settled":
+                break
+            beyond, needless = F.col("largest") > max_file_size, (F.col("files") > 1) & (F.col("bytes") <= max_file_size)
+            wrong = wave.drop("file_count").join(held.filter(beyond | needless), "path_key")
+            wrong = wrong.withColumn("file_count", file_count(F.col("bytes"), max_file_size, _HEADROOM))
+            wrong = materialize(wrong.select(wave.columns), f"{log.uri}/plans/{task_id}-{moment}-wrong-{lo}")
+            if wrong.isEmpty():
+                break
+            rows = distribute(df, keys, wrong, columns, True, True, renamed=facts.renamed, split=None)
+            write_partitions(rows, stage_uri, 0)
+        return held
+
+    def listed(wave: DataFrame, moment: str, lo: int) -> DataFrame:
+        """The files of a wave's folders, written down once."""
+        return materialize(staged_files(wave, stage_uri), f"{log.uri}/plans/{task_id}-{moment}-{lo}")
 
     for lo, hi in waves:
         if lo and suspended():
@@ -363,9 +422,10 @@ def export_pending(
             break
         wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if waved else plan
         if not overwrite:
-            present = counts_of(wave).select("path_key")
-            refused = wave.join(present, "path_key", "left_semi")
-            wave = wave.join(present, "path_key", "left_anti")
+            present = listed(wave, "present", lo).select("path_key").distinct()
+            # a partition that was begun and never settled may replace what it left behind
+            refused = wave.join(present, "path_key", "left_semi").filter(~_begun())
+            wave = wave.join(refused.select("path_key"), "path_key", "left_anti")
             refused = materialize(refused, f"{log.uri}/plans/{task_id}-refused-{lo}")
             wave = materialize(wave, f"{log.uri}/plans/{task_id}-wave-{lo}")
             log.transition(
@@ -373,9 +433,7 @@ def export_pending(
                 status=F.lit("FAILED"), task_id=F.lit(task_id), ended_at=F.current_timestamp(),
                 error_message=F.lit("files already exist in the partition's folder and overwrite is off"),
             )
-            refusals = refused.count()
-            run.failed += refusals
-            run.completed -= refusals
+            run.failed += refused.count()
         started = F.lit(datetime.now(timezone.utc))
         log.transition(
             wave, "started",
@@ -384,14 +442,39 @@ def export_pending(
         )
         # partitions that lost all their rows since they were analysed have nothing to write
         filled = wave.filter("total_rows > 0") if facts.filled < facts.n else wave
+        done: list[tuple[int, int]] = []
         bad: list[tuple[int, int, str]] = []
+        broken = None
         if facts.filled == facts.n and overwrite or filled.take(1):
-            _, bad = export_range(lo, hi, filled)
-
-        error = F.lit(None).cast("string")
-        for a, b, text in bad:
-            error = F.when((F.col("slot") >= a) & (F.col("slot") < b), F.lit(text)).otherwise(error)
-        settled = wave.join(counts_of(wave), "path_key", "left").withColumn("problem", error)
+            try:
+                export_range(lo, hi, filled, done, bad)
+            except Exception as problem:
+                broken = problem
+        if broken is not None:
+            # settle what was finished before the machines failed; the rest stays in progress for a later run
+            if not done and not bad:
+                raise broken
+            wave = wave.join(_slots(spark, done + [b[:2] for b in bad]), "slot", "left_semi")
+
+        settled = wave
+        if facts.filled < facts.n:
+            # what an earlier export of a partition left behind goes when the partition has no rows any more
+            empty = wave.filter("total_rows = 0")
+            gone = materialize(
+                remove_files(listed(empty, "stale", lo).select("path"), confirm=True), f"{log.uri}/plans/{task_id}-removed-{lo}"
+            )
+            stuck = gone.filter("problem is not null").select(
+                F.regexp_extract("path", "/path_key=([^/]*)/", 1).alias("path_key"), "problem"
+            ).groupBy("path_key").agg(F.first("problem").alias("stale"))
+            settled = settled.join(stuck, "path_key", "left")
+        else:
+            settled = settled.withColumn("stale", F.lit(None).cast("string"))
+        error = _errors(spark, bad)
+        held = fitted(filled.join(_slots(spark, done), "slot", "left_semi") if bad or broken else filled, lo)
+        settled = settled.join(held, "path_key", "left").join(error, "slot", "left")
+        missing = F.when((F.col("total_rows") > 0) & F.col("files").isNull(), F.lit("no files of the partition are staged"))
+        settled = settled.withColumn("problem", F.coalesce("failure", "unreadable", "stale", missing))
+        settled = materialize(settled, f"{log.uri}/plans/{task_id}-settled-{lo}")
         ok = F.col("problem").isNull()
         written = ok & (F.col("total_rows") > 0)
         nothing = F.lit(0).cast("bigint")
@@ -407,12 +490,33 @@ def export_pending(
             retry_count=F.when(ok, F.col("retry_count")).otherwise(F.col("retry_count") + 1),
             error_message=F.col("problem"),
         )
+        outcome = settled.agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("problem").isNotNull()).alias("bad")
+        ).first()
         run.errors += [text for _, _, text in bad]
-        run.failed += len(bad)
-        run.completed += min(hi, facts.n) - lo - len(bad)
+        run.failed += outcome.bad
+        run.completed += outcome.n - outcome.bad
+        if broken is not None:
+            raise broken
     return run
 
 
+def _begun() -> Column:
+    """Whether an earlier run started the partition and never settled it."""
+    return F.col("started_at").isNotNull() & F.col("ended_at").isNull()
+
+
+def _slots(spark: SparkSession, ranges: list[tuple[int, int]]) -> DataFrame:
+    """The slots of some ranges."""
+    spans = spark.createDataFrame(ranges, "first bigint, after bigint")
+    return spans.select(F.explode(F.sequence("first", F.col("after") - 1)).alias("slot"))
+
+
+def _errors(spark: SparkSession, bad: list[tuple[int, int, str]]) -> DataFrame:
+    """``(slot, failure)`` of the partitions that could not be written."""
+    return spark.createDataFrame([(a, text) for a, _, text in bad], "slot bigint, failure string")
+
+
 def record_run(runs: StateLog, task_id: str, operation: str, status: str, **values) -> None:
     """Append one state of a run to the registry."""
     row = one_row(runs.spark, task_id=task_id, operation=operation, status=status, **values)
@@ -432,6 +536,7 @@ def refuse_concurrent(runs: StateLog, takeover: bool) -> None:
     """Logs have one writer at a time, and two runs on one stage would overwrite each other's folders."""
     if takeover or not runs.exists():
         return
+    runs.refresh()
     busy = with_status(runs.current(), "RUNNING").select("task_id", "stage_uri").take(1)
     if busy:
         raise RuntimeError(
@@ -475,7 +580,6 @@ def export_table(
     wave_size: int | None = None,
     log_mode: str = "reuse",
     measure_bytes: bool = False,
-    max_failures: int = 32,
     source: str = "",
     task_id: str | None = None,
     takeover: bool = False,
@@ -519,7 +623,7 @@ def export_table(
         run = export_pending(
             df, keys, stage_uri, log, profile, task_id,
             columns=columns, overwrite=overwrite, single_file=single_file,
-            max_file_size=max_file_size, wave_size=wave_size, max_failures=max_failures,
+            max_file_size=max_file_size, wave_size=wave_size,
             suspended=lambda: is_suspended(runs, task_id),
         )
     except Exception as problem:

@@ -24,8 +24,8 @@ from cartage.functions.paths import relative_path
 from cartage.functions.texts import ERROR_LIMIT, both_failed_message, clip_error, fallback_message
 from cartage.functions.types import bind_by_name
 from cartage.operators.export import (
-    TooManyFailures,
     is_suspended,
+    machines_failed,
     new_task_id,
     record_run,
     refuse_concurrent,
@@ -42,10 +42,11 @@ from cartage.operators.target import (
 )
 from cartage.plans.work import wave_ranges, with_rank
 from cartage.session import literal_path, materialize, qualify, session_setting
-from cartage.sources.files import files_only, list_files, open_file, read_footers, spread
+from cartage.sources.files import files_only, list_files, open_file, read_footers
 
 _CHUNK = 8 * 1024 * 1024
 _WAVE_FILES = 10_000
+_REPLACED = "files of this folder were loaded and have been replaced since; load it into a fresh log or another target"
 
 # Widest integer each decimal must hold to take a file's integer column unchanged.
 _INTEGER_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
@@ -80,21 +81,39 @@ def discover(listing: DataFrame, stage_uri: str, log: StateLog, stage_path: str
     return staged.join(log.current().select("source_uri"), "source_uri", "left_anti")
 
 
-def enqueue(new_files: DataFrame, log: StateLog, task_id: str) -> None:
+def enqueue(new_files: DataFrame, log: StateLog, task_id: str, refusal: str | None = None) -> None:
+    """Log new files as PENDING, or as FAILED with the reason why they are refused."""
     log.append(
         new_files.select(
             "file_path", "source_uri", "length",
-            F.lit("PENDING").alias("status"),
+            F.lit("FAILED" if refusal else "PENDING").alias("status"),
             F.lit(task_id).alias("task_id"),
             F.lit(0).alias("retry_count"),
+            F.lit(refusal).alias("error_message"),
             *[F.lit(None).alias(c) for c in (
-                "target_path", "load_mode_used", "rows_parsed", "rows_loaded",
-                "error_message", "started_at", "ended_at")],
+                "target_path", "load_mode_used", "rows_parsed", "rows_loaded", "started_at", "ended_at")],
         ),
-        "enqueued",
+        "refused" if refusal else "enqueued",
     )
 
 
+def folder_of(path: str) -> Column:
+    return F.regexp_replace(path, "/[^/]*$", "")
+
+
+def replaced_folders(listing: DataFrame, stage_uri: str, log: StateLog) -> DataFrame:
+    """Folders of the stage from which loaded files have vanished, so that other files in them hold the same rows again."""
+    loaded = with_status(log.current(), "SUCCESS").filter(F.startswith("source_uri", F.lit(f"{stage_uri.rstrip('/')}/")))
+    gone = loaded.join(listing.select(F.col("path").alias("source_uri")), "source_uri", "left_anti")
+    return gone.select(folder_of("source_uri").alias("folder")).distinct()
+
+
+def refuse_replaced(files: DataFrame, log: StateLog, task_id: str) -> None:
+    """Rows of a replaced folder are in the table already; loading them again would double them."""
+    if files.take(1):
+        enqueue(files, log, task_id, _REPLACED)
+
+
 def copy_types(dt: T.DataType) -> list[str]:
     """File column types that a table column of type ``dt`` reads without rewriting."""
     same = dt.simpleString()
@@ -196,20 +215,19 @@ def read_bound(spark: SparkSession, file_schema: str, paths: list[str], schema:
     return bind_by_name(files.parquet(*[literal_path(p) for p in paths]), schema)
 
 
-def ingest(files: list[StagedFile], target: Target, load_id: str, max_failures: int = 32) -> list[tuple]:
+def ingest(files: list[StagedFile], target: Target, load_id: str) -> list[tuple]:
     """Rewrite files as one load; returns ``(source_uri, folder, problem)`` per file.
 
     All files go through one job, whatever number of physical schemas they have.
-    If it fails, halves are tried until the file at fault stands alone.
+    If it fails, halves are tried until every file at fault stands alone; however many
+    there are, each gets its own problem. Failing machines end the load instead.
     """
     spark = target.spark
-    failures = 0
 
     def problem_of(error: Exception) -> str:
         return str(error).strip().split("\n")[0][:ERROR_LIMIT]
 
     def attempt(part: list[StagedFile], name: str) -> list[tuple]:
-        nonlocal failures
         folder = target.load_folder(name)
         by_schema: dict[str, list[StagedFile]] = {}
         for row in part:
@@ -236,10 +254,9 @@ def ingest(files: list[StagedFile], target: Target, load_id: str, max_failures:
                 raise RuntimeError(f"{seen.get['rows']} rows loaded where the footers promise {expected}")
             return refused + [(r.source_uri, folder, None) for r in accepted]
         except Exception as error:
+            if machines_failed(error):
+                raise
             if len(accepted) == 1:
-                failures += 1
-                if failures > max_failures:
-                    raise TooManyFailures(problem_of(error)) from error
                 return refused + [(accepted[0].source_uri, None, problem_of(error))]
         middle = len(accepted) // 2
         return refused + attempt(accepted[:middle], f"{name}a") + attempt(accepted[middle:], f"{name}b")
@@ -252,17 +269,20 @@ def copy_files(files: DataFrame, folder: str) -> DataFrame:
     """Copy files byte for byte into ``folder``; one row per file with the error, if any.
 
     A copy gets a name derived from its source, so a rerun task replaces its own
-    work, and only a complete copy gets that name.
+    work. The table takes exactly the copies told here: what a failed attempt leaves
+    in the folder, whole or not, is in no manifest.
     """
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import contextlib
         import hashlib
         import uuid
 
         for batch in batches:
-            problems = []
+            problems, copies = [], []
             for source, length in zip(batch["source_uri"], batch["length"]):
                 name = hashlib.sha256(source.encode()).hexdigest()
+                partial = None
                 try:
                     from_fs, from_path = open_file(source)
                     to_fs, to_folder = open_file(folder)
@@ -281,18 +301,30 @@ def copy_files(files: DataFrame, folder: str) -> DataFrame:
                     if not direct:
                         to_fs.move(partial, final)
                     problems.append(None)
+                    copies.append(f"{folder}/{name}.parquet")
                 except Exception as problem:
+                    # closing the stream may have published what was written so far
+                    if partial is not None:
+                        with contextlib.suppress(Exception):
+                            to_fs.delete_file(partial)
                     problems.append(f"{type(problem).__name__}: {problem}")
-            yield pd.DataFrame({"source_uri": batch["source_uri"], "problem": problems})
-
-    return spread(files.select("source_uri", "length")).mapInPandas(copy, "source_uri string, problem string")
+                    copies.append(None)
+            yield pd.DataFrame({"source_uri": batch["source_uri"], "copy": copies, "problem": problems})
+
+    # by length, so that each task gets some long and some short files
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    dealt = files.select("source_uri", "length").orderBy(F.desc("length"), "source_uri")
+    dealt = dealt.withColumn("task", F.pmod(F.monotonically_increasing_id(), F.lit(tasks)).cast("int"))
+    return dealt.repartitionById(tasks, "task").select("source_uri", "length").mapInPandas(
+        copy, "source_uri string, copy string, problem string"
+    )
 
 
 def _settle(log: StateLog, files: DataFrame, event: str, **changes: Column) -> None:
     log.transition(files, event, ended_at=F.current_timestamp(), **changes)
 
 
-def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str, load_id: str, max_failures: int) -> None:
+def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str, load_id: str) -> None:
     """Load one wave of pending files (rows of the file log)."""
     spark = target.spark
     started = F.lit(datetime.now(timezone.utc))
@@ -329,7 +361,7 @@ def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str,
         done = judged.filter("copy_problem is null")
         _settle(
             log, done, "copied",
-            status=F.lit("SUCCESS"), load_mode_used=F.lit(ADD_FILES_COPY), target_path=F.lit(folder),
+            status=F.lit("SUCCESS"), load_mode_used=F.lit(ADD_FILES_COPY), target_path=F.col("copy"),
             error_message=F.lit(None), **loaded,
         )
         todo = judged.filter("copy_problem is not null").withColumn(
@@ -337,7 +369,7 @@ def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str,
         )
         if not todo.take(1):
             return
-        todo = materialize(todo.drop("problem"), f"{log.uri}/inspections/{load_id}-retry")
+        todo = materialize(todo.drop("problem", "copy"), f"{log.uri}/inspections/{load_id}-retry")
         log.transition(todo, "retrying", status=F.lit("RETRYING_FULL_INGEST"))
 
     # at most a wave of file names, which Spark's reader needs; each schema comes once
@@ -345,7 +377,7 @@ def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str,
         F.sort_array(F.collect_list(F.struct("source_uri", "num_rows"))).alias("files")
     )
     files = [StagedFile(f.source_uri, f.num_rows, g.file_schema) for g in readable.collect() for f in g.files]
-    outcome = ingest(files, target, f"{load_id}-ingest", max_failures) if files else []
+    outcome = ingest(files, target, f"{load_id}-ingest") if files else []
     results = spark.createDataFrame(outcome, "source_uri string, folder string, problem string")
     # a file whose copy failed keeps that message when the ingest worked out
     problem = F.coalesce("error", "problem", F.when(F.col("folder").isNull(), F.lit("file was not loaded")))
@@ -374,7 +406,6 @@ def import_files(
     files: DataFrame | None = None,
     wave_size: int = _WAVE_FILES,
     log_mode: str = "reuse",
-    max_failures: int = 32,
     task_id: str | None = None,
     takeover: bool = False,
 ) -> ImportRun:
@@ -403,15 +434,23 @@ def import_files(
     try:
         if log_mode == "fresh":
             log.start_fresh()
-        listing = files if files is not None else list_files(spark, stage_uri)
-        enqueue(discover(listing, stage_uri, log, stage_path), log, task_id)
+        listing = files
+        if listing is None:
+            listing = materialize(list_files(spark, stage_uri), f"{log.uri}/plans/{task_id}-listing")
+        found = discover(listing, stage_uri, log, stage_path)
+        if files is None and log.exists():
+            replaced = replaced_folders(listing, stage_uri, log)
+            found = materialize(
+                found.join(replaced, folder_of("source_uri") == F.col("folder"), "left"), f"{log.uri}/plans/{task_id}-found"
+            )
+            refuse_replaced(found.filter("folder is not null"), log, task_id)
+            found = found.filter("folder is null")
+        enqueue(found, log, task_id)
         # files a crashed run left behind count as pending: nothing of theirs was published
         pending = with_status(log.current(), "PENDING", "IN_PROGRESS", "RETRYING_FULL_INGEST")
         run.total = pending.count()
         if run.total:
-            ordered = with_rank(
-                pending.drop("event", "at", "seq"), ["source_uri"], f"{log.uri}/plans/{task_id}-ranges", run.total
-            )
+            ordered = with_rank(pending.drop("event", "at", "seq"), ["source_uri"], f"{log.uri}/plans/{task_id}-ranges")
             plan = materialize(ordered, f"{log.uri}/plans/{task_id}")
             ranges = wave_ranges(run.total, wave_size)
             for number, (lo, hi) in enumerate(ranges):
@@ -419,7 +458,7 @@ def import_files(
                     run.suspended = True
                     break
                 wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if len(ranges) > 1 else plan
-                import_wave(wave.drop("slot"), target, log, load_mode, f"{task_id}-{number}", max_failures)
+                import_wave(wave.drop("slot"), target, log, load_mode, f"{task_id}-{number}")
             mine = log.current().filter(F.col("task_id") == task_id)
             counts = mine.agg(
                 F.count_if(F.col("status") == "SUCCESS").alias("done"),

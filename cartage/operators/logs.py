@@ -6,7 +6,8 @@ write job marks the folder as its very last step, and folders without that mark
 are ignored. An append is therefore seen whole or not at all, whichever executor
 dies meanwhile. The current state of a key is its row with the highest ``seq``.
 
-One writer per log at a time; readers are free.
+Every append claims its number by creating a file, so writers that meet keep each other's rows;
+runs on one stage still go one at a time. Readers are free.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartage.functions.types import quoted
-from cartage.session import glob_paths, literal_path
+from cartage.session import create_file, glob_paths, literal_path
 
 # States of partitions, files and runs.
 PARTITION_STATES = ("NOT_SELECTED", "PENDING", "IN_PROGRESS", "COMPLETED", "FAILED")
@@ -98,6 +99,10 @@ class StateLog:
     def exists(self) -> bool:
         return bool(self.commits())
 
+    def refresh(self) -> None:
+        """Look again for what other writers have appended."""
+        self._commits = None
+
     def commits(self) -> list[tuple[int, int]]:
         """``(generation, seq)`` of every complete append; a handful per run."""
         if self._commits is None:
@@ -131,6 +136,9 @@ class StateLog:
         known = self.commits()
         generation = self._generation() if generation is None else generation
         seq = max((s for _, s in known), default=0) + 1
+        while not create_file(self.spark, f"{self.uri}/claims/{seq}"):
+            # another writer took this number, or died with it: its rows are not to be overwritten
+            seq += 1
         shaped = rows.select(
             *[F.col(quoted(f.name)).cast(f.dataType) for f in self.schema],
             F.lit(event).alias("event"),

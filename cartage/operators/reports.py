@@ -127,8 +127,8 @@ def active(
     return recent(chosen, created, tiebreak, limit)
 
 
-def log_view(state: DataFrame, order: Sequence[Column], limit: int = RECENT_LIMIT) -> DataFrame:
-    """First rows of a log for reading: long texts cut, NULLs shown as blanks or zeros."""
+def log_view(state: DataFrame, order: Sequence[Column], limit: int | None = None) -> DataFrame:
+    """A log for reading, all of it or its first rows: long texts cut, NULLs shown as blanks or zeros."""
     cells = []
     for f in state.schema:
         column, kind = F.col(quoted(f.name)), f.dataType.simpleString()
@@ -138,4 +138,5 @@ def log_view(state: DataFrame, order: Sequence[Column], limit: int = RECENT_LIMI
             cells.append(shown(column, 0).alias(f.name))
         else:
             cells.append(column)
-    return state.orderBy(*order).limit(limit).select(*cells)
+    ordered = state.orderBy(*order)
+    return (ordered.limit(limit) if limit else ordered).select(*cells)

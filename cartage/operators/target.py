@@ -47,8 +47,8 @@ def read_target(target: Target) -> DataFrame:
     """The rows of every successfully loaded file."""
     spark = target.spark
     loaded = with_status(target.files.current(), "SUCCESS")
-    in_place = F.col("load_mode_used") == ADD_FILES_REFERENCE
-    # one folder per load, whatever number of files it holds
+    # copied and registered files count one by one; an ingest is one folder, whatever number of files it holds
+    in_place = F.col("load_mode_used").isin(ADD_FILES_COPY, ADD_FILES_REFERENCE)
     folders = [r[0] for r in loaded.filter(~in_place).select("target_path").distinct().collect()]
     paths = folders + _registered_paths(spark, loaded.filter(in_place).select("target_path"))
     if not paths:
@@ -71,16 +71,16 @@ def _registered_paths(spark: SparkSession, registered: DataFrame) -> list[str]:
     present = listed.select(F.col("path").alias("target_path")).distinct()
     unregistered = present.join(registered, "target_path", "left_anti").select("target_path")
     # a stray file spoils its own folder and every folder above it
-    spoiled = [r[0] for r in unregistered.select(parent.alias("folder")).distinct().collect()]
-    whole = [f for f in folders if not any(s == f or s.startswith(f + "/") for s in spoiled)]
-    mixed = [f for f in folders if f not in set(whole)]
+    spoiled = {r[0] for r in unregistered.select(parent.alias("folder")).distinct().collect()}
+    above = {stray[:at] for stray in spoiled for at in range(len(stray)) if stray[at] == "/"}
+    mixed = [f for f in folders if f in spoiled or f in above]
+    whole = sorted(set(folders) - set(mixed))
     topmost = _without_nested(whole)
     if not mixed:
         return topmost
-    covered = F.lit(False)
-    for folder in topmost:
-        covered = covered | F.startswith(F.col("target_path"), F.lit(folder + "/"))
-    single = by_folder.filter(F.col("folder").isin(mixed) & ~covered).select("target_path")
+    # a mixed folder below a whole one cannot be: its stray file would have spoiled that one too
+    named = spark.createDataFrame([(f,) for f in mixed], "folder string")
+    single = by_folder.join(named, "folder", "left_semi").select("target_path")
     return topmost + [r[0] for r in single.collect()]
 
 

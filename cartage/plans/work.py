@@ -19,26 +19,20 @@ MAX_FILE_SIZE = 5_368_709_120
 _RANGE = "__range"
 _START = "__start"
 
-# Up to this many rows a plan may be sorted in one task.
-MAX_RANKED = 100_000
-
 
 def smallest_first(profile: DataFrame, keys: Sequence[str], n: int, counted: str = "total_rows") -> DataFrame:
     """The ``n`` smallest partitions, ties broken by key."""
     return profile.orderBy(counted, *[F.col(quoted(k)) for k in keys]).limit(n)
 
 
-def with_rank(plan: DataFrame, order: Sequence[str], work_uri: str, about: int | None = None) -> DataFrame:
+def with_rank(plan: DataFrame, order: Sequence[str], work_uri: str) -> DataFrame:
     """Add ``slot``: 0 for the first row by ``order``, 1 for the next, and so on.
 
-    A plan known to be short (``about`` rows) is numbered in one task. Otherwise
-    each task numbers a range of the order and adds what lies in the ranges
+    Each task numbers a range of the order and adds what lies in the ranges
     before it. The ranges are written first, so that a rerun task cannot see
     other ones. ``order`` must be unique.
     """
     columns = [F.col(quoted(c)) for c in order]
-    if about is not None and about <= MAX_RANKED:
-        return plan.withColumn("slot", (F.row_number().over(Window.orderBy(*columns)) - 1).cast("bigint"))
     ranges = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = plan.repartitionByRange(ranges, *columns).withColumn(_RANGE, F.spark_partition_id())
     placed = materialize(placed, work_uri)

@@ -6,6 +6,7 @@ import re
 import uuid
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +26,6 @@ RECOMMENDED = {
 # sources that cannot tell their size report one near the largest long
 _UNKNOWN_SIZE = 1 << 60
 
-# counted side tables of a few short columns may be broadcast up to this many rows
-_LOOKUP_ROWS = 50_000
-
 
 def local_session(
     app: str = "cartage", cores: str = "*", shuffle_partitions: int = 8, java_options: str = ""
@@ -75,26 +73,12 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a table: the size of its files, scaled by the columns kept.
-
-    ``None`` where the estimate means nothing: sources without a known size, and
-    plans (joins, say) whose estimate has run away from what they read.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    leaves, read = plan.collectLeaves().iterator(), 0
+def scanned_bytes(df: DataFrame) -> int | None:
+    """Size of the files that a plan reads; ``None`` if a source does not know its size."""
+    leaves, read = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator(), 0
     while leaves.hasNext():
         read += int(leaves.next().stats().sizeInBytes())
-    estimate = int(plan.stats().sizeInBytes())
-    return estimate if estimate <= 4 * read < _UNKNOWN_SIZE else None
-
-
-def as_lookup(df: DataFrame, rows: int | None) -> DataFrame:
-    """A side table of ``rows`` rows, broadcast if that count is known and small.
-
-    Without the hint Spark decides by its own estimate, and joins by shuffling otherwise.
-    """
-    return F.broadcast(df) if rows is not None and rows <= _LOOKUP_ROWS else df
+    return read if read < _UNKNOWN_SIZE else None
 
 
 def path_exists(spark: SparkSession, uri: str) -> bool:
@@ -102,6 +86,22 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
+def create_file(spark: SparkSession, uri: str) -> bool:
+    """Create an empty file; ``False`` if there is one already."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    filesystem = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if filesystem.exists(path):
+        return False
+    try:
+        filesystem.create(path, False).close()
+    except Py4JJavaError as refused:
+        # the store's own check decides between writers that passed the first one together
+        if filesystem.exists(path):
+            return False
+        raise refused
+    return True
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a Hadoop glob pattern."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)

@@ -43,7 +43,7 @@ from cartage.operators.reconcile import reconcile_export, reconcile_import
 from cartage.operators.target import ADD_FILES_COPY, ADD_FILES_REFERENCE, FULL_INGEST, Target, read_target
 from cartage.plans.profile import new_partitions, partition_bytes, partition_profile
 from cartage.plans.work import file_cap_plan, ranked_waves, smallest_first
-from cartage.session import plan_bytes, qualify, scratch
+from cartage.session import scanned_bytes, qualify, scratch
 from cartage.sources.files import files_only, footer_columns, list_files, read_footers
 from cartage.sources.tables import column_list, inventory, select_columns
 from cartage.streaming.incremental import import_stream
@@ -183,7 +183,7 @@ def compat_projection_nested(spark, sf_dir):
 
 @query
 def compat_type_report(spark, sf_dir):
-    return compat_report(_events_with_awkward_types(spark, sf_dir))
+    return compat_report(_events_with_awkward_types(spark, sf_dir), count_values=True)
 
 
 @query
@@ -390,7 +390,7 @@ def active_runs(spark, sf_dir):
 @query
 def log_view(spark, sf_dir):
     state = fold(file_history(spark, sf_dir), KEYS, ["seq", "status", "error_message", "retry_count"])
-    return reports.log_view(state, [F.col("status"), F.col("seq")])
+    return reports.log_view(state, [F.col("status"), F.col("seq")], reports.RECENT_LIMIT)
 
 
 # ------------------------------------------------------------------ export
@@ -441,7 +441,7 @@ def export_many_files(spark, sf_dir):
     lineitem = table(spark, sf_dir, "lineitem")
     export_table(
         lineitem, ["l_returnflag"], f"{root}/stage", log_uri=f"{root}/log",
-        single_file=False, max_file_size=plan_bytes(lineitem) // 12,
+        single_file=False, max_file_size=scanned_bytes(lineitem) // 12,
     )
     counts = staged_counts(spark, f"{root}/stage")
     return counts.select("path_key", "rows", (F.col("files") > 1).alias("several_files"))
@@ -454,7 +454,7 @@ def export_split_oversize(spark, sf_dir):
     lineitem = table(spark, sf_dir, "lineitem")
     export_table(
         lineitem, ["l_returnflag", "l_linestatus"], f"{root}/stage", log_uri=f"{root}/log",
-        max_file_size=plan_bytes(lineitem) // 12,
+        max_file_size=scanned_bytes(lineitem) // 12,
     )
     return read_staged(spark, f"{root}/stage", lineitem.schema).select(*lineitem.columns)
 

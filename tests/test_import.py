@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartage.functions.types import bind_by_name
 from cartage.operators import load as load_module
 from cartage.operators import reports
 from cartage.operators.cleanup import cleanup_plan, remove_files, selected_files
@@ -372,3 +373,11 @@ def test_scratch_follows_the_checkpoint_folder(spark):
     assert named is None or work_root(spark) == named.rstrip("/")
     first, second = scratch(spark, "x"), scratch(spark, "x")
     assert first != second and "/cartage/x-" in first
+
+
+def test_structs_inside_maps_bind_by_name(spark, folder):
+    source = spark.sql("select map('x', named_struct('a', 1, 'b', 2, 'c', 3)) as m, array(map(1, named_struct('a', 4, 'b', 5))) as n")
+    wanted = T.StructType.fromDDL("m map<string, struct<b: int, a: int, d: string>>, n array<map<int, struct<b: int, a: int>>>")
+    row = bind_by_name(source, wanted).first()
+    assert row.m["x"].asDict() == {"b": 2, "a": 1, "d": None}
+    assert row.n[0][1].asDict() == {"b": 5, "a": 4}
