@@ -42,6 +42,13 @@ _INVENTORY = " union all ".join(
               "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 )
 _ALL_ORDERS = "select * from orders"
+_DESCRIBED = " union all ".join(
+    f"""select '{t}' as table_name, cast(c.column_index - 1 as integer) as ordinal, c.column_name, f.filled
+        from (select column_index, column_name from duckdb_columns() where table_name = '{t}') c
+        join (unpivot (select count(columns(*)) from {t}) on columns(*) into name column_name value filled) f using (column_name)"""
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+)
 
 
 def _cell(expression: str) -> str:
@@ -58,6 +65,8 @@ ORACLES: dict[str, str] = {
     "partition_bytes": """select lang, cast(sum(octet_length(encode(text)) + octet_length(encode(lang))
         + octet_length(encode(source)) + 16) as bigint) as input_bytes from documents group by 1""",
     "table_inventory": _INVENTORY,
+    "catalog_inventory": _INVENTORY,
+    "describe_table": _DESCRIBED,
     "new_partitions": """select cast(ts as date) as day, count(*) as total_rows from events
         where cast(ts as date) not in (select cast(ts as date) from events where ts < timestamp '2024-01-21')
         group by 1""",
@@ -150,6 +159,17 @@ ORACLES: dict[str, str] = {
     "log_view": f"""{_FILES} select task_id, item_id, seq, {_cell('status')} as status,
         {_cell('error_message')} as error_message, retry_count from state order by state.status, seq limit 100""",
     "export_roundtrip": _ALL_ORDERS,
+    "export_failures": """select cast(l_orderkey % 48 as integer) as lane, count(*) as total_rows,
+        case when l_orderkey % 48 < 40 then 'FAILED' else 'COMPLETED' end as status,
+        case when l_orderkey % 48 >= 40 then count(*) end as rows_unloaded, l_orderkey % 48 < 40 as told
+        from lineitem group by l_orderkey % 48""",
+    "export_vanished_partition": "select * from part where p_brand <> 'Brand#11'",
+    "run_progress": """select 'EXPORT' as operation, 'COMPLETED' as status, count(distinct o_orderpriority) as selected_items,
+        count(distinct o_orderpriority) as completed_items, cast(1 as double) as progress from orders
+        group by case when o_orderpriority = '1-URGENT' then 1 else 2 end""",
+    "import_after_reexport": _ALL_ORDERS,
+    "import_nested_by_name": """select o_orderkey, o_custkey as map_a, o_orderkey as map_b, cast(null as varchar) as missing,
+        o_custkey as list_a, o_orderkey as list_b from orders""",
     "export_layout": f"""select {_PRIORITY_FOLDER} as path_key, count(*) as rows, cast(1 as bigint) as files
         from orders group by 1""",
     "export_null_and_composite_keys": f"""select coalesce({_SAFE.format('o_orderpriority')}, '__NULL__')

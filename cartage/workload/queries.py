@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from cartage.functions.keys import (
 )
 from cartage.functions.paths import collapse_slashes, last_segment, relative_path, strip_prefix
 from cartage.functions.texts import elapsed_text, run_name
-from cartage.functions.types import bind_by_name, compat_projection, compat_report, target_schema
+from cartage.functions.types import bind_by_name, compat_projection, compat_report, quoted, target_schema
 from cartage.operators import reports
 from cartage.operators.cleanup import cleanup_plan
 from cartage.operators.export import (
@@ -36,6 +38,7 @@ from cartage.operators.logs import (
     fold,
     latest_status,
     not_completed,
+    run_log,
     selected_as_pending,
     with_status,
 )
@@ -45,7 +48,7 @@ from cartage.plans.profile import new_partitions, partition_bytes, partition_pro
 from cartage.plans.work import file_cap_plan, ranked_waves, smallest_first
 from cartage.session import scanned_bytes, qualify, scratch
 from cartage.sources.files import files_only, footer_columns, list_files, read_footers
-from cartage.sources.tables import column_list, inventory, select_columns
+from cartage.sources.tables import catalog_tables, column_list, describe_columns, inventory, select_columns
 from cartage.streaming.incremental import import_stream
 from cartage.workload.tables import (
     KEYS,
@@ -592,6 +595,73 @@ def new_files(spark, sf_dir):
     )
 
 
+def _lines_with_failing_keys(spark, sf_dir):
+    """Lines by order number modulo 48; a value of 40 of those keys cannot be computed."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("lane", (F.col("l_orderkey") % 48).cast("int"))
+    checked = F.when(F.col("lane") < 40, F.raise_error(F.lit("lane is closed"))).otherwise(F.col("l_quantity"))
+    return lines.withColumn("l_quantity", checked.cast("double"))
+
+
+@query
+def export_failures(spark, sf_dir):
+    """Forty keys fail a check; each is settled with its own text, the others are exported."""
+    root = scratch(spark, "export-failures")
+    run = export_table(_lines_with_failing_keys(spark, sf_dir), ["lane"], f"{root}/stage", log_uri=f"{root}/log")
+    return run.log.current().select(
+        "part_key.lane", "status", "total_rows", "rows_unloaded",
+        F.contains(F.coalesce("error_message", F.lit("")), F.lit("lane is closed")).alias("told"),
+    )
+
+
+@query
+def export_vanished_partition(spark, sf_dir):
+    """A partition that has lost its rows leaves nothing in the stage after the next export."""
+    root = scratch(spark, "export-vanished")
+    parts = table(spark, sf_dir, "part")
+    export_table(parts, ["p_brand"], f"{root}/stage", log_uri=f"{root}/log")
+    left = parts.filter("p_brand <> 'Brand#11'")
+    export_table(left, ["p_brand"], f"{root}/stage", log_uri=f"{root}/log", selection=F.lit(True))
+    return read_staged(spark, f"{root}/stage", parts.schema).select(*parts.columns)
+
+
+@query
+def run_progress(spark, sf_dir):
+    """The registry of two real runs beside the live counts of their items."""
+    root = scratch(spark, "run-progress")
+    orders = table(spark, sf_dir, "orders")
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").select("o_orderpriority").distinct()
+    for selection in (urgent, None):
+        run = export_table(orders, ["o_orderpriority"], f"{root}/stage", log_uri=f"{root}/log", selection=selection)
+    registry = run_log(spark, f"{root}/log/runs").current()
+    found = reports.run_progress(registry, run.log.current())
+    return found.select("operation", "status", "selected_items", "completed_items", "progress")
+
+
+@query
+def catalog_inventory(spark, sf_dir):
+    """Rows and columns of every table of a catalog database, found by enumeration."""
+    database = f"cartage_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"create database {database}")
+    for name in TABLES:
+        spark.catalog.createTable(f"{database}.{name}", path=f"{sf_dir}/{name}.parquet", source="parquet")
+    return inventory(catalog_tables(spark, database))
+
+
+@query
+def describe_table(spark, sf_dir):
+    """Columns of every table with the rows they fill: a description beside a profile."""
+    described = []
+    for name in TABLES:
+        df = table(spark, sf_dir, name)
+        filled = df.agg(F.map_from_arrays(
+            F.array(*[F.lit(c) for c in df.columns]), F.array(*[F.count(quoted(c)) for c in df.columns])
+        ).alias("filled"))
+        columns = describe_columns(spark, df.schema).withColumn("table_name", F.lit(name))
+        values = filled.select(F.explode("filled").alias("column_name", "filled"))
+        described.append(columns.join(values, "column_name"))
+    return reduce(DataFrame.unionByName, described).select("table_name", "ordinal", "column_name", "filled")
+
+
 @query
 def cleanup_orphans(spark, sf_dir):
     """Staged folders that hold files the import log never took in."""
@@ -687,6 +757,44 @@ def import_reconcile(spark, sf_dir):
     return reconcile_import(table(spark, sf_dir, "orders"), read_target(target), ["o_orderpriority"])
 
 
+@query
+def import_after_reexport(spark, sf_dir):
+    """A partition exported again after it was imported is not loaded a second time."""
+    root = scratch(spark, "import-reexport")
+    orders = table(spark, sf_dir, "orders")
+    target = Target(spark, f"{root}/target", orders.schema)
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").select("o_orderpriority").distinct()
+    for selection in (None, urgent):
+        export_table(orders, ["o_orderpriority"], f"{root}/stage", log_uri=f"{root}/log", selection=selection)
+        import_files(spark, f"{root}/stage", target, load_mode=ADD_FILES_COPY)
+    return read_target(target)
+
+
+@query
+def import_nested_by_name(spark, sf_dir):
+    """Struct fields in maps and arrays arrive by name: reordered, missing and extra ones."""
+    source = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.create_map(
+            F.lit("k"),
+            F.struct(F.col("o_custkey").alias("a"), F.col("o_orderkey").alias("b"), F.lit(1).alias("extra")),
+        ).alias("m"),
+        F.array(F.create_map(F.lit(1), F.struct(F.col("o_custkey").alias("a"), F.col("o_orderkey").alias("b")))).alias("n"),
+    )
+    schema = T.StructType.fromDDL(
+        "o_orderkey bigint, m map<string, struct<b: bigint, missing: string, a: bigint>>, "
+        "n array<map<int, struct<b: bigint, a: bigint>>>"
+    )
+    root = scratch(spark, "import-nested")
+    source.write.parquet(f"{root}/stage")
+    target = Target(spark, f"{root}/target", schema)
+    import_files(spark, f"{root}/stage", target, load_mode=FULL_INGEST)
+    return read_target(target).select(
+        "o_orderkey", F.expr("m['k'].a").alias("map_a"), F.expr("m['k'].b").alias("map_b"),
+        F.expr("m['k'].missing").alias("missing"), F.expr("n[0][1].a").alias("list_a"), F.expr("n[0][1].b").alias("list_b"),
+    )
+
+
 @query
 def import_twice(spark, sf_dir):
     """A second import of the same stage adds nothing."""

@@ -6,13 +6,13 @@ import pytest
 from compare import assert_same, duck
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from cartage.workload.oracles import ORACLES
+from cartage.workload.queries import QUERIES
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.fixture(scope="module")
