@@ -403,11 +403,12 @@ def export_pending(
             if not single_file or moment == "settled":
                 break
             beyond, needless = F.col("largest") > max_file_size, (F.col("files") > 1) & (F.col("bytes") <= max_file_size)
-            wrong = wave.drop("file_count").join(held.filter(beyond | needless), "path_key")
+            misjudged = held.filter(beyond | needless)
+            if misjudged.isEmpty():
+                break
+            wrong = wave.drop("file_count").join(misjudged, "path_key")
             wrong = wrong.withColumn("file_count", file_count(F.col("bytes"), max_file_size, _HEADROOM))
             wrong = materialize(wrong.select(wave.columns), f"{log.uri}/plans/{task_id}-{moment}-wrong-{lo}")
-            if wrong.isEmpty():
-                break
             rows = distribute(df, keys, wrong, columns, True, True, renamed=facts.renamed, split=None)
             write_partitions(rows, stage_uri, 0)
         return held
@@ -474,7 +475,6 @@ def export_pending(
         settled = settled.join(held, "path_key", "left").join(error, "slot", "left")
         missing = F.when((F.col("total_rows") > 0) & F.col("files").isNull(), F.lit("no files of the partition are staged"))
         settled = settled.withColumn("problem", F.coalesce("failure", "unreadable", "stale", missing))
-        settled = materialize(settled, f"{log.uri}/plans/{task_id}-settled-{lo}")
         ok = F.col("problem").isNull()
         written = ok & (F.col("total_rows") > 0)
         nothing = F.lit(0).cast("bigint")

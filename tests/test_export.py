@@ -429,11 +429,11 @@ def _failing_keys(spark, partitions, bad):
 
 
 def test_every_failing_partition_is_settled(spark, folder):
-    run = export_table(_failing_keys(spark, 48, 40).select("id", "k", "v"), ["k"], f"{folder}/stage", log_uri=f"{folder}/log")
-    assert (run.completed, run.failed) == (8, 40)
+    run = export_table(_failing_keys(spark, 10, 8).select("id", "k", "v"), ["k"], f"{folder}/stage", log_uri=f"{folder}/log")
+    assert (run.completed, run.failed) == (2, 8)
     state = {r.status: r.n for r in run.log.current().groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert state == {"COMPLETED": 8, "FAILED": 40}
-    assert run.log.current().filter("status = 'FAILED' and error_message like '%no such value%'").count() == 40
+    assert state == {"COMPLETED": 2, "FAILED": 8}
+    assert run.log.current().filter("status = 'FAILED' and error_message like '%no such value%'").count() == 8
 
 
 def test_failing_machines_end_the_run_with_finished_work_settled(spark, folder, monkeypatch):
