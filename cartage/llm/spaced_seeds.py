@@ -102,4 +102,5 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no passage of ``benchmark``; rows without doc_id stay."""
     held = contaminations(docs, benchmark).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(docs.columns)
+    # always by hash: the ids grow with the documents, so broadcasting them would not last
+    return docs.join(held.hint("merge"), "doc_id", "left_anti").select(docs.columns)

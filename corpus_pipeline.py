@@ -37,7 +37,8 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     groups = materialize(near_duplicates(docs), scratch(spark, "kept-copies"))
     dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
     repeated = groups.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    rest = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    # always by hash: the dropped ids grow with the documents, so broadcasting them would not last
+    rest = docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(docs.columns)
     if repeated.isEmpty():
         return rest
     # rows that share an id are one document, whose first text in order stays
