@@ -61,7 +61,91 @@ CONTAMINATIONS = f"""
     )
 """
 
+def _url_levels() -> str:
+    """One table per order of both models, each smoothed by the one before."""
+    out = []
+    for n in range(1, 6):
+        lower = ("1 / 256.0", "1 / 256.0") if n == 1 else ("l.pa", "l.pr")
+        smoothed = ", ".join(
+            f"CASE WHEN k.n{c} > 0 THEN (k.{c} + k.t{c} * {low}) / (k.n{c} + k.t{c}) ELSE {low} END AS p{c}"
+            for c, low in zip("ar", lower, strict=True)
+        )
+        suffix = "" if n == 1 else f"JOIN order{n - 1} l ON l.gram = substr(k.gram, 2)"
+        out.append(f"order{n} AS (SELECT k.gram, {smoothed} FROM known k {suffix} WHERE length(k.gram) = {n})")
+    return ",\n    ".join(out)
+
+
+def _url_total() -> str:
+    total = "coalesce(r1.ratio, 0)"
+    for n in range(2, 6):
+        total = f"coalesce(r{n}.ratio, {total} + coalesce(b{n - 1}.backoff, 0))"
+    return total
+
+
+_URL_GRAMS = ", ".join(f"substr(s, e - {n - 1}, {n}) AS g{n}" for n in range(1, 6))
+_URL_LOOKUPS = " ".join(f"LEFT JOIN ratios r{n} ON r{n}.gram = g{n}" for n in range(1, 6)) + " " + " ".join(
+    f"LEFT JOIN backoffs b{n} ON b{n}.context = left(g{n + 1}, {n})" for n in range(1, 5)
+)
+
+# exact while the models hold all strings, as they do on the tables this is checked on
+URL_VERDICTS = rf"""
+    WITH parts AS (
+        SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+               regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+        FROM pages
+    ),
+    parsed AS (
+        SELECT row_number() OVER () AS uid, page_id, host, path, CASE
+            WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule,
+            repeat(chr(2), 4) || host || path || chr(3) AS s
+        FROM parts
+    ),
+    labelled AS (
+        SELECT DISTINCT s, rule IN ('example.net/en/', 'org/fr/') AS good,
+               CAST('0x' || left(md5(s), 8) AS BIGINT) % 5 = 0 AS calibrates
+        FROM parsed WHERE rule IS NOT NULL
+    ),
+    held AS (SELECT -row_number() OVER () AS uid, s, good FROM labelled WHERE calibrates),
+    ends AS (SELECT s, good, unnest(range(5, length(s) + 1)) AS e FROM labelled WHERE NOT calibrates),
+    counts AS (
+        SELECT gram, count_if(good) AS a, count_if(NOT good) AS r
+        FROM (SELECT good, substr(s, e - n + 1, n) AS gram FROM ends, range(1, 6) AS lengths(n)) GROUP BY gram
+    ),
+    contexts AS (
+        SELECT left(gram, length(gram) - 1) AS context, sum(a) AS na, sum(r) AS nr, count_if(a > 0) AS ta, count_if(r > 0) AS tr
+        FROM counts GROUP BY ALL
+    ),
+    known AS (SELECT * FROM counts JOIN contexts ON context = left(gram, length(gram) - 1)),
+    {_url_levels()},
+    ratios AS ({" UNION ALL ".join(f"SELECT gram, ln(pa) - ln(pr) AS ratio FROM order{n}" for n in range(1, 6))}),
+    backoffs AS (
+        SELECT context, CASE WHEN na > 0 THEN ln(ta / (na + ta)) ELSE 0 END - CASE WHEN nr > 0 THEN ln(tr / (nr + tr)) ELSE 0 END AS backoff
+        FROM contexts
+    ),
+    asked AS (SELECT uid, s FROM parsed WHERE rule IS NULL UNION ALL SELECT uid, s FROM held),
+    grams AS (SELECT uid, {_URL_GRAMS} FROM (SELECT uid, s, unnest(range(5, length(s) + 1)) AS e FROM asked)),
+    scores AS (SELECT uid, round(avg({_url_total()}), 12) AS score FROM grams {_URL_LOOKUPS} GROUP BY uid),
+    steps AS (
+        SELECT floor(score / 0.05) AS step, count_if(good) AS a, count_if(NOT good) AS r
+        FROM scores JOIN held USING (uid) GROUP BY 1
+    ),
+    rates AS (
+        SELECT step, 1 - coalesce(sum(a) OVER before, 0) / sum(a) OVER () AS kept, coalesce(sum(r) OVER before, 0) / sum(r) OVER () AS caught
+        FROM steps WINDOW before AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ),
+    best AS (SELECT step FROM rates ORDER BY round(kept + caught, 9) DESC, abs(step), step LIMIT 1)
+    SELECT page_id, host, path, rule, CASE
+        WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+        WHEN rule IS NOT NULL THEN 'block'
+        WHEN score >= (SELECT step FROM best) * 0.05 THEN 'allow' ELSE 'block' END AS verdict
+    FROM parsed LEFT JOIN scores USING (uid)
+"""
+
 SQL = {
+    "op1_url_ratio": URL_VERDICTS,
     "op2_spaced_seeds": f"""
         WITH {CONTAMINATIONS.format(docs="documents")}
         SELECT doc_id, item_id, n_equal, n_window FROM contaminated

@@ -74,12 +74,12 @@ def _least_count(grams: DataFrame) -> int:
     return least
 
 
-def _model(grams: DataFrame, uri: str) -> tuple[DataFrame, DataFrame]:
-    """``(gram, ratio)``: log of the ratio of both models' smoothed probabilities of a string's last
-    character; and ``(context, backoff)``: log of the ratio of what both models leave to shorter contexts.
+def _model(grams: DataFrame, uri: str) -> DataFrame:
+    """``(string, ratio, backoff)``: log of the ratio of both models' smoothed probabilities of a string's last
+    character, and, of the string as a context, log of the ratio of what both models leave to shorter contexts.
 
-    A string that is kept has all its suffixes kept, as those are at least as frequent. Every table here
-    has at most CAPACITY rows, contexts included.
+    A string that is kept has all its suffixes kept, as those are at least as frequent. Grams and contexts are
+    at most CAPACITY each.
     """
     least = _least_count(grams)
     grams = grams.withColumn("context", F.expr("left(gram, length(gram) - 1)"))
@@ -116,25 +116,29 @@ def _model(grams: DataFrame, uri: str) -> tuple[DataFrame, DataFrame]:
         n, t = F.col(f"{c}_n"), F.col(f"{c}_t")
         return F.when(n > 0, F.log(t / (n + t))).otherwise(F.lit(0.0))
 
-    return model, contexts.select("context", (left("accepted") - left("rejected")).alias("backoff"))
+    backoffs = contexts.select(F.col("context").alias("string"), (left("accepted") - left("rejected")).alias("backoff"))
+    both = model.withColumnRenamed("gram", "string").join(backoffs, "string", "full_outer")
+    return materialize(both.where("string <> ''"), f"{uri}/model")
 
 
-def _scored(urls: DataFrame, model: DataFrame, contexts: DataFrame) -> DataFrame:
+def _scored(urls: DataFrame, model: DataFrame) -> DataFrame:
     """``(uid, score)``: mean log ratio per character, end included, to twelve decimals.
 
-    Per character the longest known string decides, less what its longer contexts passed down. Both tables
-    have CAPACITY rows at most, so each lookup is a broadcast join.
+    Per character the longest known string decides, less what its longer contexts passed down. The model
+    has 2 * CAPACITY rows at most; it is broadcast once and all lookups share it.
     """
     rows = _grams(urls)
+    shared = F.broadcast(model)
+
+    def looked_up(rows: DataFrame, key: Column, wanted: str, name: str) -> DataFrame:
+        table = shared.alias("m")
+        kept = [F.col(c) for c in rows.columns]
+        return rows.join(table, key == F.col("m.string"), "left").select(*kept, F.col(f"m.{wanted}").alias(name))
+
     for length in range(1, ORDER + 2):
-        of_length = model.where(F.length("gram") == length)
-        rows = rows.join(F.broadcast(of_length.select(F.col("gram").alias(f"g{length}"), F.col("ratio").alias(f"r{length}"))), f"g{length}", "left")
+        rows = looked_up(rows, F.col(f"g{length}"), "ratio", f"r{length}")
     for length in range(1, ORDER + 1):
-        of_length = contexts.where(F.length("context") == length)
-        rows = rows.withColumn(f"c{length}", F.expr(f"left(g{length + 1}, {length})"))
-        rows = rows.join(
-            F.broadcast(of_length.select(F.col("context").alias(f"c{length}"), F.col("backoff").alias(f"b{length}"))), f"c{length}", "left"
-        )
+        rows = looked_up(rows, F.expr(f"left(g{length + 1}, {length})"), "backoff", f"b{length}")
     # a character that no kept string ends in is equally likely in both models but for the backoffs
     total = F.coalesce("r1", F.lit(0.0))
     for length in range(2, ORDER + 2):
@@ -185,7 +189,7 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
         ),
         f"{uri}/rows",
     )
-    calibrates = F.crc32(F.col("s").cast("binary")) % FOLDS == 0
+    calibrates = F.conv(F.substring(F.md5(F.col("s").cast("binary")), 1, 8), 16, 10).cast("long") % FOLDS == 0
     labelled = rows.where("by_rule is not null").select("s", (F.col("by_rule") == "allow").alias("good")).distinct()
     labelled = materialize(labelled.withColumn("calibrates", calibrates).withColumn("uid", F.monotonically_increasing_id()), f"{uri}/labelled")
     train = labelled.where(~F.col("calibrates"))
@@ -195,10 +199,12 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
         return rows.select(
             "page_id", "host", "path", "rule", decided.alias("verdict"), F.lit(0.0).alias("score"), F.lit(0.0).alias("threshold")
         )
-    model, contexts = _model(_counted(train, uri), uri)
-    held = labelled.where("calibrates")
-    threshold = _threshold(_scored(held.select("uid", "s"), model, contexts).join(held.select("uid", "good"), "uid"))
-    scores = materialize(_scored(rows.where("by_rule is null").select("uid", "s"), model, contexts), f"{uri}/scores")
+    model = _model(_counted(train, uri), uri)
+    # what calibrates is scored along with the rest, under numbers below zero
+    held = labelled.where("calibrates").select((-1 - F.col("uid")).alias("uid"), "s", "good")
+    asked = rows.where("by_rule is null").select("uid", "s").unionByName(held.select("uid", "s"))
+    scores = materialize(_scored(asked, model), f"{uri}/scores")
+    threshold = _threshold(scores.join(held.select("uid", "good"), "uid"))
     out = rows.join(scores, "uid", "left")
     by_model = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return out.select(
