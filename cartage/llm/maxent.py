@@ -23,7 +23,7 @@ from cartage.session import materialize, scratch
 WORD_CLASSES, PER_CLASS, TAILS = 31, 32, 32
 EXPLICIT = WORD_CLASSES * PER_CLASS - 1  # frequent words with a weight vector; the text's end takes the last place
 CLASSES = WORD_CLASSES + TAILS
-DIRECT = 1 << 18  # most frequent words whose counts travel with the tasks (4 MB); counts of the rest are joined
+DIRECT = 1 << 18  # at most so many frequent words have counts that travel with the tasks (4 MB); the rest is joined
 BUCKETS, BUCKETS_2 = 1 << 13, 1 << 10
 SMOOTH = 0.1
 EVERY = 16  # one of so many positions is a training example; counts take all
@@ -337,6 +337,16 @@ def training(doc_id: Column) -> Column:
     return F.coalesce(fold(doc_id, 10) != 0, F.lit(False))
 
 
+def _least_count(counts: DataFrame) -> int:
+    """The smallest power of two that at most DIRECT words reach; found from how many words each power has."""
+    power = F.floor(F.log2("n")).cast("int")
+    words = {r["power"]: r["words"] for r in counts.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("words")).collect()}
+    least = max(words, default=0) + 1
+    while least > 0 and sum(n for p, n in words.items() if p >= least - 1) <= DIRECT:
+        least -= 1
+    return 1 << least
+
+
 def lm_scores(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs``.
 
@@ -353,7 +363,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     counts = train.mapInArrow(_count_batches, "word long, tail int, n long")
     counts = materialize(counts.groupBy("word").agg(F.max("tail").alias("tail"), F.sum("n").alias("n")), f"{uri}/counts")
     totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    direct = counts.orderBy(F.desc("n"), "word").limit(DIRECT).select("word", "tail", "n").toArrow()
+    direct = counts.where(F.col("n") >= _least_count(counts)).select("word", "tail", "n").toArrow()
+    direct = direct.sort_by([("n", "descending"), ("word", "ascending")])
     by_tail = counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # TAILS rows
     vocabulary = Vocabulary(direct, train.count(), totals["n"] or 0, totals["v"], by_tail)
     examples = materialize(train.mapInArrow(_examples(vocabulary), "draw long, n long, examples binary"), f"{uri}/examples")
