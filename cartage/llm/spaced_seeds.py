@@ -2,19 +2,25 @@
 
 A seed hashes the tokens at the set positions of a fixed mask and ignores the others, so a substituted word
 under an open position costs nothing. Seeds of benchmark items and of documents are joined; each hit fixes
-how the item lies along the document, and along that line the tokens are compared.
+how the item lies along the document, and along that line the tokens are compared. The mask of an item is
+one that no placement of the substitutions SIMILARITY allows can escape, so seeds lose no match.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartage.session import materialize, scratch
 
-# three adjacent pairs each: (offsets of the pairs), within SPAN tokens
-MASKS = ((0, 3, 6), (0, 2, 6))
-SPAN = 8
+# the pairs of neighbours (by offset) of three tokens in a row, within SPAN tokens
+MASKS = ((0, 1),)
+SPAN = 3
+# set positions, the most telling first; an item takes the first that always hits, see mask_of
+SEEDS = ((0, 1, 2, 4), tuple(sorted({o + k for o in MASKS[0] for k in (0, 1)})), (0, 1), (0,))
 WINDOW = 20  # tokens of an item that must be found together (all of a shorter item)
 SIMILARITY = 0.75  # least share of equal tokens in that window
 BROADCAST_SEEDS = 200_000  # benchmark seeds up to this count are broadcast, about 10 MB
@@ -28,30 +34,44 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(lowered, _SPACE), lambda w: w != "")
 
 
-def _with_seeds(rows: DataFrame) -> DataFrame:
-    """Adds ``w`` (a hash per token) and ``seeds``: one array per mask, a seed per position.
+@lru_cache
+def mask_of(n: int) -> int:
+    """Number in SEEDS of the first mask that hits every window of ``n`` tokens in which SIMILARITY of them are equal.
 
-    The pairs of neighbours are hashed once and shared by the masks.
+    Tries all placements of the unequal tokens. A single token hits whatever else does not.
     """
-    hashed = rows.withColumn("w", F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w))).drop("text")
-    pairs = F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1)))
-    hashed = hashed.withColumn("p", F.when(F.size("w") >= SPAN, pairs))
+    unequal = int((1 - SIMILARITY) * n)
+    for number, offsets in enumerate(SEEDS):
+        starts = [sum(1 << (i + o) for o in offsets) for i in range(n - offsets[-1])]
+        gaps = (sum(1 << at for at in places) for places in combinations(range(n), unequal))
+        if all(any(not seed & gap for seed in starts) for gap in gaps):
+            return number
+    return len(SEEDS) - 1
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    """``text`` as ``w``, a hash per token."""
+    return rows.withColumn("w", F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w))).drop("text")
+
+
+def _seeds(number: int) -> Column:
+    """The seeds of a mask, one per token of ``w`` at which it starts; null where it sticks out at the end."""
+    offsets = SEEDS[number]
 
-    def seed(number: int, offsets: tuple[int, ...]) -> Column:
-        at = F.sequence(F.lit(0), F.size("w") - SPAN)
-        return F.transform(at, lambda i: F.xxhash64(*[F.get("p", i + o) for o in offsets], F.lit(number)))
+    def seed(i: Column) -> Column:
+        whole = F.xxhash64(*[F.get("w", i + o) for o in offsets], F.lit(number))
+        return F.when(i < F.size("w") - offsets[-1], whole)
 
-    masks = [seed(number, offsets) for number, offsets in enumerate(MASKS)]
-    return hashed.withColumn("seeds", F.when(F.size("w") >= SPAN, F.concat(*masks))).drop("p")
+    return F.transform(F.sequence(F.lit(0), F.size("w") - 1), seed)
 
 
-def _starts(rows: DataFrame, name: str) -> DataFrame:
+def _starts(rows: DataFrame, seeds: Column, name: str) -> DataFrame:
     """One row per seed and the position it starts at (one without a seed for a row that has none).
 
     The outer form keeps Catalyst from testing the array first, which would compute it twice.
     """
-    out = rows.select(*[c for c in rows.columns if c != "seeds"], F.posexplode_outer("seeds").alias("__at", "seed"))
-    return out.withColumn(name, F.pmod(F.col("__at"), F.size("w") - SPAN + 1)).drop("__at")
+    out = rows.select("*", F.posexplode_outer(F.when(F.size("w") > 0, seeds)).alias("__at", "seed"))
+    return out.withColumn(name, F.pmod(F.col("__at"), F.size("w"))).drop("__at")
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -59,8 +79,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A document matches an item if, with the item laid along it at some seed hit, some ``min(WINDOW, tokens of
     the item)`` neighbouring tokens of the item meet equal tokens of the document in SIMILARITY of the places;
-    ``n_equal`` is the most found. Items under SPAN tokens and null or empty texts match nothing. Rows
-    that repeat a doc_id or an item_id count as one; null ids match nothing. Other columns are ignored.
+    ``n_equal`` is the most found. Every such match is found, whatever the item's length; null or empty texts
+    match nothing. Rows that repeat a doc_id or an item_id count as one; null ids match nothing. Other columns
+    are ignored.
 
     Documents' words stay where they are until a seed matches; then only the stretch along the item moves.
     Repeated lines of a document, and passages many documents share, cost one row per hit. Seeds of
@@ -68,13 +89,21 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     uri = scratch(docs.sparkSession, "seeds")
     items = benchmark.select(F.col("item_id"), "text").where("item_id is not null and text is not null")
-    items = _starts(_with_seeds(items.distinct()), "item_at").withColumnRenamed("w", "item_w")
+    items = _hashed(items.distinct()).where(F.size("w") > 0)
+    window = F.least(F.lit(WINDOW), F.size("w"))
+    mask = F.get(F.array(*[F.lit(mask_of(n)) for n in range(1, WINDOW + 1)]), window - 1)
+    items = materialize(items.withColumn("mask", mask), f"{uri}/words")
+    masks = sorted(r["mask"] for r in items.select("mask").distinct().collect())  # those that the items need
+    if not masks:
+        masks = [0]
+    own = F.coalesce(*[F.when(F.col("mask") == number, _seeds(number)) for number in masks])
+    items = _starts(items, own, "item_at").drop("mask").withColumnRenamed("w", "item_w")
     items = materialize(items.where("seed is not null"), f"{uri}/items")
     wanted = items.select("seed", "item_id", "item_at", F.size("item_w").alias("n"))
     wanted = F.broadcast(wanted) if items.count() <= BROADCAST_SEEDS else wanted
 
     rows = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    hits = _starts(_with_seeds(rows), "doc_at").join(wanted, "seed")
+    hits = _starts(_hashed(rows), F.concat(*[_seeds(number) for number in masks]), "doc_at").join(wanted, "seed")
     # the document's tokens along the whole item; where the item sticks out there is nothing to compare
     line = F.col("doc_at") - F.col("item_at")
     first = F.greatest(line, F.lit(0))

@@ -399,6 +399,37 @@ def test_seeds_match_plain_alignment(spark, monkeypatch):
     assert spaced_seeds.contaminations(frame(spark, docs), bench.limit(0)).count() == 0
 
 
+def aligned(doc, item):
+    """Best share of equal tokens in a window of the item over every line, without seeds."""
+    d, m = words(doc), words(item)
+    window, best = min(spaced_seeds.WINDOW, len(m)), 0
+    for line in range(-len(m), len(d) + 1):
+        equal = [0 <= i + line < len(d) and d[i + line] == w for i, w in enumerate(m)]
+        best = max([best, *(sum(equal[i : i + window]) for i in range(len(m) - window + 1))])
+    return best if m and best >= spaced_seeds.SIMILARITY * window else None
+
+
+def test_seeds_lose_no_match(spark):
+    """Items of every length, found with as many substitutions as the rule allows wherever those stand."""
+    rng = random.Random(7)
+    items = [" ".join(f"i{n}w{k}" for k in range(n)) for n in [*range(1, 26), 40]]
+    docs = []
+    for item in items:
+        m = item.split()
+        window = min(20, len(m))
+        for number in range(30):
+            unequal = int(0.25 * window) + number % 2  # every other document has one too many
+            at = set(rng.sample(range(window), min(unequal, window)))
+            found = ["other" if i in at or i >= window else w for i, w in enumerate(m)]
+            docs.append(" ".join(["some", "words", *found, "more"]))
+        for phase in range(4):
+            docs.append(" ".join("other" if i % 4 == phase else w for i, w in enumerate(m)))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(i, j): n for i, d in enumerate(docs) for j, m in enumerate(items) if (n := aligned(d, m))}
+    out = spaced_seeds.contaminations(frame(spark, docs), bench).collect()
+    assert {(r["doc_id"], r["item_id"]): r["n_equal"] for r in out} == want
+
+
 def test_url_parts_and_rules(spark):
     urls = {
         "http://A.Example.NET/en/x?q#f": ("a.example.net", "/en/x", "example.net/en/", "allow"),
