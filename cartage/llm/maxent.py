@@ -26,8 +26,7 @@ CLASSES = WORD_CLASSES + TAILS
 DIRECT = 1 << 18  # at most so many frequent words have counts that travel with the tasks (4 MB); the rest is joined
 BUCKETS, BUCKETS_2 = 1 << 13, 1 << 10
 SMOOTH = 0.1
-EVERY = 16  # one of so many positions is a training example; counts take all
-ROUNDS = 3
+ROUNDS = 3  # every text is learned from in one of them, at all its positions
 PER_LEARNER = 500_000  # examples of a learner in a round, until MOST_LEARNERS share the work
 MOST_LEARNERS = 256
 BATCH, RATE = 1024, 0.4
@@ -168,25 +167,34 @@ def _tokens(raw: list[bytes], vocabulary: Vocabulary):
     return hashes, kind, place, found, text, nth, features, features_2
 
 
-def _examples(vocabulary: Vocabulary):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs, sizes, keys = [], [], []
-            for _, _, raw in chunks(batch.column("text").to_pylist()):
-                hashes, kind, place, _, _, nth, features, features_2 = _tokens(raw, vocabulary)
-                draw = mix(hashes * _SALT[4] + features[:, 4].astype(np.uint64) + nth.astype(np.uint64) * _SALT[5])
-                taken = np.flatnonzero(draw % _U(EVERY) == 0)
-                order = taken[np.argsort(draw[taken])]
-                table = np.column_stack([kind, place, features[:, 1:], features_2[:, 1:]])[order].astype(np.int16)
-                for first in range(0, len(table), 4096):
-                    part = table[first : first + 4096]
-                    blobs.append(part.tobytes()), sizes.append(len(part))
-                    keys.append(int(draw[order[first]] >> _U(1)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], names=["draw", "n", "examples"]
-            )
+def _examples(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Per chunk of texts every position as an example, in an order by hash: class, place, features of both softmaxes."""
+    for batch in batches:
+        for _, _, raw in chunks(batch.column("text").to_pylist()):
+            hashes, kind, place, _, _, nth, features, features_2 = _tokens(raw, vocabulary)
+            draw = mix(hashes * _SALT[4] + features[:, 4].astype(np.uint64) + nth.astype(np.uint64) * _SALT[5])
+            order = np.argsort(draw)
+            yield kind[order], place[order], features[order], features_2[order]
 
-    return run
+
+def _logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Per example the sum of the weight rows its features name."""
+    out = np.take(weights, rows[:, 0], axis=0)
+    for column in range(1, rows.shape[1]):
+        out += np.take(weights, rows[:, column], axis=0)
+    return out
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    chances = np.exp(logits - logits.max(axis=1, keepdims=True))
+    chances /= chances.sum(axis=1, keepdims=True)
+    return chances
+
+
+def _log_chance(logits: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Per row of ``logits`` the log of the softmax at the place ``of`` names."""
+    top = logits.max(axis=1)
+    return logits[np.arange(len(of)), of] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
@@ -194,41 +202,48 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
-def _scatter(weights: np.ndarray, seen: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    """One AdaGrad step on the rows named, repeated rows summed; ``seen`` holds a sum of squares per row."""
-    order = np.argsort(rows, kind="stable")
+def _scatter(weights: np.ndarray, seen: np.ndarray, features: np.ndarray, gradient: np.ndarray) -> None:
+    """One AdaGrad step on the rows named by each example's features, repeated rows summed; ``seen`` holds a sum
+    of squares per row."""
+    rows = features.T.ravel()
+    order = np.argsort(rows.astype(np.int16), kind="stable")  # all rows fit, and 16 bits are sorted by radix
     rows = rows[order]
     first = np.flatnonzero(np.diff(rows, prepend=-1))
-    summed = np.add.reduceat(gradient[order], first, axis=0)
+    sizes = np.diff(np.append(first, len(order)))
+    at = order % len(gradient)
+    # most rows are named a few times only: add what they have first, second... together, and the rest row by row
+    summed = np.take(gradient, at[first], axis=0)
+    for nth in range(1, 8):
+        more = np.flatnonzero(sizes > nth)
+        summed[more] += np.take(gradient, at[first[more] + nth], axis=0)
+    for row in np.flatnonzero(sizes > 8):
+        summed[row] += np.take(gradient, at[first[row] + 8 : first[row] + sizes[row]], axis=0).sum(axis=0)
     rows = rows[first]
     seen[rows] += (summed * summed).mean(axis=1)
     weights[rows] -= RATE * summed / np.sqrt(seen[rows] + 1.0)[:, None]
 
 
-def _learn(weights: tuple[np.ndarray, np.ndarray]):
-    """Local descent over a partition's examples; yields the change of each block of rows and which rows changed."""
+def _learn(vocabulary: Vocabulary, weights: tuple[np.ndarray, np.ndarray]):
+    """Local descent over all positions of a partition's texts; yields the change of each block of rows and which rows changed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = weights[0].copy(), weights[1].copy().reshape(BUCKETS_2 * WORD_CLASSES, PER_CLASS)
         seen, seen_2 = np.zeros(len(first)), np.zeros(len(second))
         steps = 0
-        for batch in batches:
-            for blob in batch.column("examples"):
-                table = np.frombuffer(blob.as_py(), np.int16).reshape(-1, 8).astype(np.int64)
-                for at in range(0, len(table), BATCH):
-                    steps += 1
-                    part = table[at : at + BATCH]
-                    n = len(part)
-                    features = np.column_stack([np.zeros(n, np.int64), part[:, 2:6]])
-                    error = np.exp(_log_softmax(first[features].sum(axis=1)))
-                    error[np.arange(n), part[:, 0]] -= 1
-                    _scatter(first, seen, features.T.ravel(), np.tile(error, (features.shape[1], 1)))
-                    named = part[part[:, 1] >= 0]
-                    if len(named):
-                        rows = np.column_stack([np.zeros(len(named), np.int64), named[:, 6:8]]) * WORD_CLASSES + named[:, :1]
-                        error = np.exp(_log_softmax(second[rows].sum(axis=1)))
-                        error[np.arange(len(named)), named[:, 1]] -= 1
-                        _scatter(second, seen_2, rows.T.ravel(), np.tile(error, (rows.shape[1], 1)))
+        for kinds, places, all_features, all_features_2 in _examples(vocabulary, batches):
+            for at in range(0, len(kinds), BATCH):
+                steps += 1
+                kind, place, features = (x[at : at + BATCH] for x in (kinds, places, all_features))
+                n = len(kind)
+                error = _softmax(_logits(first, features))
+                error[np.arange(n), kind] -= 1
+                _scatter(first, seen, features, error)
+                named = np.flatnonzero(place >= 0)
+                if len(named):
+                    rows = all_features_2[at + named] * WORD_CLASSES + kind[named][:, None]
+                    error = _softmax(_logits(second, rows))
+                    error[np.arange(len(named)), place[named]] -= 1
+                    _scatter(second, seen_2, rows, error)
         if not steps:
             return
         second_before = weights[1].reshape(second.shape)
@@ -250,18 +265,20 @@ def _sum_block(block):
     return block.iloc[:1][["block"]].assign(change=[mean.astype(np.float32).tobytes()])
 
 
-def train_weights(examples: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of both softmaxes after one pass over ``examples`` in ROUNDS rounds.
+def train_weights(train: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of both softmaxes after one pass over all positions of ``train`` (doc_id, text) in ROUNDS rounds.
 
-    The driver holds the weights (6 MB) and, per round, the averaged change of the same size.
+    A round moves its share of the texts to the learners, who make the examples themselves, so no example
+    is stored or moved. The driver holds the weights (6 MB) and, per round, the averaged change of the same size.
     """
     first, second = vocabulary.first_weights()
-    total = examples.agg(F.sum("n")).first()[0] or 0
-    learners = int(min(MOST_LEARNERS, max(4, total // (ROUNDS * PER_LEARNER) + 1)))
+    learners = int(min(MOST_LEARNERS, max(4, vocabulary.total // (ROUNDS * PER_LEARNER) + 1)))
+    # by id and text, so that copies of a text are spread
+    draw = F.xxhash64("doc_id", "text")
     for number in range(ROUNDS):
-        share = examples.where(F.pmod("draw", F.lit(ROUNDS)) == number)
-        changes = share.repartition(learners, F.xxhash64("draw")).select("examples").mapInArrow(
-            _learn((first, second)), "block int, change binary, touched binary"
+        share = train.where(F.pmod(draw, F.lit(ROUNDS)) == number)
+        changes = share.repartition(learners, F.xxhash64(draw)).select("text").mapInArrow(
+            _learn(vocabulary, (first, second)), "block int, change binary, touched binary"
         )
         rows = changes.groupBy("block").applyInPandas(_sum_block, "block int, change binary").collect()
         flat = second.reshape(-1, PER_CLASS)
@@ -289,15 +306,12 @@ def _score_batches(vocabulary: Vocabulary, weights: tuple[np.ndarray, np.ndarray
                 score = np.empty(total)
                 for at in range(0, total, 4096):
                     here = slice(at, min(total, at + 4096))
-                    n = here.stop - at
-                    chances = _log_softmax(first[features[here]].sum(axis=1))
-                    score[here] = chances[np.arange(n), kind[here]] / ten
+                    score[here] = _log_chance(_logits(first, features[here]), kind[here]) / ten
                 named = np.flatnonzero(place >= 0)
                 for at in range(0, len(named), 4096):
                     here = named[at : at + 4096]
                     rows = features_2[here] * WORD_CLASSES + kind[here][:, None]
-                    chances = _log_softmax(second[rows].sum(axis=1))
-                    score[here] += chances[np.arange(len(here)), place[here]] / ten
+                    score[here] += _log_chance(_logits(second, rows), place[here]) / ten
                 tail = place < 0
                 score[tail] -= vocabulary.tail_norm[kind[tail] - WORD_CLASSES]
                 direct = found >= 0
@@ -355,20 +369,19 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     smoothed unigram log10 probability, ``score`` that of the model. Without training rows both spread all
     mass over unknown words. Repeated rows are scored alike; other columns are ignored.
 
-    Counts cover every token of the training rows. Words beyond the DIRECT most frequent are joined with
+    Counts cover every token of the training rows, and so do the gradient steps. Words beyond the DIRECT most frequent are joined with
     their counts by hash of the word, so no task needs the whole vocabulary.
     """
     uri = scratch(docs.sparkSession, "maxent")
-    train = docs.where(training(F.col("doc_id"))).select("text")
-    counts = train.mapInArrow(_count_batches, "word long, tail int, n long")
+    train = docs.where(training(F.col("doc_id"))).select("doc_id", "text")
+    counts = train.select("text").mapInArrow(_count_batches, "word long, tail int, n long")
     counts = materialize(counts.groupBy("word").agg(F.max("tail").alias("tail"), F.sum("n").alias("n")), f"{uri}/counts")
     totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     direct = counts.where(F.col("n") >= _least_count(counts)).select("word", "tail", "n").toArrow()
     direct = direct.sort_by([("n", "descending"), ("word", "ascending")])
     by_tail = counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # TAILS rows
     vocabulary = Vocabulary(direct, train.count(), totals["n"] or 0, totals["v"], by_tail)
-    examples = materialize(train.mapInArrow(_examples(vocabulary), "draw long, n long, examples binary"), f"{uri}/examples")
-    weights = train_weights(examples, vocabulary)
+    weights = train_weights(train, vocabulary)
 
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -291,6 +291,33 @@ def test_lm_probabilities_sum_to_one(spark, tmp_path):
         assert mass == pytest.approx(10 ** vocabulary.tail_norm[t])
 
 
+def test_lm_learns_from_every_position(monkeypatch):
+    """The steps of one learner take in every word and every end of its texts."""
+    import pyarrow as pa
+    from cartage.llm.words import hashed_words
+
+    texts = ["a b c d", "b a c", "c c a e f", "zeta eta theta", ""] * 500
+    raw = [t.encode() for t in texts]
+    found, _ = hashed_words(raw)
+    keys, at, n = np.unique(found, return_index=True, return_counts=True)
+    tail = maxent._tails(raw, len(found))[at]
+    direct = pa.table({"word": keys.view(np.int64), "tail": tail, "n": n})
+    rows = [{"tail": t, "n": int(n[tail == t].sum()), "v": int((tail == t).sum())} for t in set(tail.tolist())]
+    vocabulary = maxent.Vocabulary(direct, len(texts), int(n.sum()), len(n), rows)
+    stepped = []
+    inner = maxent._scatter
+
+    def counted(weights, seen, features, gradient):
+        if weights.shape[1] == maxent.CLASSES:
+            stepped.append(len(gradient))
+        inner(weights, seen, features, gradient)
+
+    monkeypatch.setattr(maxent, "_scatter", counted)
+    batches = [pa.RecordBatch.from_pydict({"text": texts[:999]}), pa.RecordBatch.from_pydict({"text": texts[999:]})]
+    list(maxent._learn(vocabulary, vocabulary.first_weights())(iter(batches)))
+    assert sum(stepped) == vocabulary.total == sum(len(words(t)) + 1 for t in texts)
+
+
 def test_lm_without_training_rows(spark):
     out = maxent.lm_scores(spark.createDataFrame([(None, "a b")], "doc_id long, text string")).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) for r in out] == [(3, 0, 0, False)]
