@@ -16,7 +16,7 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 
 ORDER = 4  # characters of context at most
 ALPHABET = 256.0  # symbols the lowest order spreads its remaining mass over
-CAPACITY = 200_000  # strings the models keep; rarer ones are left out by raising the least count
+CAPACITY = 200_000  # strings that are broadcast, the most frequent ones; the rest is joined
 FOLDS = 5  # one fold of the labelled URLs calibrates, the others train
 STEP = 0.05  # resolution of the threshold, in nats per character
 _START, _END = "\u0002", "\u0003"
@@ -68,6 +68,7 @@ def _counted(labelled: DataFrame, uri: str) -> DataFrame:
 
 
 def _least_count(grams: DataFrame) -> int:
+    """The least power of two that at most CAPACITY strings reach."""
     least = 1
     while grams.where(F.col("accepted") + F.col("rejected") >= least).count() > CAPACITY:
         least *= 2
@@ -75,21 +76,17 @@ def _least_count(grams: DataFrame) -> int:
 
 
 def _model(grams: DataFrame, uri: str) -> DataFrame:
-    """``(string, ratio, backoff)``: log of the ratio of both models' smoothed probabilities of a string's last
-    character, and, of the string as a context, log of the ratio of what both models leave to shorter contexts.
-
-    A string that is kept has all its suffixes kept, as those are at least as frequent. Grams and contexts are
-    at most CAPACITY each.
+    """``(string, ratio, backoff, n)``: log of the ratio of both models' smoothed probabilities of a string's last
+    character, of the string as a context log of the ratio of what both models leave to shorter contexts, and how
+    often the string occurs, in training URLs, as either.
     """
-    least = _least_count(grams)
     grams = grams.withColumn("context", F.expr("left(gram, length(gram) - 1)"))
     contexts = grams.groupBy("context").agg(
         *[F.sum(c).alias(f"{c}_n") for c in ("accepted", "rejected")],
         *[F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_t") for c in ("accepted", "rejected")],
     )
-    kept = grams.where(F.col("accepted") + F.col("rejected") >= least)
-    contexts = materialize(contexts.join(kept.select("context").distinct(), "context", "left_semi"), f"{uri}/contexts")
-    kept = materialize(kept.join(contexts, "context"), f"{uri}/kept")
+    contexts = materialize(contexts, f"{uri}/contexts")
+    kept = materialize(grams.join(contexts, "context"), f"{uri}/kept")
 
     def smoothed(c: str, lower: Column) -> Column:
         n, t = F.col(f"{c}_n"), F.col(f"{c}_t")
@@ -107,43 +104,90 @@ def _model(grams: DataFrame, uri: str) -> DataFrame:
             level = level.withColumn("suffix", F.expr("substring(gram, 2)")).join(shorter, "suffix")
             lower = {c: F.col(f"l_{c}") for c in ("accepted", "rejected")}
         known = materialize(
-            level.select("gram", *[smoothed(c, lower[c]).alias(f"p_{c}") for c in ("accepted", "rejected")]), f"{uri}/order-{length}"
+            level.select("gram", (F.col("accepted") + F.col("rejected")).alias("n"), *[smoothed(c, lower[c]).alias(f"p_{c}") for c in ("accepted", "rejected")]), f"{uri}/order-{length}"
         )
-        ratios = known.select("gram", (F.log("p_accepted") - F.log("p_rejected")).alias("ratio"))
+        ratios = known.select("gram", "n", (F.log("p_accepted") - F.log("p_rejected")).alias("ratio"))
         model = ratios if length == 1 else model.unionByName(ratios)
 
     def left(c: str) -> Column:
         n, t = F.col(f"{c}_n"), F.col(f"{c}_t")
         return F.when(n > 0, F.log(t / (n + t))).otherwise(F.lit(0.0))
 
-    backoffs = contexts.select(F.col("context").alias("string"), (left("accepted") - left("rejected")).alias("backoff"))
+    backoffs = contexts.select(
+        F.col("context").alias("string"), (left("accepted") - left("rejected")).alias("backoff"),
+        (F.col("accepted_n") + F.col("rejected_n")).alias("context_n"),
+    )
     both = model.withColumnRenamed("gram", "string").join(backoffs, "string", "full_outer")
+    both = both.select("string", "ratio", "backoff", F.greatest("n", "context_n").alias("n"))
     return materialize(both.where("string <> ''"), f"{uri}/model")
 
 
-def _scored(urls: DataFrame, model: DataFrame) -> DataFrame:
+# what a character's score takes: ratios of the strings that end at it, back-offs of the contexts before it
+_PARTS = [(f"r{n}", "ratio", f"right(g{ORDER + 1}, {n})") for n in range(1, ORDER + 2)]
+_PARTS += [(f"b{n}", "backoff", f"left(right(g{ORDER + 1}, {n + 1}), {n})") for n in range(1, ORDER + 1)]
+
+
+def _total() -> Column:
+    """A character's log ratio: the longest known string decides, less what its longer contexts passed down.
+
+    A character that no known string ends in is equally likely in both models but for the back-offs.
+    """
+    total = F.coalesce("r1", F.lit(0.0))
+    for length in range(2, ORDER + 2):
+        total = F.coalesce(F.col(f"r{length}"), total + F.coalesce(F.col(f"b{length - 1}"), F.lit(0.0)))
+    return total
+
+
+def _scored(urls: DataFrame, model: DataFrame, least: int, uri: str) -> DataFrame:
     """``(uid, score)``: mean log ratio per character, end included, to twelve decimals.
 
-    Per character the longest known string decides, less what its longer contexts passed down. The model
-    has 2 * CAPACITY rows at most; it is broadcast once and all lookups share it.
+    Strings that occur ``least`` times, 2 * CAPACITY at most, are broadcast once and all lookups share them. With
+    rarer ones in the model, the characters whose longest string is not among the broadcast ones are told
+    apart by that string alone; per such string, once, what the broadcast did not hold is joined by hash.
     """
     rows = _grams(urls)
-    shared = F.broadcast(model)
+    shared = F.broadcast(model.where(F.col("n") >= least).drop("n"))
+    longest = f"g{ORDER + 1}"
 
     def looked_up(rows: DataFrame, key: Column, wanted: str, name: str) -> DataFrame:
         table = shared.alias("m")
         kept = [F.col(c) for c in rows.columns]
         return rows.join(table, key == F.col("m.string"), "left").select(*kept, F.col(f"m.{wanted}").alias(name))
 
-    for length in range(1, ORDER + 2):
-        rows = looked_up(rows, F.col(f"g{length}"), "ratio", f"r{length}")
-    for length in range(1, ORDER + 1):
-        rows = looked_up(rows, F.expr(f"left(g{length + 1}, {length})"), "backoff", f"b{length}")
-    # a character that no kept string ends in is equally likely in both models but for the backoffs
-    total = F.coalesce("r1", F.lit(0.0))
-    for length in range(2, ORDER + 2):
-        total = F.coalesce(F.col(f"r{length}"), total + F.coalesce(F.col(f"b{length - 1}"), F.lit(0.0)))
-    return rows.groupBy("uid").agg(F.round(F.avg(total), 12).alias("score"))
+    for name, wanted, string in _PARTS:
+        rows = looked_up(rows, F.expr(string), wanted, name)
+    if least <= 1:
+        return rows.groupBy("uid").agg(F.round(F.avg(_total()), 12).alias("score"))
+
+    names = [name for name, _, _ in _PARTS]
+    own = F.when(F.col(f"r{ORDER + 1}").isNotNull(), F.lit(None)).otherwise(F.col(longest))
+    # one row per URL for all that is settled, and one per URL and string that is not
+    parts = rows.groupBy("uid", own.alias(longest)).agg(
+        F.count(F.lit(1)).alias("times"), F.sum(_total()).alias("sum"), *[F.first(n).alias(n) for n in names]
+    )
+    parts = materialize(parts, f"{uri}/parts")
+    open_ = parts.where(F.col(longest).isNotNull())
+    strings = open_.groupBy(longest).agg(*[F.first(n).alias(n) for n in names])
+    strings = materialize(strings, f"{uri}/strings")
+    missing = F.filter(
+        F.array(*[
+            F.when(F.col(name).isNull(), F.struct(F.lit(name).alias("name"), F.expr(string).alias("string")))
+            for name, _, string in _PARTS
+        ]),
+        lambda part: part.isNotNull(),
+    )
+    asked = strings.select(longest, F.inline(missing))
+    rare = model.where(F.col("n") < least)
+    found = asked.join(rare, "string").groupBy(longest).agg(
+        *[F.max(F.when(F.col("name") == name, F.col(wanted))).alias(f"{name}_rare") for name, wanted, _ in _PARTS]
+    )
+    whole = strings.join(found, longest, "left").select(longest, *[F.coalesce(n, f"{n}_rare").alias(n) for n in names])
+    totals = whole.select(longest, _total().alias("total"))
+    late = open_.select("uid", longest, "times").join(totals, longest)
+    sums = parts.where(F.col(longest).isNull()).select("uid", "times", "sum").unionByName(
+        late.select("uid", "times", (F.col("times") * F.col("total")).alias("sum"))
+    )
+    return sums.groupBy("uid").agg(F.round(F.sum("sum") / F.sum("times"), 12).alias("score"))
 
 
 def _threshold(judged: DataFrame) -> float:
@@ -199,11 +243,12 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
         return rows.select(
             "page_id", "host", "path", "rule", decided.alias("verdict"), F.lit(0.0).alias("score"), F.lit(0.0).alias("threshold")
         )
-    model = _model(_counted(train, uri), uri)
+    grams = _counted(train, uri)
+    model = _model(grams, uri)
     # what calibrates is scored along with the rest, under numbers below zero
     held = labelled.where("calibrates").select((-1 - F.col("uid")).alias("uid"), "s", "good")
     asked = rows.where("by_rule is null").select("uid", "s").unionByName(held.select("uid", "s"))
-    scores = materialize(_scored(asked, model), f"{uri}/scores")
+    scores = materialize(_scored(asked, model, _least_count(grams), uri), f"{uri}/scores")
     threshold = _threshold(scores.join(held.select("uid", "good"), "uid"))
     out = rows.join(scores, "uid", "left")
     by_model = F.when(F.col("score") >= threshold, "allow").otherwise("block")

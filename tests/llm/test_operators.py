@@ -516,6 +516,22 @@ def test_url_scores_follow_the_definition(spark):
         assert row["verdict"] == ("allow" if row["score"] >= row["threshold"] else "block")
 
 
+def test_url_strings_beyond_the_broadcast_count(spark, sf_dir, monkeypatch):
+    """Scores and verdicts are the same however few strings are broadcast."""
+    pages = table(spark, sf_dir, "pages").limit(400)
+    pages = pages.unionByName(spark.createDataFrame([(10**6, "http://éé.zz/q"), (10**6 + 1, None)], "page_id long, url string"), allowMissingColumns=True)
+    rows = {r["page_id"]: r for r in url_ratio.judge_urls(pages).collect()}
+    for capacity in (300, 0):
+        monkeypatch.setattr(url_ratio, "CAPACITY", capacity)
+        out = {r["page_id"]: r for r in url_ratio.judge_urls(pages).collect()}
+        assert out.keys() == rows.keys()
+        for number, row in out.items():
+            want = rows[number]
+            assert (row["verdict"], row["threshold"]) == (want["verdict"], want["threshold"])
+            assert (row["score"] is None) == (want["score"] is None)
+            assert row["score"] is None or row["score"] == pytest.approx(want["score"], abs=1e-9)
+
+
 def test_pipeline_stages_do_what_they_say(spark, sf_dir, tmp_path):
     docs = table(spark, sf_dir, "documents")
     extra = [(10**6, None, "en", "s", 0), (10**6 + 1, "123", "en", "s", 3), (0, docs.where("doc_id = 0").first()["text"], "en", "s", 5)]
