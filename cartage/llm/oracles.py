@@ -144,7 +144,76 @@ URL_VERDICTS = rf"""
     FROM parsed LEFT JOIN scores USING (uid)
 """
 
+# crc32 of the decimal id, unsigned: its digits are worked in one by one, each followed by eight shifts
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(
+        string_split(doc_id::VARCHAR, ''), lambda digit: [ascii(digit)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, next: CASE WHEN next >= 0 THEN xor(crc, next) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+_ABOVE = "SELECT level + 1, tree, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16"
+_SIBLINGS = """
+    SELECT *, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lefts,
+           coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rights
+"""
+
+MERKLE_PROOFS = f"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, coalesce('+' || source, '') AS tree, sha256(head || {_field("text")}) AS leaf,
+               sha256(head || {_field("tampered")}) AS forged
+        FROM (
+            SELECT *, {" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS head,
+                   CASE WHEN {_CRC32} % 5 = 0 THEN translate(text, '{_UPPER}', '{_LOWER}') ELSE text END AS tampered
+            FROM documents
+        )
+    ),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+               count(*) OVER (PARTITION BY tree) AS n
+        FROM leaves
+    ),
+    nodes(level, tree, pos, digest, n) AS (
+        SELECT 0, tree, pos, leaf, n FROM placed
+        UNION ALL {_ABOVE} FROM nodes WHERE n > 1 GROUP BY level, tree, pos // 16, n
+    ),
+    tops AS (SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+    upper(level, tree, pos, digest, n) AS (
+        SELECT 100, '', pos, digest, n FROM tops
+        UNION ALL {_ABOVE} FROM upper WHERE n > 1 GROUP BY level, tree, pos // 16, n
+    ),
+    steps AS (
+        {_SIBLINGS} FROM (SELECT * FROM nodes WHERE n > 1) WINDOW run AS (PARTITION BY level, tree, pos // 16 ORDER BY pos)
+    ),
+    upper_steps AS (
+        {_SIBLINGS} FROM (SELECT * FROM upper WHERE n > 1) WINDOW run AS (PARTITION BY level, pos // 16 ORDER BY pos)
+    ),
+    paths AS (
+        SELECT p.tree, p.pos, level, lefts, rights FROM placed p JOIN steps s ON s.tree = p.tree AND s.pos = p.pos >> (4 * level)
+        UNION ALL
+        SELECT p.tree, p.pos, level, lefts, rights
+        FROM placed p JOIN tops t ON t.tree = p.tree JOIN upper_steps s ON s.pos = t.pos >> (4 * (level - 100))
+    ),
+    proofs AS (
+        SELECT tree, pos, string_agg(lefts || rights, '' ORDER BY level) AS siblings,
+               list(lefts || '|' || rights ORDER BY level) AS path
+        FROM paths GROUP BY tree, pos
+    ),
+    found AS (
+        SELECT doc_id, leaf, t.digest AS subroot, (SELECT digest FROM upper WHERE n = 1) AS root,
+               sha256(coalesce(siblings, '')) AS proof_sha256,
+               list_reduce(list_concat([forged], coalesce(path, [])),
+                           lambda digest, s: sha256(split_part(s, '|', 1) || digest || split_part(s, '|', 2))) AS folded_root
+        FROM placed p JOIN tops t ON t.tree = p.tree LEFT JOIN proofs q ON q.tree = p.tree AND q.pos = p.pos
+    )
+    SELECT *, folded_root = root AS verified FROM found
+"""
+
 SQL = {
+    "op12_merkle": MERKLE_PROOFS,
     "op1_url_ratio": URL_VERDICTS,
     "op2_spaced_seeds": f"""
         WITH {CONTAMINATIONS.format(docs="documents")}

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartage.llm import oracles
 from cartage.llm.bpe import bpe_digests
+from cartage.llm.compression import quality
 from cartage.llm.langid import languages
 from cartage.llm.maxent import lm_scores
+from cartage.llm.merkle import merkle_proofs
 from cartage.llm.minhash import near_duplicates
+from cartage.llm.periodic import run_digests
 from cartage.llm.projections import embedding_groups
 from cartage.llm.secrets import secret_spans
 from cartage.llm.spaced_seeds import contaminations
@@ -81,3 +84,18 @@ def op7_projections(spark, sf_dir):
 @query
 def op8_toxicity(spark, sf_dir):
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op11_compression(spark, sf_dir):
+    return quality(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_merkle(spark, sf_dir):
+    return merkle_proofs(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic(spark, sf_dir):
+    return run_digests(read(spark, sf_dir, "documents"))

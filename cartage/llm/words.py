@@ -6,6 +6,7 @@ yields on UTF-8. A null text has no words.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ _BASE = int(_RANDOM.integers(1 << 40, 1 << 62)) | 1
 _MASK = (1 << 64) - 1
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, *range(9, 14)]] = True
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _POSITION = _RANDOM.integers(1, 1 << 63, 64, dtype=np.uint64) | _U(1)
 
 _powers: dict[str, np.ndarray] = {}
@@ -82,6 +84,16 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, int, list[bytes]]]:
         yield first, len(texts), held
 
 
+def pieces(raw: bytes, size: int = CHUNK_BYTES) -> Iterator[bytes]:
+    """A text in pieces of about ``size`` bytes, cut before white space only, so that no word is cut."""
+    at = 0
+    while at < len(raw):
+        blank = _BLANK.search(raw, at + size)
+        end = blank.start() if blank else len(raw)
+        yield raw[at:end]
+        at = end
+
+
 def shingle_sets(words: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
     """Per text its sorted distinct shingle hashes; fewer words than ``width`` make one shingle, none make none."""
     if len(words) >= width:
