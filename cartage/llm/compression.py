@@ -22,16 +22,16 @@ LEAST_WORDS = 20
 WINDOW = 8  # words of a window that repeats
 MOST_REPEATED = 30  # percent of the words that repeated windows may cover
 
-# fixed values: a text of at least so many bytes has a ratio of compressed to plain bytes from low to high. The gap
-# between prose and either limit was left wide: prose lies near the middle, from 0.7 at 128 bytes to 0.35 at 64 KiB
+# fixed values: a text of at least so many bytes has a ratio of compressed to plain bytes from low to high. Prose lies near
+# the middle, from 0.7 at 128 bytes to 0.35 at 64 KiB; base64 of noise lies above high, from 0.95 at 256 bytes to 0.75
 BANDS = (
-    (128, 0.40, 1.05),
-    (256, 0.38, 0.95),
-    (512, 0.36, 0.88),
-    (1024, 0.33, 0.80),
-    (2048, 0.30, 0.74),
-    (4096, 0.27, 0.70),
-    (8192, 0.25, 0.67),
+    (128, 0.40, 1.02),
+    (256, 0.38, 0.82),
+    (512, 0.36, 0.77),
+    (1024, 0.33, 0.73),
+    (2048, 0.30, 0.70),
+    (4096, 0.27, 0.68),
+    (8192, 0.25, 0.66),
     (16384, 0.22, 0.65),
     (65536, 0.18, 0.64),
 )
@@ -162,9 +162,10 @@ def quality(docs: DataFrame) -> DataFrame:
 def keep_by_compression(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is kept, columns unchanged, whatever their names."""
 
+    at = docs.columns.index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=LEVEL)
-        at = docs.columns.index("text")
         for batch in batches:
             yield batch.filter(pa.array([judge(text.as_py(), packer)[6] for text in batch.column(at)], pa.bool_()))
 
