@@ -16,14 +16,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartage.llm.sampling import bounded, fold
+from cartage.llm.sampling import fold
 from cartage.llm.words import CHUNK_BYTES, utf8
+from cartage.session import materialize, scratch
 
 BUCKETS = 1 << 14
 WIDTH = 16  # embedding dimensions
 SAMPLE = 1500  # labelled rows per language that training may use; the only bound on what is learned from
-EPOCHS, BATCH, RATE = 12, 32, 0.5
-KEPT_SHARE = 0.999  # of the validation rows labelled rightly, how many the rejection threshold keeps
+TOTAL = 40_000  # labelled rows of all languages together; with more languages than TOTAL / SAMPLE each gives fewer
+EPOCHS, BATCH, RATE = 5, 64, 0.1
+KEPT_SHARE = 0.999  # of the validation rows labelled rightly, how many the rejection threshold keeps at least
+EVEN_GUESS = 0.5  # the threshold is never above this
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -62,16 +65,16 @@ def bucket_counts(text: str | None) -> np.ndarray:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    table: np.ndarray  # BUCKETS x languages: embeddings times softmax weights
+    embedding: np.ndarray  # BUCKETS x WIDTH
+    weights: np.ndarray  # WIDTH x languages
     bias: np.ndarray
     temperature: float
     threshold: float
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         total = max(1, counts.sum())
-        logits = (counts @ self.table / total + self.bias) / self.temperature
-        odds = np.exp(logits - logits.max())
-        return odds / odds.sum()
+        hidden = counts @ self.embedding / total
+        return _softmax(((hidden @ self.weights + self.bias) / self.temperature)[None])[0]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.languages or not text or not _LETTER.search(text):
@@ -100,60 +103,63 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return odds / odds.sum(axis=1, keepdims=True)
 
 
-def _descend(rows: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray]:
-    """Embeddings times weights, and biases, after EPOCHS of mini-batch gradient steps."""
+def _descend(rows: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embeddings, weights and biases after EPOCHS of mini-batch gradient steps.
+
+    Every number's step is its slope over the root of its squared slopes so far, so no step exceeds RATE whatever the
+    texts are, and after t steps no number has moved by more than 2 RATE sqrt(t).
+    """
     random = np.random.default_rng(5)
-    embedding = random.normal(0, 1 / WIDTH, (BUCKETS, WIDTH))
-    weights, bias = np.zeros((WIDTH, languages)), np.zeros(languages)
-    weights[:] = random.normal(0, 0.1, weights.shape)
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    parts = [random.normal(0, 0.1, (BUCKETS, WIDTH)), random.normal(0, 0.1, (WIDTH, languages)), np.zeros(languages)]
+    embedding, weights, bias = parts
+    squares = [np.full(p.shape, 1e-10) for p in parts]
+
+    def step(part: int, slope: np.ndarray, at=slice(None)) -> None:
+        squares[part][at] += slope * slope
+        parts[part][at] -= RATE * slope / np.sqrt(squares[part][at])
+
+    for _ in range(EPOCHS):
         order = random.permutation(len(rows))
         for first in range(0, len(order), BATCH):
             picked = order[first : first + BATCH]
-            hidden = np.stack([shares @ embedding[at] for at, shares in (rows[i] for i in picked)])
+            used = np.zeros(BUCKETS, bool)
+            for i in picked:
+                used[rows[i][0]] = True
+            place = np.cumsum(used) - 1
+            used = np.flatnonzero(used)
+            shares = np.zeros((len(picked), len(used)))
+            for n, i in enumerate(picked):
+                shares[n, place[rows[i][0]]] = rows[i][1]
+            hidden = shares @ embedding[used]
             error = _softmax(hidden @ weights + bias)
             error[np.arange(len(picked)), wanted[picked]] -= 1
+            error /= len(picked)
             back = error @ weights.T
-            weights -= rate * hidden.T @ error / len(picked) * WIDTH
-            bias -= rate * error.mean(axis=0)
-            # a text's gradient is spread over its subwords by their shares
-            for row, i in zip(back, picked, strict=True):
-                at, shares = rows[i]
-                embedding[at] -= rate * WIDTH * np.outer(shares * min(len(at), 64), row) / len(picked) * 4
-    return embedding @ weights, bias
+            step(1, hidden.T @ error)
+            step(2, error.sum(axis=0))
+            step(0, shares.T @ back, used)
+    if not all(np.isfinite(p).all() for p in parts):
+        raise FloatingPointError("the language model has weights that are not finite")
+    return embedding, weights, bias
 
 
-def train_languages(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
-    """A model from rows with text and lang whose crc32(doc_id) mod 4 is not 2.
+def fit_languages(found: list[tuple[str, int, np.ndarray, np.ndarray]]) -> LanguageModel:
+    """A model from rows (language, part, buckets, their counts); part 0 calibrates, the others train.
 
-    At most about ``sample`` rows per language train it; a fifth of them is set aside to calibrate the
-    temperature and the rejection threshold. Without labelled rows every text is unknown.
+    Languages that have calibrating rows only train with those.
     """
-    labelled = docs.select("doc_id", "text", "lang").where(
-        "text is not null and lang is not null and doc_id is not null"
-    ).where(fold(F.col("doc_id"), 4) != 2)
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(5))
-    features = bounded(labelled, "lang", sample).withColumn("part", part).select("lang", "part", "text")
-    found = features.mapInArrow(_feature_batches, "lang string, part long, buckets binary, counts binary").collect()
-    found.sort(key=lambda r: (r["lang"], r["part"], bytes(r["buckets"]), bytes(r["counts"])))
-    languages = sorted({r["lang"] for r in found})
-    if not languages:
-        return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
-    rows, wanted, parts = [], [], []
-    for r in found:
-        counts = np.frombuffer(r["counts"], np.int32)
-        if counts.sum():
-            rows.append((np.frombuffer(r["buckets"], np.int32), counts / counts.sum()))
-            wanted.append(languages.index(r["lang"]))
-            parts.append(r["part"])
-    wanted, parts = np.array(wanted, int), np.array(parts, int)
-    train = np.flatnonzero(parts > 0)
-    table, bias = _descend([rows[i] for i in train], wanted[train], len(languages))
-    held = np.flatnonzero(parts == 0)
+    languages = sorted({lang for lang, *_ in found})
+    rows = [(at, counts / counts.sum()) for _, _, at, counts in found]
+    wanted = np.array([languages.index(lang) for lang, *_ in found], int)
+    parts = np.array([part for _, part, *_ in found], int)
+    trained = np.isin(wanted, wanted[parts > 0])
+    train, held = np.flatnonzero((parts > 0) | ~trained), np.flatnonzero((parts == 0) & trained)
+    if not len(train):
+        return LanguageModel([], np.zeros((BUCKETS, WIDTH)), np.zeros((WIDTH, 0)), np.zeros(0), 1.0, 0.0)
+    embedding, weights, bias = _descend([rows[i] for i in train], wanted[train], len(languages))
     if not len(held):
-        return LanguageModel(languages, table, bias, 1.0, 0.0)
-    logits = np.stack([shares @ table[at] for at, shares in (rows[i] for i in held)]) + bias
+        return LanguageModel(languages, embedding, weights, bias, 1.0, 0.0)
+    logits = np.stack([shares @ embedding[at] for at, shares in (rows[i] for i in held)]) @ weights + bias
     truth = wanted[held]
 
     def loss(t: float) -> float:
@@ -163,20 +169,37 @@ def train_languages(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     chances = _softmax(logits / temperature)
     right = chances.max(axis=1)[chances.argmax(axis=1) == truth]
     threshold = float(np.quantile(right, 1 - KEPT_SHARE)) if len(right) else 0.0
-    # nothing above an even guess between two languages is rejected
-    return LanguageModel(languages, table, bias, temperature, min(threshold, 0.5))
+    return LanguageModel(languages, embedding, weights, bias, temperature, min(threshold, EVEN_GUESS))
 
 
-def _identify(model: LanguageModel):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [model.predict(text.as_py()) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
-            )
+def train_languages(docs: DataFrame, sample: int = SAMPLE, total: int = TOTAL) -> LanguageModel:
+    """A model from rows with text and lang whose crc32(doc_id) mod 4 is not 2.
 
-    return run
+    At most about ``sample`` rows per language and ``total`` in all train it, whatever the number of languages; they are
+    drawn by a hash of doc_id at a rate set by the counts of all rows. A fifth of them is set aside to calibrate the
+    temperature and the rejection threshold. Without labelled rows every text is unknown.
+    """
+    labelled = docs.select("doc_id", "text", "lang").where(
+        "text is not null and lang is not null and doc_id is not null"
+    ).where(fold(F.col("doc_id"), 4) != 2)
+    sizes = materialize(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("held")), scratch(docs.sparkSession, "languages"))
+    most = max(1, min(sample, total // max(1, sizes.count())))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(5))
+    drawn = labelled.join(sizes, "lang").where(draw * F.col("held") < most).withColumn("part", part)
+    found = drawn.select("lang", "part", "text").mapInArrow(
+        _feature_batches, "lang string, part long, buckets binary, counts binary"
+    ).collect()
+    found.sort(key=lambda r: (r["lang"], r["part"], bytes(r["buckets"]), bytes(r["counts"])))
+    return fit_languages([
+        (r["lang"], r["part"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32))
+        for r in found if len(r["buckets"])
+    ])
+
+
+def _predictions(model: LanguageModel, batch: pa.RecordBatch) -> tuple[list[str], list[float]]:
+    found = [model.predict(text.as_py()) for text in batch.column(batch.schema.get_field_index("text"))]
+    return [f[0] for f in found], [f[1] for f in found]
 
 
 def languages(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
@@ -190,33 +213,32 @@ def languages(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     """
     model = model or train_languages(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInArrow(
-        _dropping_text(model), f"doc_id {kind}, lang_pred string, score double"
-    )
-    rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.threshold)
-    held = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", rejected.alias("rejected"))
-
-
-def _dropping_text(model: LanguageModel):
-    identify = _identify(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in identify(batches):
-            yield batch.select(["doc_id", "lang_pred", "score"])
+        for batch in batches:
+            names, scores = _predictions(model, batch)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"]
+            )
 
-    return run
+    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.threshold)
+    held = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", rejected.alias("rejected"))
 
 
 def identified(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, columns unchanged."""
+    """The rows of ``docs`` that are not rejected, columns unchanged, whatever their names.
+
+    Null texts, texts without a letter and those whose language stays below the threshold go; repeated rows stay or go
+    together. Null ids and langs do not matter; an empty table gives an empty result.
+    """
     model = model or train_languages(docs)
-    identify = _identify(model)
-    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in identify(batches):
-            scores, found = batch.column("score").to_numpy(), np.array(batch.column("lang_pred").to_pylist(), object)
-            yield batch.filter(pa.array((found != UNKNOWN) & (scores >= model.threshold))).select(names)
+        for batch in batches:
+            names, scores = _predictions(model, batch)
+            kept = [n != UNKNOWN and s >= model.threshold for n, s in zip(names, scores, strict=True)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -76,7 +76,7 @@ def _url_levels() -> str:
 
 
 def _url_total() -> str:
-    total = "coalesce(r1.ratio, 0)"
+    total = "coalesce(r1.ratio, (SELECT backoff FROM backoffs WHERE context = ''))"
     for n in range(2, 6):
         total = f"coalesce(r{n}.ratio, {total} + coalesce(b{n - 1}.backoff, 0))"
     return total

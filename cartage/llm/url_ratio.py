@@ -75,10 +75,11 @@ def _least_count(grams: DataFrame) -> int:
     return least
 
 
-def _model(grams: DataFrame, uri: str) -> DataFrame:
+def _model(grams: DataFrame, uri: str) -> tuple[DataFrame, float]:
     """``(string, ratio, backoff, n)``: log of the ratio of both models' smoothed probabilities of a string's last
     character, of the string as a context log of the ratio of what both models leave to shorter contexts, and how
-    often the string occurs, in training URLs, as either.
+    often the string occurs, in training URLs, as either. Besides, the back-off of the empty context, which is the
+    ratio of a character that no training URL has.
     """
     grams = grams.withColumn("context", F.expr("left(gram, length(gram) - 1)"))
     contexts = grams.groupBy("context").agg(
@@ -119,7 +120,8 @@ def _model(grams: DataFrame, uri: str) -> DataFrame:
     )
     both = model.withColumnRenamed("gram", "string").join(backoffs, "string", "full_outer")
     both = both.select("string", "ratio", "backoff", F.greatest("n", "context_n").alias("n"))
-    return materialize(both.where("string <> ''"), f"{uri}/model")
+    both = materialize(both, f"{uri}/model")
+    return both.where("string <> ''"), both.where("string = ''").first()["backoff"]
 
 
 # what a character's score takes: ratios of the strings that end at it, back-offs of the contexts before it
@@ -127,18 +129,18 @@ _PARTS = [(f"r{n}", "ratio", f"right(g{ORDER + 1}, {n})") for n in range(1, ORDE
 _PARTS += [(f"b{n}", "backoff", f"left(right(g{ORDER + 1}, {n + 1}), {n})") for n in range(1, ORDER + 1)]
 
 
-def _total() -> Column:
-    """A character's log ratio: the longest known string decides, less what its longer contexts passed down.
+def _total(unseen: float) -> Column:
+    """A character's log ratio: the longest known string decides, with what its longer contexts passed down.
 
-    A character that no known string ends in is equally likely in both models but for the back-offs.
+    A character that no known string ends in has the ratio ``unseen`` before those.
     """
-    total = F.coalesce("r1", F.lit(0.0))
+    total = F.coalesce("r1", F.lit(unseen))
     for length in range(2, ORDER + 2):
         total = F.coalesce(F.col(f"r{length}"), total + F.coalesce(F.col(f"b{length - 1}"), F.lit(0.0)))
     return total
 
 
-def _scored(urls: DataFrame, model: DataFrame, least: int, uri: str) -> DataFrame:
+def _scored(urls: DataFrame, model: DataFrame, unseen: float, least: int, uri: str) -> DataFrame:
     """``(uid, score)``: mean log ratio per character, end included, to twelve decimals.
 
     Strings that occur ``least`` times, 2 * CAPACITY at most, are broadcast once and all lookups share them. With
@@ -157,13 +159,13 @@ def _scored(urls: DataFrame, model: DataFrame, least: int, uri: str) -> DataFram
     for name, wanted, string in _PARTS:
         rows = looked_up(rows, F.expr(string), wanted, name)
     if least <= 1:
-        return rows.groupBy("uid").agg(F.round(F.avg(_total()), 12).alias("score"))
+        return rows.groupBy("uid").agg(F.round(F.avg(_total(unseen)), 12).alias("score"))
 
     names = [name for name, _, _ in _PARTS]
     own = F.when(F.col(f"r{ORDER + 1}").isNotNull(), F.lit(None)).otherwise(F.col(longest))
     # one row per URL for all that is settled, and one per URL and string that is not
     parts = rows.groupBy("uid", own.alias(longest)).agg(
-        F.count(F.lit(1)).alias("times"), F.sum(_total()).alias("sum"), *[F.first(n).alias(n) for n in names]
+        F.count(F.lit(1)).alias("times"), F.sum(_total(unseen)).alias("sum"), *[F.first(n).alias(n) for n in names]
     )
     parts = materialize(parts, f"{uri}/parts")
     open_ = parts.where(F.col(longest).isNotNull())
@@ -182,7 +184,7 @@ def _scored(urls: DataFrame, model: DataFrame, least: int, uri: str) -> DataFram
         *[F.max(F.when(F.col("name") == name, F.col(wanted))).alias(f"{name}_rare") for name, wanted, _ in _PARTS]
     )
     whole = strings.join(found, longest, "left").select(longest, *[F.coalesce(n, f"{n}_rare").alias(n) for n in names])
-    totals = whole.select(longest, _total().alias("total"))
+    totals = whole.select(longest, _total(unseen).alias("total"))
     late = open_.select("uid", longest, "times").join(totals, longest)
     sums = parts.where(F.col(longest).isNull()).select("uid", "times", "sum").unionByName(
         late.select("uid", "times", (F.col("times") * F.col("total")).alias("sum"))
@@ -244,11 +246,11 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
             "page_id", "host", "path", "rule", decided.alias("verdict"), F.lit(0.0).alias("score"), F.lit(0.0).alias("threshold")
         )
     grams = _counted(train, uri)
-    model = _model(grams, uri)
+    model, unseen = _model(grams, uri)
     # what calibrates is scored along with the rest, under numbers below zero
     held = labelled.where("calibrates").select((-1 - F.col("uid")).alias("uid"), "s", "good")
     asked = rows.where("by_rule is null").select("uid", "s").unionByName(held.select("uid", "s"))
-    scores = materialize(_scored(asked, model, _least_count(grams), uri), f"{uri}/scores")
+    scores = materialize(_scored(asked, model, unseen, _least_count(grams), uri), f"{uri}/scores")
     threshold = _threshold(scores.join(held.select("uid", "good"), "uid"))
     out = rows.join(scores, "uid", "left")
     by_model = F.when(F.col("score") >= threshold, "allow").otherwise("block")

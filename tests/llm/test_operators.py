@@ -229,6 +229,51 @@ def test_languages_are_told_and_noise_rejected(spark, sf_dir):
     assert [r[0] for r in unlabelled] == ["und"]
 
 
+def drawn_rows(spark, sf_dir, draw, copies):
+    """Features of a draw of about 400 rows, each under ``copies`` ids."""
+    rng = random.Random(draw)
+    docs = table(spark, sf_dir, "documents").select("text", "lang").collect()
+    found = []
+    for text, lang in rng.sample(docs, min(len(docs), 400 // copies)):
+        counts = langid.bucket_counts(text)
+        at = np.flatnonzero(counts).astype(np.int32)
+        if len(at):
+            found += [(lang, rng.randrange(5), at, counts[at].astype(np.int32)) for _ in range(copies)]
+    return found
+
+
+@pytest.mark.parametrize("draw", range(20))
+def test_language_model_is_finite_whatever_is_drawn(spark, sf_dir, draw):
+    model = langid.fit_languages(drawn_rows(spark, sf_dir, draw, (1, 24, 5, 100)[draw % 4]))
+    assert all(np.isfinite(p).all() for p in (model.embedding, model.weights, model.bias)) and 0 <= model.threshold <= 0.5
+    for text in ("the and of ing", "é" * 10_000, "x", "der die und " * 3000):
+        name, score = model.predict(text)
+        assert name in model.languages and 0 <= score <= 1
+
+
+def test_languages_of_documents_with_many_ids(spark, sf_dir):
+    """Two dozen ids a document, awkward column names, and no rows at all."""
+    docs = table(spark, sf_dir, "documents")
+    many = docs.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn("doc_id", F.col("doc_id") * 24 + F.col("copy"))
+    many = many.withColumnRenamed("copy", "score").withColumn("lang_pred", F.lit("clash")).withColumn("held", F.lit(1))
+    model = langid.train_languages(many)
+    kept = langid.identified(many, model)
+    assert kept.columns == many.columns and kept.count() > 0.97 * many.count()
+    out = langid.languages(many, model).join(many.select("doc_id", F.col("lang").alias("truth")), "doc_id").where("held_out")
+    right, low, high = out.select(F.avg((F.col("truth") == F.col("lang_pred")).cast("double")), F.min("score"), F.max("score")).first()
+    assert right > 0.95 and low >= 0 and high <= 1
+    assert langid.identified(many.limit(0)).count() == 0 and langid.languages(many.limit(0)).count() == 0
+
+
+def test_many_languages_share_the_sample(spark):
+    """Hundreds of languages are all learned; the sample of each shrinks instead."""
+    rng = random.Random(1)
+    names = [f"l{i:03}" for i in range(600)]
+    rows = [(i, f"{names[i % 600]} " * rng.randint(3, 9), names[i % 600]) for i in range(6000)]
+    model = langid.train_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), total=3000)
+    assert len(model.languages) > 590
+
+
 def test_language_fold_and_labels_do_not_leak(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     scrambled = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, "xx").otherwise(F.col("lang")))
@@ -503,6 +548,7 @@ def test_url_scores_follow_the_definition(spark):
     rng = random.Random(5)
     hosts = ["aa.example.net", "bb.net", "cc.org", "example.com", "dd.com"]
     urls = sorted({f"http://{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr'])}/{rng.choice('abc')}{rng.randint(0, 9)}" for _ in range(60)})
+    urls += ["http://zzé.zz/Q", "http://中.zz/"]  # characters that no training URL has
     out = url_ratio.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()
     train = []
     for row in out:
