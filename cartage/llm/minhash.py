@@ -25,7 +25,9 @@ ROWS, BANDS = 5, 40
 BINS = 2 * ROWS * BANDS  # the bands take every other bin, the sketch takes all
 CELL = 64  # members that one task compares with one centre before the centre is copied to another cell
 BLOCK = 512  # members of a bucket that meet in one task when a bucket holds several components
+BLOCK_SHINGLES = 1 << 21  # shingles of those members, about
 SKETCH_FLOOR = 0.66  # a pair at PERCENT is over four standard deviations above this share of equal bins
+SKETCHED = 256  # shingles; pairs with a smaller set are told by their sets alone, as their sketches scatter more
 
 _U = np.uint64
 _BIN_SALT = mix(np.arange(1, BINS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
@@ -124,62 +126,118 @@ def verified(pairs: DataFrame, docs: DataFrame, uri: str) -> DataFrame:
     return rows.sortWithinPartitions("a", "cell", "role").mapInArrow(_verify_batches, "a long, b long")
 
 
-def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block that lie in different components and whose sketches are close, from their first shared bucket."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    held: dict[str, list] = {}
-    key = None
-
-    def compare() -> Iterator[pa.RecordBatch]:
-        marks = np.frombuffer(b"".join(held["sketch"]), np.uint8).reshape(-1, BINS)
-        bands = np.array(held["bands"])
-        ids, parts, sides = np.array(held["rep"]), np.array(held["component"]), np.array(held["side"])
-        sizes = np.array(held["n_shingles"])
-        left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == (1 if (sides == 1).any() else 0))
-        found = []
-        for i in left:
-            near = right[(parts[right] != parts[i]) & (100 * np.minimum(sizes[right], sizes[i]) >= PERCENT * np.maximum(sizes[right], sizes[i]))]
-            near = near[(marks[near] == marks[i]).mean(axis=1) >= SKETCH_FLOOR]
-            if len(near):
-                first = (bands[near] == bands[i]).argmax(axis=1)
-                near = near[bands[i][first] == key[0]]
-                found += [(min(ids[i], j), max(ids[i], j)) for j in ids[near]]
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in found], pa.int64()) for k in (0, 1)], schema=schema)
+_MEMBER = "bucket long, p int, q int, side int, rep long, component long, n_shingles long, bands array<long>, sketch binary"
+
 
+def _blocks(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[dict[str, list]]:
+    """The rows of one (bucket, p, q) after another; batches are sorted by it."""
+    held, key = {c: [] for c in columns}, None
     for batch in batches:
         rows = batch.to_pydict()
         for i in range(batch.num_rows):
             now = (rows["bucket"][i], rows["p"][i], rows["q"][i])
             if now != key:
                 if key is not None:
-                    yield from compare()
-                key, held = now, {c: [] for c in ("sketch", "bands", "rep", "component", "side", "n_shingles")}
-            for c in held:
+                    yield held
+                key, held = now, {c: [] for c in columns}
+            for c in columns:
                 held[c].append(rows[c][i])
     if key is not None:
-        yield from compare()
+        yield held
+
+
+class _Block:
+    """Members that meet in one task: both sides of two blocks of a bucket, or one block with itself."""
+
+    def __init__(self, held: dict[str, list]):
+        self.marks = np.frombuffer(b"".join(held["sketch"]), np.uint8).reshape(-1, BINS)
+        self.bands, self.bucket = np.array(held["bands"]), held["bucket"][0]
+        self.sizes, self.parts = np.array(held["n_shingles"]), np.array(held["component"])
+        sides = np.array(held["side"])
+        self.left = np.flatnonzero(sides == 0)
+        self.right = np.flatnonzero(sides == 1) if held["p"][0] != held["q"][0] else self.left
+
+    def partners(self, i: int) -> np.ndarray:
+        """Members across from ``i`` in another component that may link with it and share no earlier bucket."""
+        near = self.right[self.parts[self.right] != self.parts[i]]
+        small, large = np.minimum(self.sizes[near], self.sizes[i]), np.maximum(self.sizes[near], self.sizes[i])
+        near = near[(100 * small >= PERCENT * large)]
+        small = np.minimum(self.sizes[near], self.sizes[i])
+        near = near[(small < SKETCHED) | ((self.marks[near] == self.marks[i]).mean(axis=1) >= SKETCH_FLOOR)]
+        if not len(near):
+            return near
+        first = (self.bands[near] == self.bands[i]).argmax(axis=1)
+        return near[self.bands[i][first] == self.bucket]
+
 
+def _open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each block the members that may link with one in another component."""
+    columns = ("bucket", "p", "q", "side", "rep", "component", "n_shingles", "bands", "sketch")
+    for held in _blocks(batches, columns):
+        block = _Block(held)
+        wanted = np.zeros(len(held["rep"]), bool)
+        for i in block.left:
+            near = block.partners(i)
+            wanted[near] = True
+            wanted[i] |= len(near) > 0
+        at = np.flatnonzero(wanted)
+        if len(at):
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([held[c][i] for i in at], kind) for c, kind in zip(columns, kinds, strict=True)], names=list(columns)
+            )
 
-def crossing_pairs(members: DataFrame, uri: str) -> DataFrame:
-    """Candidate pairs that the stars left open: one bucket, two components.
 
-    Buckets within one component are finished. The others are compared in blocks of ``BLOCK`` members;
-    a larger bucket is dealt to a triangle of block pairs. Only pairs whose sketches agree leave a task.
+def _forest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block links, confirmed on full sets, that join its components: fewer than the block has members."""
+    columns = ("bucket", "p", "q", "side", "rep", "component", "n_shingles", "bands", "sketch", "text")
+    for held in _blocks(batches, columns):
+        sets: list[np.ndarray] = []
+        for _, _, raw in chunks(held.pop("text")):
+            sets += shingle_sets(*hashed_words(raw), WIDTH)
+        block, found = _Block(held), []
+        for i in block.left:
+            for j in block.partners(i):
+                if block.parts[i] == block.parts[j]:
+                    continue  # joined since
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * shared >= PERCENT * (len(sets[i]) + len(sets[j]) - shared) and shared:
+                    found.append((held["rep"][i], held["rep"][j]))
+                    block.parts[block.parts == block.parts[j]] = block.parts[i]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def crossing_links(members: DataFrame, docs: DataFrame, across: bool, uri: str) -> DataFrame:
+    """Links that the stars left open: one bucket, two components.
+
+    Buckets within one component are finished. The others are compared in blocks of about ``BLOCK`` members: each with
+    itself, or with ``across`` each with every other one. Members that may link, by sizes and sketches, go on with
+    their texts, and a block gives a spanning forest of its links, so neither step gives more rows than it takes.
     """
     span = members.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
+        F.sum("n_shingles").alias("shingles"),
     )
-    mixed = materialize(span.where("low <> high").select("bucket", "n"), f"{uri}-mixed")
-    rows = members.join(mixed, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    mixed = span.where("low <> high").select("bucket", blocks.alias("blocks"))
+    mixed = materialize(mixed.where("blocks > 1") if across else mixed, f"{uri}-mixed")
+    rows = members.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    if across:
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("own <> other")
+    else:
+        rows = rows.withColumn("other", F.col("own"))
     rows = rows.select(
         "bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "component", "n_shingles", "bands", "sketch",
     )
     dealt = rows.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
-    return dealt.mapInArrow(_block_batches, "a long, b long").distinct()
+    wanted = materialize(dealt.mapInArrow(_open_members, _MEMBER), f"{uri}-open")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").where("rep is not null and text is not null")
+    # the texts always move by hash: what is asked for grows with them, so its broadcast would not last
+    full = wanted.join(texts.hint("merge"), "rep").repartition("bucket", "p", "q")
+    links = full.sortWithinPartitions("bucket", "p", "q", "rep").mapInArrow(_forest_batches, "a long, b long")
+    return materialize(links, f"{uri}-links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -192,7 +250,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Equal sets collapse into their smallest doc_id first. Each bucket then proposes a star around its
     smallest member, all of it confirmed on full sets; buckets that still span components are compared
-    in blocks, so that no link between them is lost.
+    in blocks, first each with itself, then with the others, so that no link between components is lost.
     """
     spark = docs.sparkSession
     uri = scratch(spark, "minhash")
@@ -213,14 +271,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = materialize(verified(stars, docs, f"{uri}/star"), f"{uri}/star-links")
     found = materialize(components(links), f"{uri}/first")
 
-    marked = classes.select("rep", "n_shingles", "bands", "sketch").join(found, classes["rep"] == found["node"], "left")
-    marked = marked.select("rep", "n_shingles", "bands", "sketch", F.coalesce("component", "rep").alias("component"))
-    members = shared.select("bucket", "rep").join(marked, "rep")
-    open_pairs = crossing_pairs(members, f"{uri}/open").join(stars, ["a", "b"], "left_anti")
-    more = materialize(verified(open_pairs, docs, f"{uri}/cross"), f"{uri}/cross-links")
     joined = found
-    if not more.isEmpty():
-        joined = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    for across in (False, True):
+        marked = classes.select("rep", "n_shingles", "bands", "sketch").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+        marked = marked.withColumn("component", F.coalesce("component", "rep"))
+        members = shared.select("bucket", "rep").join(marked, "rep")
+        more = crossing_links(members, docs, across, f"{uri}/{'across' if across else 'within'}")
+        if not more.isEmpty():
+            known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            joined = components(known.unionByName(more))
 
     # one document may stand in several classes when rows repeat a doc_id: its classes are one node already
     same = joined.withColumnRenamed("node", "rep")

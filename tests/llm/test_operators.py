@@ -110,6 +110,41 @@ def test_open_buckets_are_finished_in_blocks(spark, monkeypatch):
     rng.shuffle(texts)
     monkeypatch.setattr(minhash, "BLOCK", 4)
     monkeypatch.setattr(minhash, "CELL", 3)
+    monkeypatch.setattr(minhash, "SKETCHED", 40)
+    _, want = near_groups(texts)
+    out = minhash.near_duplicates(frame(spark, texts)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == want
+
+
+def test_blocks_give_fewer_links_than_members(spark, tmp_path):
+    """Thousands of near copies of one text, all in different components: no step gives more rows than it takes."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(80)]
+    texts = []
+    for step in range(1500):
+        copy = list(base)
+        copy[rng.randrange(80)] = f"x{step}"
+        texts.append(" ".join(copy))
+    docs = frame(spark, texts)
+    sketched = minhash.sketches(docs).select("n_shingles", F.col("doc_id").alias("rep"), F.col("doc_id").alias("component"), "bands", "sketch")
+    members = sketched.withColumn("bucket", F.explode("bands")).cache()
+    within = minhash.crossing_links(members, docs, False, f"{tmp_path}/within")
+    across = minhash.crossing_links(members, docs, True, f"{tmp_path}/across")
+    rows = members.count()
+    assert 0 < within.count() <= rows
+    blocks = -(-1500 // minhash.BLOCK)
+    assert across.count() <= rows * (blocks - 1)
+    opened = spark.read.parquet(f"{tmp_path}/across-open").count()
+    assert opened <= rows * (blocks - 1)
+    members.unpersist()
+
+
+def test_small_sets_at_the_limit_are_linked(spark):
+    """Sets of 1 to 20 shingles whose similarity is exactly at or just below the limit."""
+    texts = []
+    for n in range(5, 25):
+        for keep in range(max(5, n - 5), n + 1):
+            texts += [" ".join(f"t{n}k{keep}w{i}" for i in range(n)), " ".join(f"t{n}k{keep}w{i}" for i in range(keep))]
     _, want = near_groups(texts)
     out = minhash.near_duplicates(frame(spark, texts)).collect()
     assert {r["doc_id"]: r["component_id"] for r in out} == want
