@@ -8,11 +8,13 @@ are isolated by halving the wave.
 from __future__ import annotations
 
 import errno
+import hashlib
 import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -35,7 +37,7 @@ from cartage.operators.logs import (
     with_status,
 )
 from cartage.plans.work import MAX_FILE_SIZE, file_count, rows_per_file, wave_ranges, with_rank
-from cartage.session import literal_path, materialize, one_row, path_exists, scanned_bytes
+from cartage.session import literal_path, materialize, one_row, path_exists, qualify, scanned_bytes, write_text
 from cartage.sources.files import open_file, spread
 from cartage.sources.tables import select_columns
 
@@ -129,7 +131,8 @@ def analyse_partitions(
             F.lit(task_id).alias("task_id"),
             F.lit(0).alias("retry_count"),
             *[F.lit(None).alias(c) for c in (
-                "rows_unloaded", "output_bytes", "file_count", "error_message", "started_at", "ended_at")],
+                "rows_unloaded", "output_bytes", "file_count", "error_message", "started_at", "ended_at",
+                "generation", "staged_files")],
         ),
         "analysed",
     )
@@ -306,6 +309,7 @@ def per_folder(files: DataFrame) -> DataFrame:
     return files.groupBy("path_key").agg(
         F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"),
         F.max("size").alias("largest"), F.max("problem").alias("unreadable"),
+        F.sort_array(F.collect_list(F.regexp_extract("path", "([^/]*)$", 1))).alias("names"),
     )
 
 
@@ -489,6 +493,9 @@ def export_pending(
             file_count=F.when(written, F.col("files")),
             retry_count=F.when(ok, F.col("retry_count")).otherwise(F.col("retry_count") + 1),
             error_message=F.col("problem"),
+            # what importers may take: the files of this run, all of them or none
+            generation=F.when(ok, F.lit(task_id)).otherwise(F.col("generation")),
+            staged_files=F.when(written, F.col("names")).when(ok, F.array()).otherwise(F.col("staged_files")),
         )
         outcome = settled.agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.col("problem").isNotNull()).alias("bad")
@@ -501,6 +508,38 @@ def export_pending(
     return run
 
 
+_EXPORTS = "_exports"  # in a stage: which logs tell what its folders hold
+
+
+def announce(spark: SparkSession, stage_uri: str, log_uri: str) -> None:
+    """Tell importers of the stage where its log is."""
+    name = hashlib.sha256(qualify(spark, log_uri).encode()).hexdigest()[:16]
+    mark = f"{stage_uri.rstrip('/')}/{_EXPORTS}/{name}"
+    if not path_exists(spark, mark):
+        write_text(spark, mark, qualify(spark, log_uri))
+
+
+def exported_folders(spark: SparkSession, stage_uri: str) -> DataFrame | None:
+    """``(path_key, state, generation, staged_files)`` of the stage's folders as their logs have them.
+
+    ``generation`` names the run that wrote ``staged_files``, all of a folder's files at once. ``None`` if no export
+    wrote here. Of a folder that several logs know the last one written counts.
+    """
+    marks = f"{stage_uri.rstrip('/')}/{_EXPORTS}"
+    if not path_exists(spark, marks):
+        return None
+    known = []
+    # one line per log that ever exported to this stage
+    for line in spark.read.text(literal_path(marks)).collect():
+        columns = "path_key string, status string, started_at timestamp, generation string, staged_files array<string>"
+        log = StateLog(spark, f"{line.value}/partitions", T.StructType.fromDDL(columns), ["path_key"])
+        known.append(log.current().select("path_key", F.col("status").alias("state"), "started_at", "generation", "staged_files"))
+    folders = reduce(DataFrame.unionByName, known).filter("generation is not null or state in ('IN_PROGRESS', 'FAILED')")
+    return folders.groupBy("path_key").agg(
+        *[F.max_by(c, "started_at").alias(c) for c in ("state", "generation", "staged_files")]
+    )
+
+
 def _begun() -> Column:
     """Whether an earlier run started the partition and never settled it."""
     return F.col("started_at").isNotNull() & F.col("ended_at").isNull()
@@ -532,12 +571,15 @@ def record_run(runs: StateLog, task_id: str, operation: str, status: str, **valu
     )
 
 
-def refuse_concurrent(runs: StateLog, takeover: bool) -> None:
-    """Logs have one writer at a time, and two runs on one stage would overwrite each other's folders."""
+def refuse_concurrent(runs: StateLog, takeover: bool, own: str | None = None) -> None:
+    """Logs have one writer at a time, and two runs on one stage would overwrite each other's folders.
+
+    The run named ``own`` is this one, begun before and taken up again.
+    """
     if takeover or not runs.exists():
         return
     runs.refresh()
-    busy = with_status(runs.current(), "RUNNING").select("task_id", "stage_uri").take(1)
+    busy = with_status(runs.current(), "RUNNING").filter(~F.col("task_id").eqNullSafe(F.lit(own))).select("task_id", "stage_uri").take(1)
     if busy:
         raise RuntimeError(
             f"run {busy[0].task_id} is still RUNNING on {busy[0].stage_uri}; "
@@ -566,6 +608,11 @@ def refuse_reuse(runs: StateLog, task_id: str | None) -> None:
             raise ValueError(f"a run named {task_id} exists already")
 
 
+def finished_before(runs: StateLog, task_id: str) -> bool:
+    """Whether a run of this name has completed already."""
+    return runs.exists() and bool(with_status(runs.current(), "COMPLETED").filter(F.col("task_id") == task_id).take(1))
+
+
 def export_table(
     df: DataFrame,
     keys: Sequence[str],
@@ -612,6 +659,7 @@ def export_table(
     }
     record_run(runs, task_id, "EXPORT", "RUNNING", **facts)
     try:
+        announce(spark, stage_uri, log_uri)
         if log_mode == "fresh":
             log.start_fresh()
         # with nothing logged and nothing to choose, all partitions start out selected

@@ -24,6 +24,8 @@ from cartage.functions.paths import relative_path
 from cartage.functions.texts import ERROR_LIMIT, both_failed_message, clip_error, fallback_message
 from cartage.functions.types import bind_by_name
 from cartage.operators.export import (
+    exported_folders,
+    finished_before,
     is_suspended,
     machines_failed,
     new_task_id,
@@ -31,7 +33,7 @@ from cartage.operators.export import (
     refuse_concurrent,
     refuse_reuse,
 )
-from cartage.operators.logs import StateLog, with_status
+from cartage.operators.logs import LOADED, REPLACED, StateLog, with_status
 from cartage.operators.target import (
     ADD_FILES_COPY,
     ADD_FILES_REFERENCE,
@@ -46,7 +48,6 @@ from cartage.sources.files import files_only, list_files, open_file, read_footer
 
 _CHUNK = 8 * 1024 * 1024
 _WAVE_FILES = 10_000
-_REPLACED = "files of this folder were loaded and have been replaced since; load it into a fresh log or another target"
 
 # Widest integer each decimal must hold to take a file's integer column unchanged.
 _INTEGER_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
@@ -65,35 +66,61 @@ class ImportRun:
     completed: int = 0
     failed: int = 0
     fell_back: int = 0
+    replaced: int = 0
     total: int = 0
     suspended: bool = False
 
 
-def discover(listing: DataFrame, stage_uri: str, log: StateLog, stage_path: str = "") -> DataFrame:
-    """Listed files, not empty, that the log does not know yet."""
+def discover(
+    listing: DataFrame, stage_uri: str, log: StateLog, stage_path: str = "", exported: DataFrame | None = None
+) -> DataFrame:
+    """Listed files, not empty, that the log does not know yet.
+
+    A file is known by its path, so what appears in a folder whose loaded files were cleaned away is new data.
+    ``exported`` tells what an export published: its files carry the ``generation`` of their folder, and files of a
+    folder that is being exported or whose export failed are left out. ``replaces`` marks a generation whose folder
+    has rows of an earlier one in the table.
+    """
     staged = files_only(listing).select(
         F.col("path").alias("source_uri"),
         relative_path(F.col("path"), stage_path, stage_uri).alias("file_path"),
         "length",
     )
+    if log.exists():
+        staged = staged.join(log.current().select("source_uri"), "source_uri", "left_anti")
+    if exported is None:
+        return staged.withColumns({"generation": F.lit(None).cast("string"), "replaces": F.lit(False)})
+    own = exported.withColumn("folder", _folder_uri(stage_uri)).drop("path_key")
+    named = staged.withColumn("folder", folder_of("source_uri")).join(own, "folder", "left")
+    published = F.array_contains("staged_files", F.regexp_extract("source_uri", "([^/]*)$", 1))
+    named = named.withColumn("generation", F.when(published, F.col("generation")))
+    named = named.filter(F.col("generation").isNotNull() | F.col("state").isNull() | (F.col("state") == "COMPLETED"))
     if not log.exists():
-        return staged
-    return staged.join(log.current().select("source_uri"), "source_uri", "left_anti")
+        return named.select(*staged.columns, "generation", F.lit(False).alias("replaces"))
+    before = with_status(log.current(), "SUCCESS").filter("generation is not null")
+    before = before.groupBy(folder_of("source_uri").alias("folder")).agg(F.max("generation").alias("earlier"))
+    joined = named.join(before, "folder", "left")
+    replaces = F.coalesce(F.col("earlier") != F.col("generation"), F.lit(False))
+    return joined.select(*staged.columns, "generation", replaces.alias("replaces"))
+
 
+def _folder_uri(stage_uri: str) -> Column:
+    return F.concat(F.lit(f"{stage_uri.rstrip('/')}/path_key="), "path_key")
 
-def enqueue(new_files: DataFrame, log: StateLog, task_id: str, refusal: str | None = None) -> None:
-    """Log new files as PENDING, or as FAILED with the reason why they are refused."""
+
+def enqueue(new_files: DataFrame, log: StateLog, task_id: str) -> None:
+    """Log new files as PENDING."""
     log.append(
         new_files.select(
             "file_path", "source_uri", "length",
-            F.lit("FAILED" if refusal else "PENDING").alias("status"),
+            F.lit("PENDING").alias("status"),
             F.lit(task_id).alias("task_id"),
             F.lit(0).alias("retry_count"),
-            F.lit(refusal).alias("error_message"),
+            "generation", "replaces",
             *[F.lit(None).alias(c) for c in (
-                "target_path", "load_mode_used", "rows_parsed", "rows_loaded", "started_at", "ended_at")],
+                "target_path", "load_mode_used", "rows_parsed", "rows_loaded", "error_message", "started_at", "ended_at")],
         ),
-        "refused" if refusal else "enqueued",
+        "enqueued",
     )
 
 
@@ -101,17 +128,29 @@ def folder_of(path: str) -> Column:
     return F.regexp_replace(path, "/[^/]*$", "")
 
 
-def replaced_folders(listing: DataFrame, stage_uri: str, log: StateLog) -> DataFrame:
-    """Folders of the stage from which loaded files have vanished, so that other files in them hold the same rows again."""
-    loaded = with_status(log.current(), "SUCCESS").filter(F.startswith("source_uri", F.lit(f"{stage_uri.rstrip('/')}/")))
-    gone = loaded.join(listing.select(F.col("path").alias("source_uri")), "source_uri", "left_anti")
-    return gone.select(folder_of("source_uri").alias("folder")).distinct()
-
+def publish_replacements(log: StateLog, stage_uri: str, exported: DataFrame, uri: str) -> int:
+    """Swap generations: one append makes new files of a folder part of the table and retires those they replace.
 
-def refuse_replaced(files: DataFrame, log: StateLog, task_id: str) -> None:
-    """Rows of a replaced folder are in the table already; loading them again would double them."""
-    if files.take(1):
-        enqueue(files, log, task_id, _REPLACED)
+    A folder is swapped once all files of its generation are loaded; until then the table keeps the earlier rows. A
+    folder whose partition has become empty has no files to wait for. Returns how many files were retired.
+    """
+    state = log.current().withColumn("folder", folder_of("source_uri")).filter(F.col("status").isin("SUCCESS", LOADED))
+    now = exported.filter("state = 'COMPLETED'").select(
+        _folder_uri(stage_uri).alias("folder"), F.col("generation").alias("newest"), F.size("staged_files").alias("expected")
+    )
+    held = state.filter("generation is not null").join(now, "folder")
+    ready = held.groupBy("folder", "newest", "expected").agg(
+        F.count_if(F.col("generation") == F.col("newest")).alias("present"),
+        F.count_if((F.col("generation") != F.col("newest")) | (F.col("status") == LOADED)).alias("changing"),
+    )
+    ready = ready.filter("present = expected and changing > 0").select("folder", "newest")
+    changed = state.filter("generation is not null").join(ready, "folder")
+    changed = changed.withColumn("now", F.when(F.col("generation") == F.col("newest"), "SUCCESS").otherwise(REPLACED))
+    changed = materialize(changed.filter("now <> status"), uri)
+    if changed.isEmpty():
+        return 0
+    log.transition(changed, "swapped", status=F.col("now"))
+    return changed.filter(F.col("now") == REPLACED).count()
 
 
 def copy_types(dt: T.DataType) -> list[str]:
@@ -324,6 +363,11 @@ def _settle(log: StateLog, files: DataFrame, event: str, **changes: Column) -> N
     log.transition(files, event, ended_at=F.current_timestamp(), **changes)
 
 
+def _loaded() -> Column:
+    """State of a file whose rows are in place: part of the table, unless it waits to replace others."""
+    return F.when(F.coalesce("replaces", F.lit(False)), LOADED).otherwise("SUCCESS")
+
+
 def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str, load_id: str) -> None:
     """Load one wave of pending files (rows of the file log)."""
     spark = target.spark
@@ -340,7 +384,7 @@ def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str,
         ok = F.col("reference_problem").isNull()
         _settle(
             log, known, "registered",
-            status=F.when(ok, "SUCCESS").otherwise("FAILED"),
+            status=F.when(ok, _loaded()).otherwise("FAILED"),
             load_mode_used=F.lit(ADD_FILES_REFERENCE),
             target_path=F.when(ok, F.col("source_uri")),
             rows_parsed=F.when(ok, F.col("num_rows")),
@@ -361,7 +405,7 @@ def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str,
         done = judged.filter("copy_problem is null")
         _settle(
             log, done, "copied",
-            status=F.lit("SUCCESS"), load_mode_used=F.lit(ADD_FILES_COPY), target_path=F.col("copy"),
+            status=_loaded(), load_mode_used=F.lit(ADD_FILES_COPY), target_path=F.col("copy"),
             error_message=F.lit(None), **loaded,
         )
         todo = judged.filter("copy_problem is not null").withColumn(
@@ -386,7 +430,7 @@ def import_wave(wave: DataFrame, target: Target, log: StateLog, load_mode: str,
     failure = both_failed_message(F.col("problem")) if fallback else clip_error(F.col("problem"))
     _settle(
         log, settled, "ingested",
-        status=F.when(ok, "SUCCESS").otherwise("FAILED"),
+        status=F.when(ok, _loaded()).otherwise("FAILED"),
         load_mode_used=F.lit(FULL_INGEST),
         target_path=F.when(ok, F.col("folder")),
         rows_parsed=F.when(ok, loaded["rows_parsed"]).otherwise(nothing["rows_parsed"]),
@@ -408,11 +452,14 @@ def import_files(
     log_mode: str = "reuse",
     task_id: str | None = None,
     takeover: bool = False,
+    repeatable: bool = False,
 ) -> ImportRun:
     """Load the files below ``stage_uri`` (or a given part of its listing) that the target lacks.
 
-    Calling it again loads only what is new or was left unfinished. ``log_mode="fresh"``
-    forgets the log and with it the table's content; the files themselves stay.
+    Calling it again loads only what is new or was left unfinished. A folder that was exported again replaces its
+    earlier rows, see ``publish_replacements``. ``log_mode="fresh"`` forgets the log and with it the table's content;
+    the files themselves stay. With ``repeatable`` a load named ``task_id`` may be asked for again: one that has finished
+    is not run a second time, one that was broken off goes on.
     """
     load_mode = load_mode.upper()
     if load_mode not in LOAD_MODES:
@@ -421,10 +468,14 @@ def import_files(
         raise ValueError("log_mode is 'reuse' or 'fresh'")
     stage_uri = qualify(spark, stage_uri)
     runs, log = target.runs, target.files
-    refuse_reuse(runs, task_id)
+    if repeatable and task_id is not None:
+        if finished_before(runs, task_id):
+            return ImportRun(task_id, target)
+    else:
+        refuse_reuse(runs, task_id)
     task_id = task_id or new_task_id("import")
     run = ImportRun(task_id, target)
-    refuse_concurrent(runs, takeover)
+    refuse_concurrent(runs, takeover, own=task_id if repeatable else None)
     facts = {
         "target": target.base_uri,
         "stage_uri": stage_uri,
@@ -437,15 +488,10 @@ def import_files(
         listing = files
         if listing is None:
             listing = materialize(list_files(spark, stage_uri), f"{log.uri}/plans/{task_id}-listing")
-        found = discover(listing, stage_uri, log, stage_path)
-        if files is None and log.exists():
-            replaced = replaced_folders(listing, stage_uri, log)
-            found = materialize(
-                found.join(replaced, folder_of("source_uri") == F.col("folder"), "left"), f"{log.uri}/plans/{task_id}-found"
-            )
-            refuse_replaced(found.filter("folder is not null"), log, task_id)
-            found = found.filter("folder is null")
-        enqueue(found, log, task_id)
+        exported = exported_folders(spark, stage_uri)
+        if exported is not None:
+            exported = materialize(exported, f"{log.uri}/plans/{task_id}-exported")
+        enqueue(discover(listing, stage_uri, log, stage_path, exported), log, task_id)
         # files a crashed run left behind count as pending: nothing of theirs was published
         pending = with_status(log.current(), "PENDING", "IN_PROGRESS", "RETRYING_FULL_INGEST")
         run.total = pending.count()
@@ -459,11 +505,14 @@ def import_files(
                     break
                 wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if len(ranges) > 1 else plan
                 import_wave(wave.drop("slot"), target, log, load_mode, f"{task_id}-{number}")
+        if exported is not None:
+            run.replaced = publish_replacements(log, stage_uri, exported, f"{log.uri}/plans/{task_id}-swapped")
+        if run.total:
             mine = log.current().filter(F.col("task_id") == task_id)
             counts = mine.agg(
-                F.count_if(F.col("status") == "SUCCESS").alias("done"),
+                F.count_if(F.col("status").isin("SUCCESS", LOADED)).alias("done"),
                 F.count_if(F.col("status") == "FAILED").alias("failed"),
-                F.count_if((F.col("status") == "SUCCESS") & (F.col("load_mode_used") != load_mode)).alias("fell_back"),
+                F.count_if(F.col("status").isin("SUCCESS", LOADED) & (F.col("load_mode_used") != load_mode)).alias("fell_back"),
             ).first()
             run.completed, run.failed, run.fell_back = counts.done, counts.failed, counts.fell_back
     except Exception as problem:

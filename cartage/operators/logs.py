@@ -25,17 +25,20 @@ from cartage.session import create_file, glob_paths, literal_path
 # States of partitions, files and runs.
 PARTITION_STATES = ("NOT_SELECTED", "PENDING", "IN_PROGRESS", "COMPLETED", "FAILED")
 FILE_STATES = ("PENDING", "IN_PROGRESS", "RETRYING_FULL_INGEST", "SUCCESS", "FAILED")
+# of files that replace others: loaded but not yet part of the table, and no longer part of it
+LOADED, REPLACED = "LOADED", "REPLACED"
 RUN_STATES = ("CREATED", "RUNNING", "COMPLETED", "FAILED", "SUSPENDED")
 
 PARTITION_COLUMNS = (
     "base_key string, path_key string, status string, task_id string, total_rows bigint, "
     "rows_unloaded bigint, input_bytes bigint, output_bytes bigint, file_count bigint, "
-    "retry_count int, error_message string, started_at timestamp, ended_at timestamp"
+    "retry_count int, error_message string, started_at timestamp, ended_at timestamp, "
+    "generation string, staged_files array<string>"
 )
 FILE_COLUMNS = (
     "file_path string, source_uri string, length bigint, target_path string, status string, "
     "task_id string, load_mode_used string, rows_parsed bigint, rows_loaded bigint, retry_count int, "
-    "error_message string, started_at timestamp, ended_at timestamp"
+    "error_message string, started_at timestamp, ended_at timestamp, generation string, replaces boolean"
 )
 RUN_COLUMNS = (
     "task_id string, operation string, source string, target string, stage_uri string, "

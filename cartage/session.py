@@ -102,6 +102,17 @@ def create_file(spark: SparkSession, uri: str) -> bool:
     return True
 
 
+def write_text(spark: SparkSession, uri: str, text: str) -> None:
+    """A small file, whole or not at all where the store renames atomically."""
+    path, draft = spark._jvm.org.apache.hadoop.fs.Path(uri), spark._jvm.org.apache.hadoop.fs.Path(f"{uri}.{uuid.uuid4().hex}")
+    filesystem = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = filesystem.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not filesystem.rename(draft, path):
+        filesystem.delete(draft, False)
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a Hadoop glob pattern."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)

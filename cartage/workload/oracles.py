@@ -168,6 +168,11 @@ ORACLES: dict[str, str] = {
         count(distinct o_orderpriority) as completed_items, cast(1 as double) as progress from orders
         group by case when o_orderpriority = '1-URGENT' then 1 else 2 end""",
     "import_after_reexport": _ALL_ORDERS,
+    "import_after_cleanup": _ALL_ORDERS,
+    "stream_batch_repeated": _ALL_ORDERS,
+    "import_replaces_partition": """select o_orderkey, o_custkey, o_orderstatus,
+        case when o_orderpriority = '1-URGENT' then o_totalprice + 1 else o_totalprice end as o_totalprice,
+        o_orderdate, o_orderpriority from orders""",
     "import_nested_by_name": """select o_orderkey, o_custkey as map_a, o_orderkey as map_b, cast(null as varchar) as missing,
         o_custkey as list_a, o_orderkey as list_b from orders""",
     "export_layout": f"""select {_PRIORITY_FOLDER} as path_key, count(*) as rows, cast(1 as bigint) as files

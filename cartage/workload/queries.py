@@ -19,7 +19,7 @@ from cartage.functions.paths import collapse_slashes, last_segment, relative_pat
 from cartage.functions.texts import elapsed_text, run_name
 from cartage.functions.types import bind_by_name, compat_projection, compat_report, quoted, target_schema
 from cartage.operators import reports
-from cartage.operators.cleanup import cleanup_plan
+from cartage.operators.cleanup import cleanup_plan, remove_files, selected_files
 from cartage.operators.export import (
     analyse_partitions,
     export_table,
@@ -49,7 +49,7 @@ from cartage.plans.work import file_cap_plan, ranked_waves, smallest_first
 from cartage.session import scanned_bytes, qualify, scratch
 from cartage.sources.files import files_only, footer_columns, list_files, read_footers
 from cartage.sources.tables import catalog_tables, column_list, describe_columns, inventory, select_columns
-from cartage.streaming.incremental import import_stream
+from cartage.streaming.incremental import batch_name, import_stream
 from cartage.workload.tables import (
     KEYS,
     TABLES,
@@ -770,6 +770,53 @@ def import_after_reexport(spark, sf_dir):
     return read_target(target)
 
 
+@query
+def import_replaces_partition(spark, sf_dir):
+    """A partition whose rows have changed since, exported and imported again, replaces its rows and no others."""
+    root = scratch(spark, "import-replaces")
+    orders = table(spark, sf_dir, "orders")
+    target = Target(spark, f"{root}/target", orders.schema)
+    urgent = orders.filter("o_orderpriority = '1-URGENT'")
+    raised = urgent.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    for source, selection in ((orders, None), (raised, urgent.select("o_orderpriority").distinct())):
+        export_table(source, ["o_orderpriority"], f"{root}/stage", log_uri=f"{root}/log", selection=selection)
+        import_files(spark, f"{root}/stage", target, load_mode=ADD_FILES_COPY)
+    return read_target(target)
+
+
+@query
+def import_after_cleanup(spark, sf_dir):
+    """Loaded files are removed from the stage; files that appear in the same folders afterwards are new data."""
+    root = scratch(spark, "import-cleanup")
+    orders = table(spark, sf_dir, "orders")
+    target = Target(spark, f"{root}/target", orders.schema)
+    for part in ("o_orderkey % 5 < 2", "o_orderkey % 5 >= 2"):
+        stage(orders.filter(part), ["o_orderpriority"], f"{root}/stage")
+        import_files(spark, f"{root}/stage", target, load_mode=FULL_INGEST)
+        loaded = with_status(target.files.current(), "SUCCESS").select(F.col("source_uri").alias("path"))
+        listing = list_files(spark, f"{root}/stage")
+        remove_files(selected_files(listing, loaded), confirm=True).collect()
+    return read_target(target)
+
+
+@query
+def stream_batch_repeated(spark, sf_dir):
+    """A batch that is run again after it had finished, and one that was broken off, load every file once."""
+    root = scratch(spark, "stream-repeated")
+    orders = table(spark, sf_dir, "orders")
+    stage(orders, ["o_orderpriority"], f"{root}/stage")
+    target = Target(spark, f"{root}/target", orders.schema)
+    listing = list_files(spark, f"{root}/stage")
+    first = batch_name(spark, f"{root}/checkpoint", 0)
+    for name, batch in (
+        (first, listing.filter(F.contains("path", F.lit("-URGENT/")))),
+        (first, listing.filter(F.contains("path", F.lit("-URGENT/")))),
+        (batch_name(spark, f"{root}/checkpoint", 1), listing),
+    ):
+        import_files(spark, f"{root}/stage", target, files=batch, task_id=name, repeatable=True)
+    return read_target(target)
+
+
 @query
 def import_nested_by_name(spark, sf_dir):
     """Struct fields in maps and arrays arrive by name: reordered, missing and extra ones."""

@@ -14,8 +14,9 @@ from cartage.functions.types import bind_by_name
 from cartage.operators import load as load_module
 from cartage.operators import reports
 from cartage.operators.cleanup import cleanup_plan, remove_files, selected_files
+from cartage.operators.export import export_table, exported_folders
 from cartage.operators.load import copy_types, import_files, location_problem
-from cartage.operators.logs import FILE_STATES, fold
+from cartage.operators.logs import FILE_STATES, failed_as_pending, fold
 from cartage.operators.reconcile import compare_counts, reconcile_files
 from cartage.operators.target import (
     ADD_FILES_COPY,
@@ -310,6 +311,108 @@ def test_stream_loads_each_file_once(spark, plain_stage, folder):
     assert target.runs.current().filter("total_items > 0").count() == 3
 
 
+def numbers(spark, first, after):
+    return spark.range(first, after).select("id", F.lit("k").alias("key"))
+
+
+def contents(target):
+    return sorted(r["id"] for r in read_target(target).collect())
+
+
+def test_new_files_after_a_cleanup_are_loaded(spark, folder):
+    """Loaded files are gone from a folder, others have appeared: they are new rows, in a flat stage too."""
+    target = Target(spark, f"{folder}/target", numbers(spark, 0, 1).schema)
+    numbers(spark, 0, 100).coalesce(1).write.parquet(f"{folder}/stage")
+    assert import_files(spark, f"{folder}/stage", target).completed == 1
+    numbers(spark, 100, 250).coalesce(1).write.mode("overwrite").parquet(f"{folder}/stage")
+    run = import_files(spark, f"{folder}/stage", target)
+    assert (run.total, run.completed, run.failed, run.replaced) == (1, 1, 0, 0)
+    assert contents(target) == list(range(250))
+
+
+@pytest.mark.parametrize("mode", [FULL_INGEST, ADD_FILES_COPY])
+def test_reexported_partition_replaces_its_rows(spark, folder, mode):
+    def export(first, after):
+        export_table(numbers(spark, first, after), ["key"], f"{folder}/stage", log_uri=f"{folder}/log", selection=F.lit(True))
+
+    target = Target(spark, f"{folder}/target", numbers(spark, 0, 1).schema)
+    for first, after in ((0, 50), (0, 50), (20, 90), (0, 0)):
+        export(first, after)
+        run = import_files(spark, f"{folder}/stage", target, load_mode=mode)
+        assert run.failed == 0 and contents(target) == list(range(first, after))
+    assert import_files(spark, f"{folder}/stage", target, load_mode=mode).replaced == 0
+
+
+def test_replacement_waits_until_all_files_are_loaded(spark, folder, monkeypatch):
+    """While a file of the new generation cannot be loaded the table keeps the old rows; then both change at once."""
+    from cartage.operators import load
+
+    target = Target(spark, f"{folder}/target", numbers(spark, 0, 1).schema)
+    stage, log = f"{folder}/stage", f"{folder}/log"
+    export_table(numbers(spark, 0, 3000), ["key"], stage, log_uri=log)
+    import_files(spark, stage, target)
+    export_table(numbers(spark, 1000, 6000).repartition(4), ["key"], stage, log_uri=log, selection=F.lit(True), max_file_size=12_000)
+    state = exported_folders(spark, stage).first()
+    assert len(state["staged_files"]) > 1
+    inner, calls = load.ingest, []
+
+    def some_fail(files, target, load_id):
+        calls.append(load_id)
+        return inner(files[1:], target, load_id) + [(files[0].source_uri, None, "store is down")]
+
+    monkeypatch.setattr(load, "ingest", some_fail)
+    run = import_files(spark, stage, target)
+    assert run.failed == 1 and run.completed == len(state["staged_files"]) - 1 and run.replaced == 0
+    assert contents(target) == list(range(3000))
+    monkeypatch.undo()
+    log_ = target.files
+    log_.transition(failed_as_pending(log_.current()))
+    run = import_files(spark, stage, target)
+    assert run.completed == 1 and run.replaced == 1
+    assert contents(target) == list(range(1000, 6000))
+
+
+def test_files_of_a_broken_export_are_not_loaded(spark, folder, monkeypatch):
+    """A run that dies between writing and settling publishes nothing to importers."""
+    from cartage.operators import export
+
+    target = Target(spark, f"{folder}/target", numbers(spark, 0, 1).schema)
+    stage, log = f"{folder}/stage", f"{folder}/log"
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(export, "per_folder", dies)
+    with pytest.raises(KeyboardInterrupt):
+        export_table(numbers(spark, 0, 50), ["key"], stage, log_uri=log)
+    monkeypatch.undo()
+    assert list_files(spark, stage).count() == 1
+    assert import_files(spark, stage, target).total == 0 and contents(target) == []
+    export_table(numbers(spark, 0, 50), ["key"], stage, log_uri=log, takeover=True)
+    assert import_files(spark, stage, target).completed == 1 and contents(target) == list(range(50))
+
+
+def test_a_stream_batch_run_twice_loads_once(spark, folder, monkeypatch):
+    from cartage.operators import load
+    from cartage.streaming.incremental import batch_name
+
+    target = Target(spark, f"{folder}/target", numbers(spark, 0, 1).schema)
+    numbers(spark, 0, 40).repartition(3).write.parquet(f"{folder}/stage")
+    batch = list_files(spark, f"{folder}/stage")
+    name = batch_name(spark, f"{folder}/checkpoint", 0)
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(load, "import_wave", dies)
+    with pytest.raises(KeyboardInterrupt):
+        import_files(spark, f"{folder}/stage", target, files=batch, task_id=name, repeatable=True)
+    monkeypatch.undo()
+    assert import_files(spark, f"{folder}/stage", target, files=batch, task_id=name, repeatable=True).completed == 3
+    assert import_files(spark, f"{folder}/stage", target, files=batch, task_id=name, repeatable=True).total == 0
+    assert contents(target) == list(range(40))
+
+
 def test_cleanup_is_a_plan_until_confirmed(spark, plain_stage, folder):
     target = Target(spark, f"{folder}/target", SCHEMA)
     import_files(spark, plain_stage, target)
