@@ -42,9 +42,14 @@ from cartage.sources.files import open_file, spread
 from cartage.sources.tables import select_columns
 
 _HEADROOM = 0.9
+_GRAINS = 64  # steps in which rows are moved between the files of a partition
+_EVEN_ROWS = 100_000  # rows per file from which on dealing by hash splits bytes evenly enough
+_REWRITES = 4  # of partitions found beyond the size cap, with more files each time
 _ROW = "__row"
 _FIRST = "__first_task"
-_RESERVED = ("path_key", "part_key", "file_count", _ROW, _FIRST)
+_GRAIN = "__grain"
+_FILE = "__file"
+_RESERVED = ("path_key", "part_key", "file_count", _ROW, _FIRST, _GRAIN, _FILE)
 
 
 @dataclass
@@ -104,20 +109,22 @@ def analyse_partitions(
 ) -> DataFrame:
     """Profile the table and add the partitions the log does not know yet.
 
-    Returns the written profile ``(part_key, total_rows, input_bytes)``. By default the bytes are a
-    share of the scanned files' size by rows, as only the key columns are read; an export corrects it by what it
-    has written. Measured, or where that size is unknown, they are summed from every column. Known
-    partitions keep their state and folder; new ones start as ``initial``.
+    Returns the written profile ``(part_key, total_rows, input_bytes)``. By default a row weighs what its file does
+    on average, as only the key columns are read; so a key of wide rows that lies in files of its own is weighed
+    right, and an export corrects the others by what it has written. Measured, or where files' sizes are unknown,
+    bytes are summed from every column. Known partitions keep their state and folder; new ones start as ``initial``.
     """
     size = None if measure_bytes else scanned_bytes(df)
-    weighed = F.lit(None) if size is not None else row_bytes(df.schema)
     # grouped by the key as one value, so no key column can clash with a counter's name
-    keyed = df.select(key_struct(keys), weighed.alias("bytes"))
-    counts = keyed.groupBy("part_key").agg(
-        F.count(F.lit(1)).alias("total_rows"), F.sum(F.col("bytes").cast("bigint")).alias("input_bytes")
-    )
+    if size is not None and _is_scan(df):
+        counts = _weighed_by_file(df, keys)
+    else:
+        weighed = F.lit(None) if size is not None else row_bytes(df.schema)
+        counts = df.select(key_struct(keys), weighed.alias("bytes")).groupBy("part_key").agg(
+            F.count(F.lit(1)).alias("total_rows"), F.sum(F.col("bytes").cast("bigint")).alias("input_bytes")
+        )
     profile = materialize(counts, f"{log.uri}/profiles/{task_id}")
-    if size is not None:
+    if size is not None and not _is_scan(df):
         per_row = size / max(1, profile.agg(F.sum("total_rows")).first()[0] or 0)
         profile = profile.withColumn("input_bytes", F.ceil(F.col("total_rows") * F.lit(per_row)).cast("bigint"))
 
@@ -139,6 +146,29 @@ def analyse_partitions(
     return profile
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether rows can be told by their place in a source file."""
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
+def _weighed_by_file(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(part_key, total_rows, input_bytes)``, a file's size shared out over its rows.
+
+    Counts are combined per key and file before the shuffle: what moves is one row per key and task, as with keys
+    alone, since a task reads few files.
+    """
+    rows = df.select(key_struct(keys), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    counts = rows.groupBy("part_key", "file").agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("size"))
+    share = F.col("size") * F.col("rows") / F.sum("rows").over(Window.partitionBy("file"))
+    return counts.withColumn("share", share).groupBy("part_key").agg(
+        F.sum("rows").alias("total_rows"), F.ceil(F.sum("share")).cast("bigint").alias("input_bytes")
+    )
+
+
 def select_partitions(log: StateLog, selection: DataFrame | Column | None = None, event: str = "selected") -> None:
     """Mark partitions PENDING: those whose key is in ``selection``, those a
     predicate over the log holds for, or all that are not completed."""
@@ -163,12 +193,10 @@ def _row_identity(df: DataFrame) -> Column:
     Position in the source file where the table is a file scan: identical copies
     of a row then still spread. Otherwise the row's content.
     """
-    try:
-        df.select("_metadata.file_path", "_metadata.row_index")
+    if _is_scan(df):
         return F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    except AnalysisException:
-        return F.xxhash64(*[F.to_json(F.struct(F.col(quoted(f.name)))) if isinstance(f.dataType, (T.MapType, T.VariantType))
-                            else F.col(quoted(f.name)) for f in df.schema])
+    return F.xxhash64(*[F.to_json(F.struct(F.col(quoted(f.name)))) if isinstance(f.dataType, (T.MapType, T.VariantType))
+                        else F.col(quoted(f.name)) for f in df.schema])
 
 
 def checked_columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
@@ -188,6 +216,8 @@ def distribute(
     restricted: bool = True,
     renamed: int | None = None,
     split: int | None = None,
+    splitters_uri: str | None = None,
+    weigh_all: bool = False,
 ) -> DataFrame:
     """Rows of the planned partitions, projected for Parquet and placed for the write.
 
@@ -196,6 +226,9 @@ def distribute(
     its rows are then dealt out over that many tasks. Otherwise a rebalance lets
     AQE merge small partitions and split large ones by what the shuffle weighs.
 
+    Dealing is by a row's hash where a file takes so many rows that chance evens out their sizes, else by running
+    bytes (``_splitters``), which are written to ``splitters_uri``; ``weigh_all`` asks for the latter throughout.
+
     A caller that knows its plan may spare work: ``restricted=False`` if no key of the
     table is left out; ``renamed`` and ``split``, how many folders are not named after their
     key alone and how many partitions have several files.
@@ -221,7 +254,7 @@ def distribute(
         names = plan.filter("path_key <> base_key").select("part_key", F.col("path_key").alias("__name"))
         rows = rows.join(names, "part_key", "left").withColumn("path_key", F.coalesce("__name", "path_key"))
     if split != 0:
-        rows = _deal_out(rows, plan)
+        rows = _deal_out(rows, plan, exported, splitters_uri, weigh_all)
     elif single_file:
         rows = rows.repartition("path_key")
     else:
@@ -229,7 +262,30 @@ def distribute(
     return rows.select(*[F.col(quoted(c)) for c in exported], "path_key")
 
 
-def _deal_out(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def _splitters(rows: DataFrame, several: DataFrame, exported: Sequence[str]) -> DataFrame:
+    """Per part_key and grain of a split partition the file that takes it.
+
+    A partition's rows fall into ``_GRAINS`` grains per file by their hash. The grains' bytes are summed over all
+    rows, and a grain goes to the file in which the middle of its bytes lies in the running sum; so files differ by
+    one grain, however wide single rows are. There are as many grains as files allow, not as rows.
+    """
+    size = row_bytes(T.StructType([rows.schema[c] for c in exported]))
+    grains = rows.join(several, "part_key").withColumn(_GRAIN, _grain())
+    weights = grains.groupBy("part_key", _GRAIN, "file_count").agg(F.sum(size).alias("weight"))
+    of_key = Window.partitionBy("part_key")
+    running = F.sum("weight").over(of_key.orderBy(_GRAIN).rowsBetween(Window.unboundedPreceding, 0))
+    middle = (running - F.col("weight") / 2) / F.greatest(F.sum("weight").over(of_key), F.lit(1))
+    file = F.least(F.floor(middle * F.col("file_count")), F.col("file_count") - 1)
+    return weights.select("part_key", _GRAIN, file.cast("bigint").alias(_FILE))
+
+
+def _grain() -> Column:
+    return F.pmod(F.col(_ROW), F.col("file_count") * _GRAINS)
+
+
+def _deal_out(
+    rows: DataFrame, plan: DataFrame, exported: Sequence[str], splitters_uri: str | None, weigh_all: bool
+) -> DataFrame:
     """One task per folder, but one task per planned file for a partition of several files.
 
     Each of those files has a task of its own: hashing partition and file number
@@ -241,12 +297,20 @@ def _deal_out(rows: DataFrame, plan: DataFrame) -> DataFrame:
     offsets = several.select(
         "part_key", "file_count", F.coalesce(F.sum("file_count").over(before), F.lit(0)).alias(_FIRST)
     )
-    extra = several.agg(F.sum("file_count")).first()[0] or 0
+    weighed = several if weigh_all else several.filter(F.col("total_rows") < F.col("file_count") * _EVEN_ROWS)
+    facts = several.agg(F.sum("file_count").alias("files")).first()
     shared = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own_task = F.lit(shared) + F.col(_FIRST) + F.pmod(F.col(_ROW), F.col("file_count"))
+    joined = rows.join(offsets, "part_key", "left").withColumn(_GRAIN, _grain())
+    file = F.pmod(F.col(_ROW), F.col("file_count"))
+    if not weighed.isEmpty():
+        splitters = _splitters(rows, weighed.select("part_key", "file_count"), exported)
+        if splitters_uri:
+            splitters = materialize(splitters, splitters_uri)
+        joined = joined.join(splitters, ["part_key", _GRAIN], "left")
+        file = F.coalesce(_FILE, file)
+    own_task = F.lit(shared) + F.col(_FIRST) + file
     task = F.when(F.col(_FIRST).isNotNull(), own_task).otherwise(F.pmod(F.xxhash64("path_key"), F.lit(shared)))
-    joined = rows.join(offsets, "part_key", "left")
-    return joined.repartitionById(shared + int(extra), task.cast("int"))
+    return joined.repartitionById(shared + int(facts.files or 0), task.cast("int"))
 
 
 def write_partitions(rows: DataFrame, stage_uri: str, max_records_per_file: int) -> None:
@@ -380,7 +444,10 @@ def export_pending(
         """Write a slot range; ranges written go to ``done``, single partitions that cannot be to ``bad``."""
         narrowed = waved or (lo, hi) != waves[0]
         try:
-            rows = distribute(df, keys, part, columns, single_file, restricted or narrowed, **shape)
+            rows = distribute(
+                df, keys, part, columns, single_file, restricted or narrowed, **shape,
+                splitters_uri=f"{log.uri}/plans/{task_id}-splitters-{lo}-{hi}",
+            )
             write_partitions(rows, stage_uri, max_records)
             done.append((lo, hi))
             return
@@ -397,24 +464,31 @@ def export_pending(
                 export_range(a, b, half, done, bad)
 
     def fitted(wave: DataFrame, lo: int) -> DataFrame:
-        """What the wave's folders hold, after a second write of those whose estimate was wrong.
+        """What the wave's folders hold, after those whose estimate was wrong were written again.
 
         A partition with a file beyond the cap, or split though one file would have held it, is written
-        again by what it was found to weigh.
+        again by what it was found to weigh, its rows dealt out by running bytes; if a file is beyond the cap still,
+        with more files. A partition that no number of files brings below the cap has ``beyond`` set.
         """
-        for moment in ("written", "rewritten", "settled"):
-            held = per_folder(listed(wave, f"{moment}-files", lo))
-            if not single_file or moment == "settled":
-                break
-            beyond, needless = F.col("largest") > max_file_size, (F.col("files") > 1) & (F.col("bytes") <= max_file_size)
-            misjudged = held.filter(beyond | needless)
-            if misjudged.isEmpty():
-                break
-            wrong = wave.drop("file_count").join(misjudged, "path_key")
-            wrong = wrong.withColumn("file_count", file_count(F.col("bytes"), max_file_size, _HEADROOM))
-            wrong = materialize(wrong.select(wave.columns), f"{log.uri}/plans/{task_id}-{moment}-wrong-{lo}")
-            rows = distribute(df, keys, wrong, columns, True, True, renamed=facts.renamed, split=None)
+        headroom, beyond = _HEADROOM, F.col("largest") > max_file_size
+        for number in range(_REWRITES + 1):
+            held = per_folder(listed(wave, f"written-files-{number}", lo)).withColumn("beyond", beyond)
+            # one file, one row: nothing is left to split
+            again = beyond & (F.col("files") < F.col("rows"))
+            if single_file and not number:
+                again |= (F.col("files") > 1) & (F.col("bytes") <= max_file_size)
+            misjudged = held.filter(again)
+            if number == _REWRITES or misjudged.isEmpty():
+                return held
+            wrong = wave.drop("file_count", "total_rows").join(misjudged, "path_key")
+            wrong = wrong.withColumns({"file_count": file_count(F.col("bytes"), max_file_size, headroom), "total_rows": F.col("rows")})
+            wrong = materialize(wrong.select(wave.columns), f"{log.uri}/plans/{task_id}-wrong-{lo}-{number}")
+            rows = distribute(
+                df, keys, wrong, columns, True, True, renamed=facts.renamed, weigh_all=True,
+                splitters_uri=f"{log.uri}/plans/{task_id}-splitters-{lo}-{number}",
+            )
             write_partitions(rows, stage_uri, 0)
+            headroom *= 0.75
         return held
 
     def listed(wave: DataFrame, moment: str, lo: int) -> DataFrame:
@@ -478,7 +552,10 @@ def export_pending(
         held = fitted(filled.join(_slots(spark, done), "slot", "left_semi") if bad or broken else filled, lo)
         settled = settled.join(held, "path_key", "left").join(error, "slot", "left")
         missing = F.when((F.col("total_rows") > 0) & F.col("files").isNull(), F.lit("no files of the partition are staged"))
-        settled = settled.withColumn("problem", F.coalesce("failure", "unreadable", "stale", missing))
+        too_large = F.when(F.col("beyond"), F.concat(
+            F.lit("a file of "), "largest", F.lit(f" bytes is beyond the cap of {max_file_size}, in "), "files", F.lit(" files")
+        ))
+        settled = settled.withColumn("problem", F.coalesce("failure", "unreadable", "stale", missing, too_large))
         ok = F.col("problem").isNull()
         written = ok & (F.col("total_rows") > 0)
         nothing = F.lit(0).cast("bigint")

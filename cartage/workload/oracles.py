@@ -185,6 +185,8 @@ ORACLES: dict[str, str] = {
     "export_many_files": """select l_returnflag as path_key, count(*) as rows, true as several_files
         from lineitem group by 1""",
     "export_split_oversize": "select * from lineitem",
+    "export_within_cap": """select lang, 'COMPLETED' as status, count(*) as rows_unloaded, true as within_cap,
+        true as files_told from documents group by 1""",
     "export_in_waves": """select cast(ts as date) as day, strftime(ts, '%Y-%m-%d') as path_key, 'COMPLETED' as status,
         count(*) as total_rows, count(*) as rows_unloaded, cast(1 as bigint) as file_count
         from events group by 1, 2""",

@@ -462,6 +462,22 @@ def export_split_oversize(spark, sf_dir):
     return read_staged(spark, f"{root}/stage", lineitem.schema).select(*lineitem.columns)
 
 
+@query
+def export_within_cap(spark, sf_dir):
+    """Documents from one word to many pages, by language, under a size cap: what the largest file of each is against it."""
+    root = scratch(spark, "export-cap")
+    documents = table(spark, sf_dir, "documents")
+    cap = scanned_bytes(documents) // 6
+    run = export_table(documents, ["lang"], f"{root}/stage", log_uri=f"{root}/log", max_file_size=cap)
+    files = list_files(spark, f"{root}/stage").groupBy(F.regexp_extract("path", "path_key=([^/]+)/", 1).alias("path_key")).agg(
+        F.max("length").alias("largest"), F.count(F.lit(1)).alias("files")
+    )
+    return run.log.current().join(files, "path_key").select(
+        "part_key.lang", "status", "rows_unloaded", (F.col("largest") <= cap).alias("within_cap"),
+        (F.col("files") == F.col("file_count")).alias("files_told"),
+    )
+
+
 @query
 def export_in_waves(spark, sf_dir):
     """Thirty daily partitions, seven per wave; the log tells what each got."""

@@ -492,6 +492,53 @@ def test_the_cap_holds_for_one_key_of_wide_rows(spark, folder):
     assert sizes.first()[0] <= cap
 
 
+def wide(column, words):
+    return F.concat(*[F.sha2(F.concat(column.cast("string"), F.lit(str(i))), 512) for i in range(words)])
+
+
+@pytest.mark.parametrize("single", [True, False])
+@pytest.mark.parametrize("rows", ["narrow", "wide", "mixed", "clustered"])
+def test_no_file_is_beyond_the_cap(spark, folder, rows, single):
+    """Rows of one width, of very different widths, and widths that depend on where a row lies."""
+    words = {
+        "narrow": F.lit(""),
+        "wide": wide(F.col("id"), 12),
+        "mixed": F.when(F.col("id") % 37 == 0, wide(F.col("id"), 40)).otherwise(wide(F.col("id"), 1)),
+        "clustered": F.when(F.col("id") < 300, wide(F.col("id"), 24)).otherwise(F.lit("x")),
+    }[rows]
+    count, cap = (60_000, 60_000) if rows == "narrow" else (2500, 150_000)
+    spark.range(0, count, 1, 5).select("id", (F.col("id") % 2).alias("k"), words.alias("v")).write.parquet(f"{folder}/table")
+    table = spark.read.parquet(f"{folder}/table")
+    run = export_table(table, ["k"], f"{folder}/stage", log_uri=f"{folder}/log", max_file_size=cap, single_file=single)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/stage").select("path", "length").collect()
+    assert run.completed == 2 and run.failed == 0 and max(f["length"] for f in files) <= cap
+    assert len(files) < 4 * sum(f["length"] for f in files) / cap + 2
+    staged = read_staged(spark, f"{folder}/stage", table.schema).drop("path_key")
+    assert staged.exceptAll(table).isEmpty() and staged.count() == count
+
+
+def test_a_row_beyond_the_cap_fails_its_partition_with_the_reason(spark, folder):
+    df = spark.range(40).select("id", (F.col("id") % 4).alias("k"), F.when(F.col("id") == 5, wide(F.col("id"), 400)).otherwise("x").alias("v"))
+    run = export_table(df, ["k"], f"{folder}/stage", log_uri=f"{folder}/log", max_file_size=20_000)
+    state = {r["part_key"]["k"]: r for r in run.log.current().collect()}
+    assert (run.completed, run.failed) == (3, 1)
+    assert state[1]["status"] == "FAILED" and "beyond the cap of 20000" in state[1]["error_message"]
+
+
+def test_a_wide_key_is_weighed_before_the_first_write(spark, folder, monkeypatch):
+    """Its rows lie in files of their own, whose sizes tell; so it is written once."""
+    values = F.when(F.col("id") < 400, wide(F.col("id"), 20)).otherwise("x")
+    rows = spark.range(0, 4000, 1, 10).select("id", (F.col("id") < 400).alias("k"), values.alias("v"))
+    rows.write.parquet(f"{folder}/table")
+    written = []
+    inner = export_module.write_partitions
+    monkeypatch.setattr(export_module, "write_partitions", lambda *a: written.append(1) or inner(*a))
+    table = spark.read.parquet(f"{folder}/table")
+    run = export_table(table, ["k"], f"{folder}/stage", log_uri=f"{folder}/log", max_file_size=200_000)
+    state = {r["part_key"]["k"]: r for r in run.log.current().collect()}
+    assert len(written) == 1 and state[True]["file_count"] > 1 and state[False]["file_count"] == 1
+
+
 def test_writers_that_meet_keep_each_others_rows(spark, folder):
     df = spark.range(2).withColumn("k", F.col("id").cast("int"))
     one, other = (export_module.open_partition_log(spark, f"{folder}/log", df, ["k"]) for _ in range(2))
