@@ -26,7 +26,7 @@ _SUFFIX_DIGITS = 16
 
 # Types whose values survive the trip to text and back, so that a few selected
 # keys may become literals in a pushed-down filter.
-_LITERAL_TYPES = (
+LITERAL_TYPES = (
     T.StringType,
     T.ByteType,
     T.ShortType,
@@ -95,7 +95,7 @@ def key_ranges(df: DataFrame, selected: DataFrame, keys: Sequence[str]) -> Colum
     terms = [F.lit(True)]
     for i, name in enumerate(keys):
         column, dt = F.col(quoted(name)), df.schema[name].dataType
-        if not isinstance(dt, _LITERAL_TYPES):
+        if not isinstance(dt, LITERAL_TYPES):
             continue
         term = None
         if facts[f"low_{i}"] is not None:

@@ -2,7 +2,7 @@
 
 However many partitions a wave holds, it costs one scan and one shuffle. Each
 partition gets its own folder; the partitions of a wave that cannot be written
-are isolated by halving the wave.
+are isolated by reading parts of it.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartage.functions.keys import assign_path_keys, base_path_key, restrict_to_keys
+from cartage.functions.keys import LITERAL_TYPES, assign_path_keys, base_path_key, partition_predicate, restrict_to_keys
 from cartage.functions.texts import ERROR_LIMIT
 from cartage.functions.types import compat_columns, quoted, row_bytes
 from cartage.operators.cleanup import remove_files
@@ -44,6 +45,8 @@ from cartage.sources.tables import select_columns
 _HEADROOM = 0.9
 _GRAINS = 64  # steps in which rows are moved between the files of a partition
 _EVEN_ROWS = 100_000  # rows per file from which on dealing by hash splits bytes evenly enough
+_PROBES = 8  # reads at a time while failing partitions are told apart
+_NAMED = 64  # partitions that a read names as literals, so that the scan can skip others
 _REWRITES = 4  # of partitions found beyond the size cap, with more files each time
 _ROW = "__row"
 _FIRST = "__first_task"
@@ -440,9 +443,16 @@ def export_pending(
     shape = {"renamed": facts.renamed, "split": facts.split}
     waves = wave_ranges(facts.n, wave_size)
     waved = len(waves) > 1
-    def export_range(lo: int, hi: int, part: DataFrame, done: list[tuple[int, int]], bad: list[tuple[int, int, str]]) -> None:
-        """Write a slot range; ranges written go to ``done``, single partitions that cannot be to ``bad``."""
-        narrowed = waved or (lo, hi) != waves[0]
+
+    def export_range(
+        lo: int, hi: int, part: DataFrame, done: list[tuple[int, int]], bad: list[tuple[int, int, str]], probed: bool = False
+    ) -> None:
+        """Write a slot range; ranges written go to ``done``, single partitions that cannot be to ``bad``.
+
+        When the write fails, partitions whose rows cannot be computed are told by reading them, and the others
+        are written together. Halves are tried only where nothing but the write itself fails.
+        """
+        narrowed = waved or probed or (lo, hi) != waves[0]
         try:
             rows = distribute(
                 df, keys, part, columns, single_file, restricted or narrowed, **shape,
@@ -457,11 +467,26 @@ def export_pending(
             if hi - lo <= 1:
                 bad.append((lo, hi, str(problem)[:ERROR_LIMIT]))
                 return
+        if not probed:
+            failing = failing_partitions(df, keys, part, columns, lo, hi)
+            if failing:
+                bad += [(slot, slot + 1, text) for slot, text in failing]
+                part = materialize(
+                    part.join(_errors(spark, bad), "slot", "left_anti"), f"{log.uri}/plans/{task_id}-sound-{lo}"
+                )
+                edges = [lo - 1, *[slot for slot, _ in failing], hi]
+                sound: list[tuple[int, int]] = []
+                if part.take(1):
+                    export_range(lo, hi, part, sound, bad, probed=True)
+                for first, after in sound:
+                    gaps = zip(edges, edges[1:])
+                    done += [(max(a + 1, first), min(b, after)) for a, b in gaps if max(a + 1, first) < min(b, after)]
+                return
         middle = (lo + hi) // 2
         for a, b in ((lo, middle), (middle, hi)):
             half = part.filter((F.col("slot") >= a) & (F.col("slot") < b))
             if half.take(1):
-                export_range(a, b, half, done, bad)
+                export_range(a, b, half, done, bad, probed=True)
 
     def fitted(wave: DataFrame, lo: int) -> DataFrame:
         """What the wave's folders hold, after those whose estimate was wrong were written again.
@@ -585,6 +610,48 @@ def export_pending(
     return run
 
 
+def failing_partitions(
+    df: DataFrame, keys: Sequence[str], part: DataFrame, columns: Sequence[str] | None, lo: int, hi: int
+) -> list[tuple[int, str]]:
+    """``(slot, text)`` of the partitions in a slot range whose rows cannot be computed, by slot.
+
+    Ranges are read, not written: one stage each without a shuffle, the keys as filters of the scan, ``_PROBES`` at a
+    time. A range that fails is read again in ``_PROBES`` parts.
+    """
+    wanted = T.StructType([df.schema[c] for c in checked_columns(df, columns)])
+    named = _NAMED if all(isinstance(df.schema[k].dataType, LITERAL_TYPES) for k in keys) else 0
+
+    def failure(span: tuple[int, int]) -> str | None:
+        chosen = part.filter((F.col("slot") >= span[0]) & (F.col("slot") < span[1])).select("part_key")
+        few = chosen.collect() if span[1] - span[0] <= named else None  # at most as many rows
+        if few == []:
+            return None
+        if few:
+            any_of = reduce(Column.__or__, [partition_predicate(r.part_key.asDict(), df.schema) for r in few])
+            rows = df.filter(any_of)
+        else:
+            rows = restrict_to_keys(df, chosen.select("part_key.*"), keys)
+        try:
+            rows.select(*compat_columns(wanted)).write.format("noop").mode("overwrite").save()
+        except Exception as problem:
+            if machines_failed(problem):
+                raise
+            return str(problem)[:ERROR_LIMIT]
+        return None
+
+    failing, pending = [], [(lo, hi)]
+    with ThreadPoolExecutor(_PROBES) as pool:
+        while pending:
+            spans = []
+            for first, after in pending:
+                width = -(-(after - first) // _PROBES)
+                spans += [(a, min(a + width, after)) for a in range(first, after, width)]
+            found = [(span, text) for span, text in zip(spans, pool.map(failure, spans), strict=True) if text is not None]
+            failing += [(a, text) for (a, b), text in found if b - a == 1]
+            pending = [span for span, _ in found if span[1] - span[0] > 1]
+    return sorted(failing)
+
+
 _EXPORTS = "_exports"  # in a stage: which logs tell what its folders hold
 
 

@@ -436,6 +436,34 @@ def test_every_failing_partition_is_settled(spark, folder):
     assert run.log.current().filter("status = 'FAILED' and error_message like '%no such value%'").count() == 8
 
 
+def test_failing_partitions_are_told_by_reading(spark, folder, monkeypatch):
+    """Forty bad partitions of 48 cost two writes, whatever their number, and about one read each."""
+    checked = F.when(F.col("id") % 48 < 40, F.raise_error(F.concat(F.lit("bad "), (F.col("id") % 48).cast("string")))).otherwise(F.col("id"))
+    spark.range(960).write.parquet(f"{folder}/table")
+    df = spark.read.parquet(f"{folder}/table").select((F.col("id") % 48).cast("int").alias("k"), checked.cast("long").alias("v"))
+    writes, inner = [], export_module.write_partitions
+    monkeypatch.setattr(export_module, "write_partitions", lambda *a: writes.append(1) or inner(*a))
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().nextJobId
+    before = jobs()
+    run = export_table(df, ["k"], f"{folder}/stage", log_uri=f"{folder}/log")
+    assert len(writes) == 2 and jobs() - before < 200
+    assert (run.completed, run.failed) == (8, 40)
+    for row in run.log.current().collect():
+        k = row["part_key"]["k"]
+        assert row["status"] == ("FAILED" if k < 40 else "COMPLETED")
+        assert k >= 40 or f"bad {k}" in row["error_message"]
+
+
+def test_one_bad_partition_among_many(spark, folder):
+    """Null and timestamp keys among them; the rest is written whole."""
+    value = F.when(F.col("id") == 77, F.raise_error(F.lit("no such value"))).otherwise(F.col("id"))
+    key = F.when(F.col("id") % 20 > 0, F.timestamp_seconds(F.col("id") % 20 * 86400))
+    df = spark.range(400).select(key.alias("k"), value.cast("long").alias("v"))
+    run = export_table(df, ["k"], f"{folder}/stage", log_uri=f"{folder}/log")
+    assert (run.completed, run.failed) == (19, 1)
+    assert run.log.current().filter("status = 'COMPLETED'").agg(F.sum("rows_unloaded")).first()[0] == 380
+
+
 def test_failing_machines_end_the_run_with_finished_work_settled(spark, folder, monkeypatch):
     df = spark.range(100).withColumn("k", (F.col("id") % 10).cast("int"))
     whole = export_module.write_partitions
