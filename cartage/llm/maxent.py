@@ -27,10 +27,10 @@ DIRECT = 1 << 18  # at most so many frequent words have counts that travel with
 BUCKETS, BUCKETS_2 = 1 << 13, 1 << 10
 SMOOTH = 0.1
 ROUNDS = 3  # every text is learned from in one of them, at all its positions
-PER_LEARNER = 500_000  # examples of a learner in a round, until MOST_LEARNERS share the work
-MOST_LEARNERS = 256
+PER_LEARNER = 500_000  # examples that a learner has in a round at least, about
+FANIN = 32  # changes that one task adds up; those of more learners are added in a tree
 BATCH, RATE = 1024, 0.4
-BLOCKS = 8
+BLOCKS = 16
 
 _U = np.uint64
 _BEGIN = _U(0x5EED5EED5EED5EED)
@@ -258,35 +258,42 @@ def _learn(vocabulary: Vocabulary, weights: tuple[np.ndarray, np.ndarray]):
     return run
 
 
-def _sum_block(block):
-    change = sum(np.frombuffer(c, np.float32).astype(np.float64) for c in block["change"])
-    touched = sum(np.frombuffer(t, np.float32).astype(np.float64) for t in block["touched"])
-    mean = change.reshape(len(touched), -1) / np.maximum(touched, 1)[:, None]
-    return block.iloc[:1][["block"]].assign(change=[mean.astype(np.float32).tobytes()])
+_CHANGES = "block int, learner long, change binary, touched binary"
+
+
+def _added(changes):
+    """One row of sums for all changes of a block; ``touched`` counts the learners that changed a row."""
+    sums = [sum(np.frombuffer(c, np.float32) for c in changes[name]).astype(np.float32).tobytes() for name in ("change", "touched")]
+    return changes.iloc[:1][["block", "learner"]].assign(change=[sums[0]], touched=[sums[1]])
 
 
 def train_weights(train: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Weights of both softmaxes after one pass over all positions of ``train`` (doc_id, text) in ROUNDS rounds.
 
-    A round moves its share of the texts to the learners, who make the examples themselves, so no example
-    is stored or moved. The driver holds the weights (6 MB) and, per round, the averaged change of the same size.
+    The texts stay where they are read: a learner takes a round's share of some partitions of the input and makes the
+    examples itself. Learners grow with the input. Their changes, 6 MB each at most, are added in a tree of FANIN; the
+    driver holds the weights and, per round, one sum of the same size.
     """
     first, second = vocabulary.first_weights()
-    learners = int(min(MOST_LEARNERS, max(4, vocabulary.total // (ROUNDS * PER_LEARNER) + 1)))
-    # by id and text, so that copies of a text are spread
+    learners = int(max(4, vocabulary.total // (ROUNDS * PER_LEARNER) + 1))
     draw = F.xxhash64("doc_id", "text")
     for number in range(ROUNDS):
-        share = train.where(F.pmod(draw, F.lit(ROUNDS)) == number)
-        changes = share.repartition(learners, F.xxhash64(draw)).select("text").mapInArrow(
-            _learn(vocabulary, (first, second)), "block int, change binary, touched binary"
-        )
-        rows = changes.groupBy("block").applyInPandas(_sum_block, "block int, change binary").collect()
+        share = train.where(F.pmod(draw, F.lit(ROUNDS)) == number).select("text").coalesce(learners)
+        changes = share.mapInArrow(_learn(vocabulary, (first, second)), "block int, change binary, touched binary")
+        changes = changes.select("block", F.spark_partition_id().cast("long").alias("learner"), "change", "touched")
+        left = learners
+        while left > FANIN:
+            changes = changes.withColumn("learner", F.floor(F.col("learner") / FANIN))
+            changes = changes.groupBy("block", "learner").applyInPandas(_added, _CHANGES)
+            left = -(-left // FANIN)
+        rows = changes.groupBy("block").applyInPandas(_added, _CHANGES).collect()
         flat = second.reshape(-1, PER_CLASS)
         places = [*np.array_split(np.arange(len(first)), BLOCKS), *np.array_split(np.arange(len(flat)), BLOCKS)]
         for row in rows:
             target = first if row["block"] < BLOCKS else flat
             at = places[row["block"]]
-            target[at] += np.frombuffer(row["change"], np.float32).reshape(len(at), -1)
+            times = np.maximum(np.frombuffer(row["touched"], np.float32), 1)[:, None]
+            target[at] += np.frombuffer(row["change"], np.float32).reshape(len(at), -1) / times
     return first, second
 
 

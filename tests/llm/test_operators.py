@@ -398,6 +398,19 @@ def test_lm_learns_from_every_position(monkeypatch):
     assert sum(stepped) == vocabulary.total == sum(len(words(t)) + 1 for t in texts)
 
 
+def test_lm_changes_are_added_in_a_tree(spark, sf_dir, monkeypatch):
+    """The weights are the same whether the learners' changes are added at once or in steps of two."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").repartition(7, "doc_id")
+    monkeypatch.setattr(maxent, "PER_LEARNER", 1000)
+    monkeypatch.setattr(maxent, "ROUNDS", 1)
+    found = []
+    for fanin in (2, 1000):
+        monkeypatch.setattr(maxent, "FANIN", fanin)
+        found.append({r["doc_id"]: r["score"] for r in maxent.lm_scores(docs).collect()})
+    assert found[0].keys() == found[1].keys()
+    assert all(found[0][i] == pytest.approx(found[1][i], rel=1e-5) for i in found[0])
+
+
 def test_lm_without_training_rows(spark):
     out = maxent.lm_scores(spark.createDataFrame([(None, "a b")], "doc_id long, text string")).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) for r in out] == [(3, 0, 0, False)]
