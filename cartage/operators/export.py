@@ -317,10 +317,13 @@ def _deal_out(
 
 
 def write_partitions(rows: DataFrame, stage_uri: str, max_records_per_file: int) -> None:
-    """Replace exactly the folders that ``rows`` has partitions for."""
+    """Add files to the folders that ``rows`` has partitions for.
+
+    Earlier files stay until the new ones are told; so the write is a plain one, which every committer supports,
+    and moves no folder in the driver.
+    """
     (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        rows.write.mode("append")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("path_key")
         .parquet(stage_uri)
@@ -409,8 +412,14 @@ def export_pending(
     max_file_size: int = MAX_FILE_SIZE,
     wave_size: int | None = None,
     suspended: Callable[[], bool] = lambda: False,
+    new_stage: bool = False,
 ) -> ExportRun:
-    """Export every PENDING partition, and those a crashed run left IN_PROGRESS."""
+    """Export every PENDING partition, and those a crashed run left IN_PROGRESS.
+
+    New files are written beside what a folder holds (nothing, in a ``new_stage``). Once they are counted and within the
+    cap, the files they replace are removed by the tasks and the partition is settled, which publishes the new
+    ones to importers by name. Of a partition that fails the new files are removed, and the earlier ones stay published.
+    """
     spark = df.sparkSession
     run = ExportRun(task_id, stage_uri, log)
     open_items = with_status(log.current(), "PENDING", "IN_PROGRESS").drop("total_rows", "input_bytes", "event", "at", "seq")
@@ -488,23 +497,31 @@ def export_pending(
             if half.take(1):
                 export_range(a, b, half, done, bad, probed=True)
 
-    def fitted(wave: DataFrame, lo: int) -> DataFrame:
-        """What the wave's folders hold, after those whose estimate was wrong were written again.
+    def fitted(wave: DataFrame, earlier: DataFrame | None, lo: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+        """What the run wrote to the wave's folders, after those whose estimate was wrong were written again.
 
         A partition with a file beyond the cap, or split though one file would have held it, is written
         again by what it was found to weigh, its rows dealt out by running bytes; if a file is beyond the cap still,
-        with more files. A partition that no number of files brings below the cap has ``beyond`` set.
+        with more files. A partition that no number of files brings below the cap has ``beyond`` set. Returns the
+        folders, the files they now consist of, and the files those replace.
         """
-        headroom, beyond = _HEADROOM, F.col("largest") > max_file_size
+        headroom, beyond, replaced = _HEADROOM, F.col("largest") > max_file_size, earlier
         for number in range(_REWRITES + 1):
-            held = per_folder(listed(wave, f"written-files-{number}", lo)).withColumn("beyond", beyond)
+            files = listed(wave, f"written-files-{number}", lo)
+            if replaced is not None:
+                files = materialize(
+                    files.join(replaced.select("path"), "path", "left_anti"), f"{log.uri}/plans/{task_id}-own-files-{lo}-{number}"
+                )
+            held = per_folder(files).withColumn("beyond", beyond)
             # one file, one row: nothing is left to split
             again = beyond & (F.col("files") < F.col("rows"))
             if single_file and not number:
                 again |= (F.col("files") > 1) & (F.col("bytes") <= max_file_size)
             misjudged = held.filter(again)
             if number == _REWRITES or misjudged.isEmpty():
-                return held
+                break
+            outdated = files.join(misjudged.select("path_key"), "path_key", "left_semi")
+            replaced = outdated if replaced is None else replaced.unionByName(outdated)
             wrong = wave.drop("file_count", "total_rows").join(misjudged, "path_key")
             wrong = wrong.withColumns({"file_count": file_count(F.col("bytes"), max_file_size, headroom), "total_rows": F.col("rows")})
             wrong = materialize(wrong.select(wave.columns), f"{log.uri}/plans/{task_id}-wrong-{lo}-{number}")
@@ -514,7 +531,7 @@ def export_pending(
             )
             write_partitions(rows, stage_uri, 0)
             headroom *= 0.75
-        return held
+        return held, files, replaced
 
     def listed(wave: DataFrame, moment: str, lo: int) -> DataFrame:
         """The files of a wave's folders, written down once."""
@@ -525,8 +542,9 @@ def export_pending(
             run.suspended = True
             break
         wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if waved else plan
-        if not overwrite:
-            present = listed(wave, "present", lo).select("path_key").distinct()
+        earlier = None if new_stage else listed(wave, "present", lo)
+        if not overwrite and earlier is not None:
+            present = earlier.select("path_key").distinct()
             # a partition that was begun and never settled may replace what it left behind
             refused = wave.join(present, "path_key", "left_semi").filter(~_begun())
             wave = wave.join(refused.select("path_key"), "path_key", "left_anti")
@@ -560,27 +578,25 @@ def export_pending(
                 raise broken
             wave = wave.join(_slots(spark, done + [b[:2] for b in bad]), "slot", "left_semi")
 
-        settled = wave
-        if facts.filled < facts.n:
-            # what an earlier export of a partition left behind goes when the partition has no rows any more
-            empty = wave.filter("total_rows = 0")
-            gone = materialize(
-                remove_files(listed(empty, "stale", lo).select("path"), confirm=True), f"{log.uri}/plans/{task_id}-removed-{lo}"
-            )
-            stuck = gone.filter("problem is not null").select(
-                F.regexp_extract("path", "/path_key=([^/]*)/", 1).alias("path_key"), "problem"
-            ).groupBy("path_key").agg(F.first("problem").alias("stale"))
-            settled = settled.join(stuck, "path_key", "left")
-        else:
-            settled = settled.withColumn("stale", F.lit(None).cast("string"))
         error = _errors(spark, bad)
-        held = fitted(filled.join(_slots(spark, done), "slot", "left_semi") if bad or broken else filled, lo)
-        settled = settled.join(held, "path_key", "left").join(error, "slot", "left")
+        held, files, replaced = fitted(filled.join(_slots(spark, done), "slot", "left_semi") if bad or broken else filled, earlier, lo)
+        settled = wave.join(held, "path_key", "left").join(error, "slot", "left")
         missing = F.when((F.col("total_rows") > 0) & F.col("files").isNull(), F.lit("no files of the partition are staged"))
         too_large = F.when(F.col("beyond"), F.concat(
             F.lit("a file of "), "largest", F.lit(f" bytes is beyond the cap of {max_file_size}, in "), "files", F.lit(" files")
         ))
-        settled = settled.withColumn("problem", F.coalesce("failure", "unreadable", "stale", missing, too_large))
+        settled = settled.withColumn("problem", F.coalesce("failure", "unreadable", missing, too_large))
+        settled = materialize(settled, f"{log.uri}/plans/{task_id}-settled-{lo}")
+        # the files that are replaced go, and those of partitions that failed; an emptied partition is replaced by nothing
+        outdated = files.join(settled.filter("problem is not null").select("path_key"), "path_key", "left_semi")
+        if replaced is not None:
+            sound = settled.filter("problem is null").select("path_key")
+            outdated = outdated.unionByName(replaced.join(sound, "path_key", "left_semi"))
+        gone = materialize(remove_files(outdated.select("path"), confirm=True), f"{log.uri}/plans/{task_id}-removed-{lo}")
+        stuck = gone.filter("problem is not null").select(
+            F.regexp_extract("path", "/path_key=([^/]*)/", 1).alias("path_key"), F.col("problem").alias("stale")
+        ).groupBy("path_key").agg(F.first("stale").alias("stale"))
+        settled = settled.join(stuck, "path_key", "left").withColumn("problem", F.coalesce("problem", "stale"))
         ok = F.col("problem").isNull()
         written = ok & (F.col("total_rows") > 0)
         nothing = F.lit(0).cast("bigint")
@@ -783,6 +799,7 @@ def export_table(
     checked_columns(df, columns)
     log = open_partition_log(df.sparkSession, log_uri, df, keys)
     spark = df.sparkSession
+    new_stage = not path_exists(spark, stage_uri)
     runs = run_log(spark, f"{log_uri}/runs")
     refuse_reuse(runs, task_id)
     task_id = task_id or new_task_id("export")
@@ -816,7 +833,7 @@ def export_table(
             df, keys, stage_uri, log, profile, task_id,
             columns=columns, overwrite=overwrite, single_file=single_file,
             max_file_size=max_file_size, wave_size=wave_size,
-            suspended=lambda: is_suspended(runs, task_id),
+            suspended=lambda: is_suspended(runs, task_id), new_stage=new_stage,
         )
     except Exception as problem:
         record_run(runs, task_id, "EXPORT", "FAILED", error_message=str(problem)[:ERROR_LIMIT], **facts)
