@@ -29,7 +29,7 @@ SMOOTH = 0.1
 ROUNDS = 3  # every text is learned from in one of them, at all its positions
 PER_LEARNER = 500_000  # examples that a learner has in a round at least, about
 FANIN = 32  # changes that one task adds up; those of more learners are added in a tree
-BATCH, RATE = 1024, 0.4
+BATCH, RATE = 2048, 0.3
 BLOCKS = 16
 
 _U = np.uint64
