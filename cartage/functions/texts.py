@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ FALLBACK_PREFIX = "ADD_FILES_COPY failed: "
 FALLBACK_SUFFIX = ". Retrying with FULL_INGEST..."
 BOTH_FAILED_NOTE = " (after ADD_FILES_COPY fallback)"
 RUN_TIME_FORMAT = "yyyyMMdd_HHmmss"
+RUN_PREFIX = "MIGRATE"
 CELL_LIMIT = 30
 HEADER_LIMIT = 20
 ELLIPSIS = "..."
@@ -34,6 +38,12 @@ def run_name(prefix: str, operation: Column, *names: Column, at: Column) -> Colu
     return F.upper(F.concat_ws("_", F.lit(prefix), operation, *names, F.date_format(at, RUN_TIME_FORMAT)))
 
 
+def run_title(prefix: str, operation: str, names: list[str], at: datetime) -> str:
+    """The name that ``run_name`` gives, for a run that is about to begin; names keep what a folder name may hold."""
+    plain = [re.sub("[^A-Za-z0-9]+", "_", n).strip("_")[:80] for n in names]
+    return "_".join([prefix, operation, *[n for n in plain if n], at.strftime("%Y%m%d_%H%M%S")]).upper()
+
+
 def elapsed_text(seconds: Column) -> Column:
     """Duration in words; zero units are left out, except the seconds."""
     def unit(count: Column, word: str) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartage.functions.keys import LITERAL_TYPES, assign_path_keys, base_path_key, partition_predicate, restrict_to_keys
-from cartage.functions.texts import ERROR_LIMIT
+from cartage.functions.texts import ERROR_LIMIT, RUN_PREFIX, run_title
 from cartage.functions.types import compat_columns, quoted, row_bytes
 from cartage.operators.cleanup import remove_files
 from cartage.operators.logs import (
@@ -83,8 +83,10 @@ def machines_failed(problem: BaseException) -> bool:
     )
 
 
-def new_task_id(operation: str) -> str:
-    return f"{operation.upper()}_{uuid.uuid4().hex[:16].upper()}"
+def new_task_id(operation: str, *names: str) -> str:
+    """A run's name: its operation, what it is about and when it began; the last digits keep runs of one second apart."""
+    title = run_title(RUN_PREFIX, operation, list(names), datetime.now(timezone.utc))
+    return f"{title}_{uuid.uuid4().hex[:8].upper()}"
 
 
 def key_struct(keys: Sequence[str]) -> Column:
@@ -413,6 +415,7 @@ def export_pending(
     wave_size: int | None = None,
     suspended: Callable[[], bool] = lambda: False,
     new_stage: bool = False,
+    report: Callable[[ExportRun], None] = lambda run: None,
 ) -> ExportRun:
     """Export every PENDING partition, and those a crashed run left IN_PROGRESS.
 
@@ -623,6 +626,8 @@ def export_pending(
         run.completed += outcome.n - outcome.bad
         if broken is not None:
             raise broken
+        if waved:
+            report(run)
     return run
 
 
@@ -717,7 +722,7 @@ def _errors(spark: SparkSession, bad: list[tuple[int, int, str]]) -> DataFrame:
 
 
 def record_run(runs: StateLog, task_id: str, operation: str, status: str, **values) -> None:
-    """Append one state of a run to the registry."""
+    """Append one state of a run to the registry; ``values`` may tell when it was created and started."""
     row = one_row(runs.spark, task_id=task_id, operation=operation, status=status, **values)
     missing = [f for f in runs.schema if f.name not in row.columns]
     now = F.current_timestamp()
@@ -802,7 +807,7 @@ def export_table(
     new_stage = not path_exists(spark, stage_uri)
     runs = run_log(spark, f"{log_uri}/runs")
     refuse_reuse(runs, task_id)
-    task_id = task_id or new_task_id("export")
+    task_id = task_id or new_task_id("export", source or stage_uri.rstrip("/").rsplit("/", 1)[-1])
     refuse_concurrent(runs, takeover)
     facts = {
         "source": source,
@@ -818,6 +823,15 @@ def export_table(
             }
         ),
     }
+    began = datetime.now(timezone.utc)
+    facts |= {"created_at": began, "started_at": began}
+
+    def report(run: ExportRun, status: str = "RUNNING") -> None:
+        record_run(
+            runs, task_id, "EXPORT", status,
+            total_items=run.total, completed_items=run.completed, failed_items=run.failed, **facts,
+        )
+
     record_run(runs, task_id, "EXPORT", "RUNNING", **facts)
     try:
         announce(spark, stage_uri, log_uri)
@@ -833,13 +847,10 @@ def export_table(
             df, keys, stage_uri, log, profile, task_id,
             columns=columns, overwrite=overwrite, single_file=single_file,
             max_file_size=max_file_size, wave_size=wave_size,
-            suspended=lambda: is_suspended(runs, task_id), new_stage=new_stage,
+            suspended=lambda: is_suspended(runs, task_id), new_stage=new_stage, report=report,
         )
     except Exception as problem:
         record_run(runs, task_id, "EXPORT", "FAILED", error_message=str(problem)[:ERROR_LIMIT], **facts)
         raise
-    record_run(
-        runs, task_id, "EXPORT", "SUSPENDED" if run.suspended else "COMPLETED",
-        total_items=run.total, completed_items=run.completed, failed_items=run.failed, **facts,
-    )
+    report(run, "SUSPENDED" if run.suspended else "COMPLETED")
     return run

@@ -473,7 +473,7 @@ def import_files(
             return ImportRun(task_id, target)
     else:
         refuse_reuse(runs, task_id)
-    task_id = task_id or new_task_id("import")
+    task_id = task_id or new_task_id("import", target.base_uri.rsplit("/", 1)[-1])
     run = ImportRun(task_id, target)
     refuse_concurrent(runs, takeover, own=task_id if repeatable else None)
     facts = {
@@ -481,6 +481,24 @@ def import_files(
         "stage_uri": stage_uri,
         "parameters": json.dumps({"load_mode": load_mode, "stage_path": stage_path, "wave_size": wave_size}),
     }
+    began = datetime.now(timezone.utc)
+    facts |= {"created_at": began, "started_at": began}
+
+    def report(status: str) -> None:
+        """What has become of the run's files so far, to the registry."""
+        if run.total:
+            done = F.col("status").isin("SUCCESS", LOADED)
+            counts = log.current().filter(F.col("task_id") == task_id).agg(
+                F.count_if(done).alias("done"),
+                F.count_if(F.col("status") == "FAILED").alias("failed"),
+                F.count_if(done & (F.col("load_mode_used") != load_mode)).alias("fell_back"),
+            ).first()
+            run.completed, run.failed, run.fell_back = counts.done, counts.failed, counts.fell_back
+        record_run(
+            runs, task_id, "IMPORT", status, total_items=run.total, completed_items=run.completed,
+            failed_items=run.failed, fallback_items=run.fell_back, replaced_items=run.replaced, **facts,
+        )
+
     record_run(runs, task_id, "IMPORT", "RUNNING", **facts)
     try:
         if log_mode == "fresh":
@@ -505,23 +523,14 @@ def import_files(
                     break
                 wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if len(ranges) > 1 else plan
                 import_wave(wave.drop("slot"), target, log, load_mode, f"{task_id}-{number}")
+                if number + 1 < len(ranges):
+                    report("RUNNING")
         if exported is not None:
             run.replaced = publish_replacements(log, stage_uri, exported, f"{log.uri}/plans/{task_id}-swapped")
-        if run.total:
-            mine = log.current().filter(F.col("task_id") == task_id)
-            counts = mine.agg(
-                F.count_if(F.col("status").isin("SUCCESS", LOADED)).alias("done"),
-                F.count_if(F.col("status") == "FAILED").alias("failed"),
-                F.count_if(F.col("status").isin("SUCCESS", LOADED) & (F.col("load_mode_used") != load_mode)).alias("fell_back"),
-            ).first()
-            run.completed, run.failed, run.fell_back = counts.done, counts.failed, counts.fell_back
     except Exception as problem:
         record_run(runs, task_id, "IMPORT", "FAILED", error_message=str(problem)[:ERROR_LIMIT], **facts)
         raise
-    record_run(
-        runs, task_id, "IMPORT", "SUSPENDED" if run.suspended else "COMPLETED",
-        total_items=run.total, completed_items=run.completed, failed_items=run.failed, **facts,
-    )
+    report("SUSPENDED" if run.suspended else "COMPLETED")
     return run
 
 

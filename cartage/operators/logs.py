@@ -43,7 +43,8 @@ FILE_COLUMNS = (
 RUN_COLUMNS = (
     "task_id string, operation string, source string, target string, stage_uri string, "
     "parameters string, status string, total_items bigint, completed_items bigint, "
-    "failed_items bigint, error_message string, created_at timestamp, started_at timestamp, ended_at timestamp"
+    "failed_items bigint, error_message string, created_at timestamp, started_at timestamp, ended_at timestamp, "
+    "fallback_items bigint, replaced_items bigint"
 )
 
 

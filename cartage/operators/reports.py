@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartage.functions.texts import BOTH_FAILED_NOTE, FALLBACK_PREFIX, clip_error, shortened, shown
 from cartage.functions.types import quoted
+from cartage.operators.logs import LOADED
 
 # States that count as work to be done, and states of an active run.
 EXPORT_STATES = ("PENDING", "IN_PROGRESS", "COMPLETED", "FAILED")
@@ -29,8 +30,8 @@ def status_counts(state: DataFrame, states: Sequence[str] = EXPORT_STATES) -> Da
 
 
 def import_status_counts(state: DataFrame) -> DataFrame:
-    """Files per status; a file that is being retried is still in progress."""
-    retrying = F.col("status") == "RETRYING_FULL_INGEST"
+    """Files per status; a file that is being retried, or waits to replace others, is still in progress."""
+    retrying = F.col("status").isin("RETRYING_FULL_INGEST", LOADED)
     merged = state.withColumn("status", F.when(retrying, "IN_PROGRESS").otherwise(F.col("status")))
     return status_counts(merged, IMPORT_STATES)
 

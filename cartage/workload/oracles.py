@@ -1,5 +1,7 @@
 """The same results in plain SQL over the given tables (DuckDB dialect)."""
 
+from cartage.workload.tables import POINT_1_2, POINT_3_4
+
 _STATES_FILE = """case event_type when 'view' then 'PENDING' when 'click' then 'IN_PROGRESS'
     when 'purchase' then 'SUCCESS' when 'error' then 'FAILED' when 'signup' then 'RETRYING_FULL_INGEST' end"""
 _STATES_PARTITION = """case event_type when 'view' then 'PENDING' when 'click' then 'IN_PROGRESS'
@@ -167,6 +169,16 @@ ORACLES: dict[str, str] = {
     "run_progress": """select 'EXPORT' as operation, 'COMPLETED' as status, count(distinct o_orderpriority) as selected_items,
         count(distinct o_orderpriority) as completed_items, cast(1 as double) as progress from orders
         group by case when o_orderpriority = '1-URGENT' then 1 else 2 end""",
+    "run_registry": """select 'EXPORT' as operation, true as named, (count(distinct o_orderpriority) + 2) // 3 + 1 as progress_rows,
+            count(distinct o_orderpriority) as completed_items, cast(0 as bigint) as failed_items,
+            cast(null as bigint) as fallback_items, true as one_start from orders
+        union all select 'IMPORT', true, count(distinct o_orderstatus), count(distinct o_orderstatus) - 1, cast(1 as bigint),
+            cast(1 as bigint), true from orders""",
+    "active_real_runs": """select 'EXPORT' as operation, 'RUNNING' as status, count(distinct o_orderpriority) as total_items
+        from orders""",
+    "compat_projection_time": "select event_id, strftime(ts, '%H:%M:%S') as clock from events",
+    "compat_projection_geometry": f"""select c_custkey, case when c_custkey % 2 = 0 then '{POINT_1_2}' else '{POINT_3_4}' end
+        as place from customer""",
     "import_after_reexport": _ALL_ORDERS,
     "import_after_cleanup": _ALL_ORDERS,
     "stream_batch_repeated": _ALL_ORDERS,

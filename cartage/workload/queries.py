@@ -26,6 +26,7 @@ from cartage.operators.export import (
     new_task_id,
     open_partition_log,
     read_staged,
+    record_run,
     select_partitions,
     staged_counts,
 )
@@ -46,12 +47,14 @@ from cartage.operators.reconcile import reconcile_export, reconcile_import
 from cartage.operators.target import ADD_FILES_COPY, ADD_FILES_REFERENCE, FULL_INGEST, Target, read_target
 from cartage.plans.profile import new_partitions, partition_bytes, partition_profile
 from cartage.plans.work import file_cap_plan, ranked_waves, smallest_first
-from cartage.session import scanned_bytes, qualify, scratch
+from cartage.session import materialize, qualify, scanned_bytes, scratch, session_setting
 from cartage.sources.files import files_only, footer_columns, list_files, read_footers
 from cartage.sources.tables import catalog_tables, column_list, describe_columns, inventory, select_columns
 from cartage.streaming.incremental import batch_name, import_stream
 from cartage.workload.tables import (
     KEYS,
+    POINT_1_2,
+    POINT_3_4,
     TABLES,
     events_by_day,
     file_history,
@@ -653,6 +656,61 @@ def run_progress(spark, sf_dir):
     return found.select("operation", "status", "selected_items", "completed_items", "progress")
 
 
+@query
+def run_registry(spark, sf_dir):
+    """What two real runs wrote to their registries as they went: an export in waves, an import with fallbacks in waves."""
+    root = scratch(spark, "run-registry")
+    orders = table(spark, sf_dir, "orders")
+    export_table(orders, ["o_orderpriority"], f"{root}/stage", log_uri=f"{root}/log", wave_size=3)
+    stage_mixed_orders(spark, sf_dir, f"{root}/mixed")
+    target = Target(spark, f"{root}/target", orders.schema)
+    import_files(spark, f"{root}/mixed", target, load_mode=ADD_FILES_COPY, wave_size=1)
+    told = [log.history() for log in (run_log(spark, f"{root}/log/runs"), target.runs)]
+    named = F.startswith("task_id", F.concat(F.lit("MIGRATE_"), "operation", F.lit("_")))
+    return told[0].unionByName(told[1]).groupBy("operation", named.alias("named")).agg(
+        F.count_if(F.col("status") == "RUNNING").alias("progress_rows"),
+        F.max("completed_items").alias("completed_items"), F.max("failed_items").alias("failed_items"),
+        F.max("fallback_items").alias("fallback_items"),
+        (F.count_distinct("started_at") == 1).alias("one_start"),
+    )
+
+
+@query
+def active_real_runs(spark, sf_dir):
+    """Of two runs the one that was suspended between waves and goes on is told by its name's prefix while it runs."""
+    root = scratch(spark, "active-runs")
+    orders = table(spark, sf_dir, "orders")
+    run = export_table(orders, ["o_orderpriority"], f"{root}/stage", log_uri=f"{root}/log")
+    registry = run_log(spark, f"{root}/log/runs")
+    record_run(registry, new_task_id("export", "orders"), "EXPORT", "RUNNING", stage_uri=f"{root}/other", total_items=run.total)
+    found = reports.active(registry.current(), "created_at", "task_id", prefix="MIGRATE_EXPORT_")
+    return found.select("operation", "status", "total_items")
+
+
+@query
+def compat_projection_time(spark, sf_dir):
+    """A time of day passes the projection and the export as it is."""
+    root = scratch(spark, "compat-time")
+    with session_setting(spark, "spark.sql.timeType.enabled", "true"):
+        clock = F.date_format("ts", "HH:mm:ss").cast("time")
+        events = table(spark, sf_dir, "events").select("event_id", "event_type", clock.alias("clock"))
+        export_table(events, ["event_type"], f"{root}/stage", log_uri=f"{root}/log")
+        staged = read_staged(spark, f"{root}/stage", compat_projection(events).schema)
+        return materialize(staged.select("event_id", F.col("clock").cast("string").alias("clock")), f"{root}/out")
+
+
+@query
+def compat_projection_geometry(spark, sf_dir):
+    """Points are exported as their well-known binary form."""
+    root = scratch(spark, "compat-geometry")
+    point = F.when(F.col("c_custkey") % 2 == 0, F.unhex(F.lit(POINT_1_2))).otherwise(F.unhex(F.lit(POINT_3_4)))
+    with session_setting(spark, "spark.sql.geospatial.enabled", "true"):
+        places = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", F.st_geomfromwkb(point).alias("place"))
+        export_table(places, ["c_mktsegment"], f"{root}/stage", log_uri=f"{root}/log")
+        staged = read_staged(spark, f"{root}/stage", compat_projection(places).schema)
+        return materialize(staged.select("c_custkey", F.hex("place").alias("place")), f"{root}/out")
+
+
 @query
 def catalog_inventory(spark, sf_dir):
     """Rows and columns of every table of a catalog database, found by enumeration."""
@@ -660,7 +718,10 @@ def catalog_inventory(spark, sf_dir):
     spark.sql(f"create database {database}")
     for name in TABLES:
         spark.catalog.createTable(f"{database}.{name}", path=f"{sf_dir}/{name}.parquet", source="parquet")
-    return inventory(catalog_tables(spark, database))
+    found = materialize(inventory(catalog_tables(spark, database)), scratch(spark, "inventory"))
+    # the tables were registered in place, so only their entries go
+    spark.sql(f"drop database {database} cascade")
+    return found
 
 
 @query

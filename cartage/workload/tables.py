@@ -19,6 +19,10 @@ TABLES = (
 
 KEYS = ["task_id", "item_id"]
 
+# fixed values: the points (1 2) and (3 4) in well-known binary form
+POINT_1_2 = "0101000000000000000000F03F0000000000000040"
+POINT_3_4 = "010100000000000000000008400000000000001040"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
