@@ -6,7 +6,7 @@ loads them into a target dataset and reconciles the row counts. Progress lives
 in append-only logs that are themselves DataFrames.
 """
 
-from cartage.operators.export import analyse_partitions, export_pending, export_table
+from cartage.operators.export import analyse_partitions, export_pending, export_table, retry_failed
 from cartage.operators.load import import_files
 from cartage.operators.target import Target, read_target
 
@@ -17,4 +17,5 @@ __all__ = [
     "export_table",
     "import_files",
     "read_target",
+    "retry_failed",
 ]

@@ -33,10 +33,15 @@ from cartage.functions.types import compat_columns, quoted, row_bytes
 from cartage.operators.cleanup import remove_files
 from cartage.operators.logs import (
     StateLog,
+    as_pending,
+    failed_as_pending,
+    not_completed,
     partition_log,
     run_log,
+    selected_as_pending,
     with_status,
 )
+from cartage.plans.profile import new_partitions
 from cartage.plans.work import MAX_FILE_SIZE, file_count, rows_per_file, wave_ranges, with_rank
 from cartage.session import literal_path, materialize, one_row, path_exists, qualify, scanned_bytes, write_text
 from cartage.sources.files import open_file, spread
@@ -47,6 +52,7 @@ _GRAINS = 64  # steps in which rows are moved between the files of a partition
 _EVEN_ROWS = 100_000  # rows per file from which on dealing by hash splits bytes evenly enough
 _PROBES = 8  # reads at a time while failing partitions are told apart
 _NAMED = 64  # partitions that a read names as literals, so that the scan can skip others
+_TASK_BYTES = 1 << 30  # what a task writes, about
 _REWRITES = 4  # of partitions found beyond the size cap, with more files each time
 _ROW = "__row"
 _FIRST = "__first_task"
@@ -134,7 +140,7 @@ def analyse_partitions(
         profile = profile.withColumn("input_bytes", F.ceil(F.col("total_rows") * F.lit(per_row)).cast("bigint"))
 
     known = log.current()
-    unseen = profile.join(known.select("part_key"), "part_key", "left_anti") if log.exists() else profile
+    unseen = new_partitions(profile, known.select("part_key"), ["part_key"]) if log.exists() else profile
     named = assign_path_keys(unseen, known.select("path_key"), keys, "part_key")
     log.append(
         named.select(
@@ -179,17 +185,18 @@ def select_partitions(log: StateLog, selection: DataFrame | Column | None = None
     predicate over the log holds for, or all that are not completed."""
     state = log.current()
     if selection is None:
-        chosen = state.filter(F.col("status") != "COMPLETED")
+        chosen = as_pending(not_completed(state))
     elif isinstance(selection, Column):
-        chosen = state.filter(selection)
+        chosen = as_pending(state.filter(selection))
     else:
         typed = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in log.schema["part_key"].dataType]
-        wanted = selection.select(F.struct(*typed).alias("part_key")).distinct()
-        chosen = state.join(wanted, "part_key", "left_semi")
-    log.transition(
-        chosen, event,
-        status=F.lit("PENDING"), retry_count=F.lit(0), error_message=F.lit(None), rows_unloaded=F.lit(None),
-    )
+        chosen = selected_as_pending(state, selection.select(F.struct(*typed).alias("part_key")).distinct(), ["part_key"])
+    log.transition(chosen, event, rows_unloaded=F.lit(None))
+
+
+def retry_failed(log: StateLog) -> None:
+    """Make the failed items of a log PENDING again, for the next run to take up; retry counts stay."""
+    log.transition(failed_as_pending(log.current()), "reset")
 
 
 def _row_identity(df: DataFrame) -> Column:
@@ -223,6 +230,8 @@ def distribute(
     split: int | None = None,
     splitters_uri: str | None = None,
     weigh_all: bool = False,
+    own_task: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Rows of the planned partitions, projected for Parquet and placed for the write.
 
@@ -231,6 +240,9 @@ def distribute(
     its rows are then dealt out over that many tasks. Otherwise a rebalance lets
     AQE merge small partitions and split large ones by what the shuffle weighs.
 
+    Partitions of ``own_task`` bytes or more have a task of their own, so no two of them meet in one; the others are
+    hashed to ``tasks``, at most one each.
+
     Dealing is by a row's hash where a file takes so many rows that chance evens out their sizes, else by running
     bytes (``_splitters``), which are written to ``splitters_uri``; ``weigh_all`` asks for the latter throughout.
 
@@ -247,10 +259,11 @@ def distribute(
 
     wanted = T.StructType([df.schema[c] for c in exported])
     projected = [*compat_columns(wanted), base_path_key(df.schema, keys).alias("path_key")]
-    if renamed != 0 or split != 0:
+    placed = single_file and (split != 0 or own_task is not None)
+    if renamed != 0 or placed:
         projected.append(key_struct(keys))
-    if split != 0:
-        projected.append(F.col(_ROW))
+    if placed:
+        projected.append(F.col(_ROW) if split != 0 else F.lit(0).cast("bigint").alias(_ROW))
     rows = rows.select(*projected)
 
     # both lookups hold exceptions only: colliding names, and partitions beyond the size
@@ -258,8 +271,8 @@ def distribute(
     if renamed != 0:
         names = plan.filter("path_key <> base_key").select("part_key", F.col("path_key").alias("__name"))
         rows = rows.join(names, "part_key", "left").withColumn("path_key", F.coalesce("__name", "path_key"))
-    if split != 0:
-        rows = _deal_out(rows, plan, exported, splitters_uri, weigh_all)
+    if placed:
+        rows = _deal_out(rows, plan, exported, splitters_uri, weigh_all, own_task, tasks)
     elif single_file:
         rows = rows.repartition("path_key")
     else:
@@ -289,33 +302,44 @@ def _grain() -> Column:
 
 
 def _deal_out(
-    rows: DataFrame, plan: DataFrame, exported: Sequence[str], splitters_uri: str | None, weigh_all: bool
+    rows: DataFrame,
+    plan: DataFrame,
+    exported: Sequence[str],
+    splitters_uri: str | None,
+    weigh_all: bool,
+    own_task: int | None,
+    tasks: int | None,
 ) -> DataFrame:
-    """One task per folder, but one task per planned file for a partition of several files.
+    """One task per planned file of a partition that is large or has several files; the rest share tasks by hash.
 
-    Each of those files has a task of its own: hashing partition and file number
-    together would now and then bring two files into one task, and so into one file.
+    Hashing partition and file number together would now and then bring two large files into one task.
     """
-    several = plan.filter("file_count > 1")
+    several = F.col("file_count") > 1
+    apart = several if own_task is None else several | (F.col("input_bytes") >= own_task)
+    facts = plan.agg(
+        F.count_if(~apart).alias("small"), F.sum(F.when(apart, F.col("file_count"))).alias("files"),
+        F.count_if(several & (F.lit(weigh_all) | (F.col("total_rows") < F.col("file_count") * _EVEN_ROWS))).alias("weighed"),
+    ).first()
     before = Window.orderBy("part_key").rowsBetween(Window.unboundedPreceding, -1)
-    # at most table size / size cap rows, so one task may add them up
-    offsets = several.select(
+    # a bounded number of large partitions and at most table size / size cap files, so one task may add them up
+    offsets = plan.filter(apart).select(
         "part_key", "file_count", F.coalesce(F.sum("file_count").over(before), F.lit(0)).alias(_FIRST)
     )
-    weighed = several if weigh_all else several.filter(F.col("total_rows") < F.col("file_count") * _EVEN_ROWS)
-    facts = several.agg(F.sum("file_count").alias("files")).first()
-    shared = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # those of several files through which chance does not spread bytes evenly
+    uneven = plan.filter(several) if weigh_all else plan.filter(several & (F.col("total_rows") < F.col("file_count") * _EVEN_ROWS))
+    tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = min(tasks, facts.small)
     joined = rows.join(offsets, "part_key", "left").withColumn(_GRAIN, _grain())
     file = F.pmod(F.col(_ROW), F.col("file_count"))
-    if not weighed.isEmpty():
-        splitters = _splitters(rows, weighed.select("part_key", "file_count"), exported)
+    if facts.weighed:
+        splitters = _splitters(rows, uneven.select("part_key", "file_count"), exported)
         if splitters_uri:
             splitters = materialize(splitters, splitters_uri)
         joined = joined.join(splitters, ["part_key", _GRAIN], "left")
         file = F.coalesce(_FILE, file)
-    own_task = F.lit(shared) + F.col(_FIRST) + file
-    task = F.when(F.col(_FIRST).isNotNull(), own_task).otherwise(F.pmod(F.xxhash64("path_key"), F.lit(shared)))
-    return joined.repartitionById(shared + int(facts.files or 0), task.cast("int"))
+    own = F.lit(shared) + F.col(_FIRST) + file
+    task = F.when(F.col(_FIRST).isNotNull(), own).otherwise(F.pmod(F.xxhash64("path_key"), F.lit(max(1, shared))))
+    return joined.repartitionById(max(1, shared + int(facts.files or 0)), task.cast("int"))
 
 
 def write_partitions(rows: DataFrame, stage_uri: str, max_records_per_file: int) -> None:
@@ -441,6 +465,7 @@ def export_pending(
         F.max(F.when(F.col("file_count") == 1, F.col("total_rows"))).alias("longest"),
         F.count_if(F.col("path_key") != F.col("base_key")).alias("renamed"),
         F.count_if(F.col("file_count") > 1).alias("split"),
+        F.sum("input_bytes").alias("bytes"),
     ).first()
     run.total = facts.n
     if not facts.n:
@@ -452,9 +477,15 @@ def export_pending(
         max_records = max(max_records, facts.longest or 1)
     # the source is a snapshot: when every profiled key is open, no filter is needed
     restricted = facts.filled < profiled
-    shape = {"renamed": facts.renamed, "split": facts.split}
     waves = wave_ranges(facts.n, wave_size)
     waved = len(waves) > 1
+    # tasks by what there is to write; a partition of half a task's share or more is not put with others by chance
+    share = (facts.bytes or 0) // len(waves)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-share // _TASK_BYTES))
+    large = plan.filter(F.col("input_bytes") >= max(1, share // (2 * tasks))).limit(2).count() if single_file else 0
+    own_task = max(1, share // (2 * tasks)) if large > 1 else None
+    shape = {"renamed": facts.renamed, "split": facts.split, "own_task": own_task, "tasks": tasks}
+
 
     def export_range(
         lo: int, hi: int, part: DataFrame, done: list[tuple[int, int]], bad: list[tuple[int, int, str]], probed: bool = False

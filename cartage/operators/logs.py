@@ -8,6 +8,9 @@ dies meanwhile. The current state of a key is its row with the highest ``seq``.
 
 Every append claims its number by creating a file, so writers that meet keep each other's rows;
 runs on one stage still go one at a time. Readers are free.
+
+Every ``SNAPSHOT_EVERY`` appends the current state is written down beside them, so reading it takes that
+snapshot and the few appends since, however long the history. The history itself stays whole.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from pyspark.sql import types as T
 from cartage.functions.types import quoted
 from cartage.session import create_file, glob_paths, literal_path
 
+SNAPSHOT_EVERY = 24  # appends after which the current state is written down
+
 # States of partitions, files and runs.
 PARTITION_STATES = ("NOT_SELECTED", "PENDING", "IN_PROGRESS", "COMPLETED", "FAILED")
 FILE_STATES = ("PENDING", "IN_PROGRESS", "RETRYING_FULL_INGEST", "SUCCESS", "FAILED")
@@ -101,43 +106,95 @@ class StateLog:
         return f"{self._items}/generation={generation}/seq={seq}"
 
     def exists(self) -> bool:
-        return bool(self.commits())
+        return bool(self._latest())
 
     def refresh(self) -> None:
         """Look again for what other writers have appended."""
         self._commits = None
 
     def commits(self) -> list[tuple[int, int]]:
-        """``(generation, seq)`` of every complete append; a handful per run."""
+        """``(generation, seq)`` of every complete append, of earlier generations too."""
+        marks = glob_paths(self.spark, f"{literal_path(self._items)}/generation=*/seq=*/_SUCCESS")
+        found = [re.search(r"/generation=(\d+)/seq=(\d+)/_SUCCESS$", m) for m in marks]
+        return sorted((int(m[1]), int(m[2])) for m in found)
+
+    def _latest(self) -> list[tuple[int, int]]:
+        """The appends of the current generation, the last one that has any; earlier ones are not listed."""
         if self._commits is None:
-            marks = glob_paths(self.spark, f"{literal_path(self._items)}/generation=*/seq=*/_SUCCESS")
-            found = [re.search(r"/generation=(\d+)/seq=(\d+)/_SUCCESS$", m) for m in marks]
-            self._commits = sorted((int(m[1]), int(m[2])) for m in found)
+            self._commits = []
+            folders = [re.search(r"/generation=(\d+)$", f) for f in glob_paths(self.spark, f"{literal_path(self._items)}/generation=*")]
+            for generation in sorted((int(f[1]) for f in folders if f), reverse=True):
+                marks = glob_paths(self.spark, f"{literal_path(self._items)}/generation={generation}/seq=*/_SUCCESS")
+                if marks:
+                    self._commits = sorted((generation, int(re.search(r"/seq=(\d+)/_SUCCESS$", m)[1])) for m in marks)
+                    break
         return self._commits
 
     def _generation(self) -> int:
-        return max((g for g, _ in self.commits()), default=0)
+        return max((g for g, _ in self._latest()), default=0)
 
-    def history(self) -> DataFrame:
-        """Every row of the current generation, with the ``seq`` and event of its append."""
-        generation = self._generation()
-        folders = [self._folder(g, s) for g, s in self.commits() if g == generation]
+    def _current_seqs(self) -> list[int]:
+        return [s for _, s in self._latest()]
+
+    def _read(self, folders: list[str], base: str | None = None) -> DataFrame:
         schema = T.StructType([*self.schema, *ddl_schema("event string, at timestamp, seq bigint")])
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return (
-            self.spark.read.schema(schema)
-            .option("basePath", f"{self._items}/generation={generation}")
-            .parquet(*[literal_path(f) for f in folders])
-            .select(*schema.names)
-        )
+        reader = self.spark.read.schema(schema)
+        if base:
+            reader = reader.option("basePath", base)
+        return reader.parquet(*[literal_path(f) for f in folders]).select(*schema.names)
+
+    def history(self, seqs: Sequence[int] | None = None) -> DataFrame:
+        """Every row of the current generation, or of some of its appends, with the ``seq`` and event of its append."""
+        generation = self._generation()
+        folders = [self._folder(generation, s) for s in (self._current_seqs() if seqs is None else seqs)]
+        return self._read(folders, f"{self._items}/generation={generation}")
+
+    def _snapshot(self) -> tuple[str, int, set[int]] | None:
+        """The newest complete snapshot of the generation: its folder, the last append it covers, and the
+        numbers up to that one which had no complete append when it was written.
+        """
+        pattern = f"{literal_path(self.uri)}/snapshots/generation-{self._generation()}-upto-*/_SUCCESS"
+        found = []
+        for mark in glob_paths(self.spark, pattern):
+            name = re.search(r"/generation-\d+-upto-(\d+)-without-([\d_]*)/_SUCCESS$", mark)
+            found.append((int(name[1]), {int(x) for x in name[2].split("_") if x}, mark.rsplit("/", 1)[0]))
+        if not found:
+            return None
+        last, without, folder = max(found, key=lambda f: (f[0], -len(f[1])))
+        return folder, last, without
+
+    def _uncovered(self, snapshot: tuple[str, int, set[int]] | None) -> list[int]:
+        if snapshot is None:
+            return self._current_seqs()
+        _, last, without = snapshot
+        return [s for s in self._current_seqs() if s > last or s in without]
 
     def current(self) -> DataFrame:
-        return fold(self.history(), self.keys)
+        """The latest row of every key: from the last snapshot and the appends it does not cover."""
+        snapshot = self._snapshot()
+        if snapshot is None:
+            return fold(self.history(), self.keys)
+        rows = self._read([snapshot[0]])
+        late = self._uncovered(snapshot)
+        return fold(rows.unionByName(self.history(late)) if late else rows, self.keys)
+
+    def write_snapshot(self) -> None:
+        """Write the current state down. An append that ends later under a lower number is still read on its own."""
+        self.refresh()
+        seqs = self._current_seqs()
+        if not seqs:
+            return
+        without = sorted(set(range(min(seqs), max(seqs))) - set(seqs))
+        name = f"generation-{self._generation()}-upto-{max(seqs)}-without-{'_'.join(map(str, without))}"
+        self.current().write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(
+            f"{self.uri}/snapshots/{name}"
+        )
 
     def append(self, rows: DataFrame, event: str = "", generation: int | None = None) -> int:
         """Add state rows; they become visible together when the write job is done."""
-        known = self.commits()
+        known = self._latest()
         generation = self._generation() if generation is None else generation
         seq = max((s for _, s in known), default=0) + 1
         while not create_file(self.spark, f"{self.uri}/claims/{seq}"):
@@ -154,7 +211,11 @@ class StateLog:
             .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
             .parquet(self._folder(generation, seq))
         )
+        if known and known[0][0] != generation:
+            known.clear()
         known.append((generation, seq))
+        if len(known) % SNAPSHOT_EVERY == 0:
+            self.write_snapshot()
         return seq
 
     def transition(self, rows: DataFrame, event: str = "", **changes: Column) -> int:
@@ -165,7 +226,7 @@ class StateLog:
 
     def start_fresh(self) -> None:
         """Begin a new generation: earlier rows stay on disk but no longer count."""
-        if self.commits():
+        if self._latest():
             self.append(self.spark.createDataFrame([], self.schema), "fresh", self._generation() + 1)
 
     def compact(self) -> None:
@@ -210,8 +271,11 @@ def failed_as_pending(state: DataFrame) -> DataFrame:
 
 def selected_as_pending(state: DataFrame, selection: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The selected items as PENDING, their retry count and error reset."""
-    chosen = state.join(selection, list(keys), "left_semi")
-    return chosen.withColumns(
+    return as_pending(state.join(selection, list(keys), "left_semi"))
+
+
+def as_pending(items: DataFrame) -> DataFrame:
+    return items.withColumns(
         {
             "status": F.lit("PENDING"),
             "retry_count": F.lit(0),

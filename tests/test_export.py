@@ -1,6 +1,7 @@
 """Profiles, plans, logs and the export job."""
 
 import datetime as dt
+import os
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
@@ -567,6 +568,57 @@ def test_a_wide_key_is_weighed_before_the_first_write(spark, folder, monkeypatch
     assert len(written) == 1 and state[True]["file_count"] > 1 and state[False]["file_count"] == 1
 
 
+def test_large_partitions_do_not_share_a_task(spark, folder, monkeypatch):
+    """Partitions of like size, more than there are shuffle partitions: each is written by a task of its own."""
+    spark.range(0, 60_000, 1, 4).select((F.col("id") % 7).cast("int").alias("k"), wide(F.col("id"), 1).alias("v")).write.parquet(f"{folder}/t")
+    placed, inner = [], export_module.write_partitions
+
+    def seen(rows, *rest):
+        tasks = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("path_key").alias("keys"))
+        placed.extend(r["keys"] for r in tasks.collect())
+        inner(rows, *rest)
+
+    monkeypatch.setattr(export_module, "write_partitions", seen)
+    run = export_table(spark.read.parquet(f"{folder}/t"), ["k"], f"{folder}/stage", log_uri=f"{folder}/log")
+    assert placed == [1] * 7 and run.completed == 7
+    assert {r["file_count"] for r in run.log.current().collect()} == {1}
+
+
+def test_snapshots_shorten_what_is_read(spark, folder, monkeypatch):
+    """The state comes from the last snapshot and the appends since; one that ends late is not lost, the history stays."""
+    from cartage.operators import logs
+
+    monkeypatch.setattr(logs, "SNAPSHOT_EVERY", 5)
+    df = spark.range(3).withColumn("k", F.col("id").cast("int"))
+    log = export_module.open_partition_log(spark, f"{folder}/log", df, ["k"])
+
+    def row(k, status):
+        given = spark.range(1).select(F.struct(F.lit(k).alias("k")).alias("part_key"), F.lit(status).alias("status"))
+        return given.select("*", *[F.lit(None).alias(f.name) for f in log.schema if f.name not in given.columns])
+
+    def state(of):
+        return {r["part_key"]["k"]: r["status"] for r in of.current().collect()}
+
+    log.append(row(0, "PENDING"))
+    log.append(row(1, "PENDING"))
+    late = export_module.open_partition_log(spark, f"{folder}/log", df, ["k"])
+    claimed = f"{folder}/log/partitions/claims/3"
+    os.makedirs(os.path.dirname(claimed), exist_ok=True)
+    open(claimed, "w").close()  # a writer takes number 3 and is slow
+    for step in range(4):
+        log.append(row(0, f"step {step}"))
+    assert state(log) == {0: "step 3", 1: "PENDING"} and log.history().count() == 6
+    other = export_module.open_partition_log(spark, f"{folder}/log", df, ["k"])
+    folder_, last, without = other._snapshot()
+    assert without == {3} and len(other._uncovered((folder_, last, without))) == 1
+    shaped = row(2, "FAILED").select(*[F.col(f.name).cast(f.dataType) for f in log.schema], F.lit("late").alias("event"), F.current_timestamp().alias("at"))
+    shaped.write.mode("overwrite").parquet(late._folder(late._generation(), 3))
+    other.refresh()
+    assert state(other) == {0: "step 3", 1: "PENDING", 2: "FAILED"}
+    other.start_fresh()
+    assert state(other) == {} and len(other._latest()) == 1 and len({g for g, _ in other.commits()}) == 2
+
+
 def test_writers_that_meet_keep_each_others_rows(spark, folder):
     df = spark.range(2).withColumn("k", F.col("id").cast("int"))
     one, other = (export_module.open_partition_log(spark, f"{folder}/log", df, ["k"]) for _ in range(2))
