@@ -29,21 +29,16 @@ SHINGLE_COMPONENTS = f"""
     groups AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
 """
 
-_SEED = "concat_ws(' ', w[i+{0}], w[i+{0}+1], w[i+{1}], w[i+{1}+1], w[i+{2}], w[i+{2}+1], '{3}')"
-SEEDS = ", ".join(_SEED.format(*(o + 1 for o in offsets), number) for number, offsets in enumerate(((0, 3, 6), (0, 2, 6))))
-
+# every line on which enough words are equal, without seeds
 CONTAMINATIONS = f"""
     doc_words AS (SELECT doc_id, {WORDS} AS w FROM {{docs}}),
     item_words AS (SELECT item_id, {WORDS} AS w FROM benchmark),
-    doc_seeds AS (
-        SELECT doc_id, i, unnest([{SEEDS}]) AS seed
-        FROM (SELECT doc_id, w, unnest(range(0, len(w) - 7)) AS i FROM doc_words)
-    ),
-    item_seeds AS (
-        SELECT item_id, i, unnest([{SEEDS}]) AS seed
-        FROM (SELECT item_id, w, unnest(range(0, len(w) - 7)) AS i FROM item_words)
+    doc_tokens AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM doc_words),
+    item_tokens AS (SELECT item_id, least(20, len(w)) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM item_words),
+    lines AS (
+        SELECT doc_id, item_id, d.i - m.i AS line FROM doc_tokens d JOIN item_tokens m USING (word)
+        GROUP BY doc_id, item_id, d.i - m.i, n HAVING count(*) >= 0.75 * n
     ),
-    lines AS (SELECT DISTINCT doc_id, item_id, d.i - m.i AS line FROM doc_seeds d JOIN item_seeds m USING (seed)),
     compared AS (
         SELECT doc_id, item_id, least(20, len(m.w)) AS n_window, list_transform(
             range(1, len(m.w) + 1),
