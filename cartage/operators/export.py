@@ -53,6 +53,7 @@ _EVEN_ROWS = 100_000  # rows per file from which on dealing by hash splits bytes
 _PROBES = 8  # reads at a time while failing partitions are told apart
 _NAMED = 64  # partitions that a read names as literals, so that the scan can skip others
 _TASK_BYTES = 1 << 30  # what a task writes, about
+_OWN_BYTES = 1 << 26  # below this two partitions in one task are no loss
 _REWRITES = 4  # of partitions found beyond the size cap, with more files each time
 _ROW = "__row"
 _FIRST = "__first_task"
@@ -465,14 +466,14 @@ def export_pending(
         F.max(F.when(F.col("file_count") == 1, F.col("total_rows"))).alias("longest"),
         F.count_if(F.col("path_key") != F.col("base_key")).alias("renamed"),
         F.count_if(F.col("file_count") > 1).alias("split"),
-        F.sum("input_bytes").alias("bytes"),
+        F.sum("input_bytes").alias("bytes"), F.max("input_bytes").alias("heaviest"),
     ).first()
     run.total = facts.n
     if not facts.n:
         return run
     # the cap in rows holds for the partition with the widest rows, but
     # must not cut a partition that was found to fit into its single file
-    max_records = rows_per_file(facts.widest or 1.0, max_file_size)
+    max_records = rows_per_file(facts.widest or 1.0, max_file_size if single_file else int(max_file_size * _HEADROOM))
     if single_file:
         max_records = max(max_records, facts.longest or 1)
     # the source is a snapshot: when every profiled key is open, no filter is needed
@@ -482,8 +483,9 @@ def export_pending(
     # tasks by what there is to write; a partition of half a task's share or more is not put with others by chance
     share = (facts.bytes or 0) // len(waves)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-share // _TASK_BYTES))
-    large = plan.filter(F.col("input_bytes") >= max(1, share // (2 * tasks))).limit(2).count() if single_file else 0
-    own_task = max(1, share // (2 * tasks)) if large > 1 else None
+    own_task = max(_OWN_BYTES, share // (2 * tasks))
+    if not single_file or (facts.heaviest or 0) < own_task or len(plan.filter(F.col("input_bytes") >= own_task).take(2)) < 2:
+        own_task = None
     shape = {"renamed": facts.renamed, "split": facts.split, "own_task": own_task, "tasks": tasks}
 
 
@@ -621,16 +623,19 @@ def export_pending(
         ))
         settled = settled.withColumn("problem", F.coalesce("failure", "unreadable", missing, too_large))
         settled = materialize(settled, f"{log.uri}/plans/{task_id}-settled-{lo}")
-        # the files that are replaced go, and those of partitions that failed; an emptied partition is replaced by nothing
-        outdated = files.join(settled.filter("problem is not null").select("path_key"), "path_key", "left_semi")
-        if replaced is not None:
-            sound = settled.filter("problem is null").select("path_key")
-            outdated = outdated.unionByName(replaced.join(sound, "path_key", "left_semi"))
-        gone = materialize(remove_files(outdated.select("path"), confirm=True), f"{log.uri}/plans/{task_id}-removed-{lo}")
-        stuck = gone.filter("problem is not null").select(
-            F.regexp_extract("path", "/path_key=([^/]*)/", 1).alias("path_key"), F.col("problem").alias("stale")
-        ).groupBy("path_key").agg(F.first("stale").alias("stale"))
-        settled = settled.join(stuck, "path_key", "left").withColumn("problem", F.coalesce("problem", "stale"))
+        outcome = _outcome(settled)
+        if outcome.bad or replaced is not None:
+            # the files that are replaced go, and those of partitions that failed; an emptied partition is replaced by nothing
+            outdated = files.join(settled.filter("problem is not null").select("path_key"), "path_key", "left_semi")
+            if replaced is not None:
+                sound = settled.filter("problem is null").select("path_key")
+                outdated = outdated.unionByName(replaced.join(sound, "path_key", "left_semi"))
+            gone = materialize(remove_files(outdated.select("path"), confirm=True), f"{log.uri}/plans/{task_id}-removed-{lo}")
+            stuck = gone.filter("problem is not null").select(
+                F.regexp_extract("path", "/path_key=([^/]*)/", 1).alias("path_key"), F.col("problem").alias("stale")
+            ).groupBy("path_key").agg(F.first("stale").alias("stale"))
+            settled = settled.join(stuck, "path_key", "left").withColumn("problem", F.coalesce("problem", "stale"))
+            outcome = _outcome(settled)
         ok = F.col("problem").isNull()
         written = ok & (F.col("total_rows") > 0)
         nothing = F.lit(0).cast("bigint")
@@ -649,9 +654,6 @@ def export_pending(
             generation=F.when(ok, F.lit(task_id)).otherwise(F.col("generation")),
             staged_files=F.when(written, F.col("names")).when(ok, F.array()).otherwise(F.col("staged_files")),
         )
-        outcome = settled.agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(F.col("problem").isNotNull()).alias("bad")
-        ).first()
         run.errors += [text for _, _, text in bad]
         run.failed += outcome.bad
         run.completed += outcome.n - outcome.bad
@@ -736,6 +738,10 @@ def exported_folders(spark: SparkSession, stage_uri: str) -> DataFrame | None:
     )
 
 
+def _outcome(settled: DataFrame):
+    return settled.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("problem").isNotNull()).alias("bad")).first()
+
+
 def _begun() -> Column:
     """Whether an earlier run started the partition and never settled it."""
     return F.col("started_at").isNotNull() & F.col("ended_at").isNull()

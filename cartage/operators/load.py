@@ -484,16 +484,19 @@ def import_files(
     began = datetime.now(timezone.utc)
     facts |= {"created_at": began, "started_at": began}
 
+    def tally() -> int:
+        """Count what has become of the run's files; returns how many files of any run wait to replace others."""
+        mine, done = F.col("task_id") == task_id, F.col("status").isin("SUCCESS", LOADED)
+        counts = log.current().agg(
+            F.count_if(mine & done).alias("done"),
+            F.count_if(mine & (F.col("status") == "FAILED")).alias("failed"),
+            F.count_if(mine & done & (F.col("load_mode_used") != load_mode)).alias("fell_back"),
+            F.count_if(F.col("status") == LOADED).alias("waiting"),
+        ).first()
+        run.completed, run.failed, run.fell_back = counts.done, counts.failed, counts.fell_back
+        return counts.waiting
+
     def report(status: str) -> None:
-        """What has become of the run's files so far, to the registry."""
-        if run.total:
-            done = F.col("status").isin("SUCCESS", LOADED)
-            counts = log.current().filter(F.col("task_id") == task_id).agg(
-                F.count_if(done).alias("done"),
-                F.count_if(F.col("status") == "FAILED").alias("failed"),
-                F.count_if(done & (F.col("load_mode_used") != load_mode)).alias("fell_back"),
-            ).first()
-            run.completed, run.failed, run.fell_back = counts.done, counts.failed, counts.fell_back
         record_run(
             runs, task_id, "IMPORT", status, total_items=run.total, completed_items=run.completed,
             failed_items=run.failed, fallback_items=run.fell_back, replaced_items=run.replaced, **facts,
@@ -524,8 +527,11 @@ def import_files(
                 wave = plan.filter((F.col("slot") >= lo) & (F.col("slot") < hi)) if len(ranges) > 1 else plan
                 import_wave(wave.drop("slot"), target, log, load_mode, f"{task_id}-{number}")
                 if number + 1 < len(ranges):
+                    tally()
                     report("RUNNING")
-        if exported is not None:
+        waiting = tally()
+        # an export whose partition has become empty replaces rows with no file at all
+        if exported is not None and (waiting or exported.filter("size(staged_files) = 0").take(1)):
             run.replaced = publish_replacements(log, stage_uri, exported, f"{log.uri}/plans/{task_id}-swapped")
     except Exception as problem:
         record_run(runs, task_id, "IMPORT", "FAILED", error_message=str(problem)[:ERROR_LIMIT], **facts)

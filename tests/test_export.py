@@ -579,6 +579,7 @@ def test_large_partitions_do_not_share_a_task(spark, folder, monkeypatch):
         inner(rows, *rest)
 
     monkeypatch.setattr(export_module, "write_partitions", seen)
+    monkeypatch.setattr(export_module, "_OWN_BYTES", 1000)
     run = export_table(spark.read.parquet(f"{folder}/t"), ["k"], f"{folder}/stage", log_uri=f"{folder}/log")
     assert placed == [1] * 7 and run.completed == 7
     assert {r["file_count"] for r in run.log.current().collect()} == {1}
