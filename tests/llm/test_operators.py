@@ -655,6 +655,31 @@ def test_pipeline_stages_do_what_they_say(spark, sf_dir, tmp_path):
             assert len(ids) == len(rows)
 
 
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_clashing_columns_repeats_and_nothing(spark, sf_dir, name):
+    """Columns named like the operators' own, repeated and null ids, null fields, and no rows at all."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = table(spark, sf_dir, "documents").where("doc_id < 60")
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, "the text of a row", None, None, 3), (3, "", "en", "s", 0)], docs.schema)
+    docs = docs.unionByName(odd).unionByName(docs.where("doc_id < 20")).unionByName(docs.where("doc_id = 7"))
+    clashing = ("score", "lang_pred", "component_id", "kept", "component", "rep", "n_tokens", "row", "path", "spans", "item_id", "count")
+    for column in clashing:
+        docs = docs.withColumn(column, F.lit("clash"))
+    out = stage(spark, docs, sf_dir)
+    if name != "bpe":
+        assert out.columns == docs.columns
+        assert {r[0] for r in out.select("score").distinct().collect()} == {"clash"}
+    assert 0 < out.count() <= docs.count()
+    assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_first_row_of_a_repeated_id_stays(spark, sf_dir):
+    rows = [(1, "b c d e f g", "en", "s", 1), (1, "a c d e f h", None, "s", 1), (1, "a c d e f h", None, "s", 1), (2, "x", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.keep_first_copies(spark, docs, sf_dir).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, "a c d e f h"), (2, "x")]
+
+
 def test_wrong_types_are_not_hidden(spark):
     kind = T.StructType([T.StructField("doc_id", T.IntegerType()), T.StructField("text", T.StringType())])
     out = secrets.secret_spans(spark.createDataFrame([(1, "x")], kind))
