@@ -6,9 +6,10 @@ Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet and
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartage.functions.types import quoted
 from cartage.llm.bpe import bpe_digests
 from cartage.llm.langid import identified
 from cartage.llm.minhash import near_duplicates
@@ -32,7 +33,8 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates; of rows that repeat an id, one stays.
 
-    Only ids move for the decision; the documents join it by hash of their id. Rows without an id stay.
+    Only ids move for the decision; the documents join it by hash of their id. Rows without an id stay, and so do
+    texts without words; an empty table gives an empty result.
     """
     groups = materialize(near_duplicates(docs), scratch(spark, "kept-copies"))
     dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
@@ -41,24 +43,36 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rest = docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(docs.columns)
     if repeated.isEmpty():
         return rest
-    # rows that share an id are one document, whose first text in order stays
-    order = Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"])
-    several = rest.join(repeated, "doc_id", "left_semi").withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
-    return rest.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(several.select(docs.columns))
+    # rows that share an id are one document, whose first row in order stays; combined per task, however many there are
+    columns = [F.col(quoted(c)) for c in docs.columns if c != "doc_id"]
+    firsts = rest.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("row"))
+    several = firsts.select("doc_id", "row.*")
+    return rest.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(several)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark.
+
+    Null and empty texts hold none, rows without an id stay, rows that repeat each other go or stay together; an
+    empty table, or an empty benchmark, changes nothing.
+    """
     return decontaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced by a mask."""
+    """All documents, secrets in their texts replaced by a mask, ``n_chars`` told anew where that happened.
+
+    Null and empty texts pass as they are, repeated rows are masked alike; an empty table gives an empty result.
+    """
     return without_secrets(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded texts."""
+    """Token counts and digests of ids and decoded texts, a row per document.
+
+    A null text is encoded as the empty one, null ids pass, repeated rows give equal rows; an empty table gives an
+    empty result.
+    """
     return bpe_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
