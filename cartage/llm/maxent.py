@@ -185,6 +185,13 @@ def _logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def _class_logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """The same where the first feature is the bias of every example, row 0."""
+    out = _logits(weights, features[:, 1:])
+    out += weights[0]
+    return out
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
     chances = np.exp(logits - logits.max(axis=1, keepdims=True))
     chances /= chances.sum(axis=1, keepdims=True)
@@ -219,8 +226,18 @@ def _scatter(weights: np.ndarray, seen: np.ndarray, features: np.ndarray, gradie
     for row in np.flatnonzero(sizes > 8):
         summed[row] += np.take(gradient, at[first[row] + 8 : first[row] + sizes[row]], axis=0).sum(axis=0)
     rows = rows[first]
-    seen[rows] += (summed * summed).mean(axis=1)
-    weights[rows] -= RATE * summed / np.sqrt(seen[rows] + 1.0)[:, None]
+    squares = seen[rows] + np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
+    seen[rows] = squares
+    summed *= (RATE / np.sqrt(squares + 1.0)).astype(np.float32)[:, None]
+    weights[rows] -= summed
+
+
+def _scatter_classes(weights: np.ndarray, seen: np.ndarray, features: np.ndarray, gradient: np.ndarray) -> None:
+    """The same where the first feature is the bias of every example: its row takes the sum of all at once."""
+    _scatter(weights, seen, features[:, 1:], gradient)
+    summed = gradient.sum(axis=0)
+    seen[0] += (summed * summed).mean()
+    weights[0] -= RATE * summed / np.sqrt(seen[0] + 1.0)
 
 
 def _learn(vocabulary: Vocabulary, weights: tuple[np.ndarray, np.ndarray]):
@@ -235,9 +252,9 @@ def _learn(vocabulary: Vocabulary, weights: tuple[np.ndarray, np.ndarray]):
                 steps += 1
                 kind, place, features = (x[at : at + BATCH] for x in (kinds, places, all_features))
                 n = len(kind)
-                error = _softmax(_logits(first, features))
+                error = _softmax(_class_logits(first, features))
                 error[np.arange(n), kind] -= 1
-                _scatter(first, seen, features, error)
+                _scatter_classes(first, seen, features, error)
                 named = np.flatnonzero(place >= 0)
                 if len(named):
                     rows = all_features_2[at + named] * WORD_CLASSES + kind[named][:, None]
@@ -313,7 +330,7 @@ def _score_batches(vocabulary: Vocabulary, weights: tuple[np.ndarray, np.ndarray
                 score = np.empty(total)
                 for at in range(0, total, 4096):
                     here = slice(at, min(total, at + 4096))
-                    score[here] = _log_chance(_logits(first, features[here]), kind[here]) / ten
+                    score[here] = _log_chance(_class_logits(first, features[here]), kind[here]) / ten
                 named = np.flatnonzero(place >= 0)
                 for at in range(0, len(named), 4096):
                     here = named[at : at + 4096]
