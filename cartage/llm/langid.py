@@ -33,6 +33,7 @@ _LETTER = regex.compile(r"\p{L}")
 _NOT_LETTERS = np.zeros(256, bool)
 _NOT_LETTERS[[i for i in range(128) if not chr(i).isalpha()]] = True
 _HASH = np.uint32(2654435761)
+_BUCKET = np.uint16  # holds a bucket's number
 
 
 def subwords(text: str | None) -> np.ndarray:
@@ -90,7 +91,7 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for text in batch.column("text"):
             dense = bucket_counts(text.as_py())
             at = np.flatnonzero(dense)
-            buckets.append(at.astype(np.int32).tobytes())
+            buckets.append(at.astype(_BUCKET).tobytes())
             counts.append(dense[at].astype(np.int32).tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column("lang"), batch.column("part"), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())],
@@ -149,7 +150,7 @@ def fit_languages(found: list[tuple[str, int, np.ndarray, np.ndarray]]) -> Langu
     Languages that have calibrating rows only train with those.
     """
     languages = sorted({lang for lang, *_ in found})
-    rows = [(at, counts / counts.sum()) for _, _, at, counts in found]
+    rows = [(at, (counts / counts.sum()).astype(np.float32)) for _, _, at, counts in found]
     wanted = np.array([languages.index(lang) for lang, *_ in found], int)
     parts = np.array([part for _, part, *_ in found], int)
     trained = np.isin(wanted, wanted[parts > 0])
@@ -187,13 +188,14 @@ def train_languages(docs: DataFrame, sample: int = SAMPLE, total: int = TOTAL) -
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(5))
     drawn = labelled.join(sizes, "lang").where(draw * F.col("held") < most).withColumn("part", part)
-    found = drawn.select("lang", "part", "text").mapInArrow(
+    names = ["lang", "part", "buckets", "counts"]
+    table = drawn.select("lang", "part", "text").mapInArrow(
         _feature_batches, "lang string, part long, buckets binary, counts binary"
-    ).collect()
-    found.sort(key=lambda r: (r["lang"], r["part"], bytes(r["buckets"]), bytes(r["counts"])))
+    ).toArrow()
+    found = sorted(zip(*(table.column(n).to_pylist() for n in names), strict=True))
+    del table  # the driver holds the features once
     return fit_languages([
-        (r["lang"], r["part"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32))
-        for r in found if len(r["buckets"])
+        (lang, part, np.frombuffer(at, _BUCKET), np.frombuffer(counts, np.int32)) for lang, part, at, counts in found if len(at)
     ])
 
 
