@@ -31,6 +31,7 @@ PER_LEARNER = 500_000  # examples that a learner has in a round at least, about
 FANIN = 32  # changes that one task adds up; those of more learners are added in a tree
 BATCH, RATE = 2048, 0.3
 BLOCKS = 16
+ONE_BY_ONE = 8  # how often a weight row is named in a batch before the rest of its changes is added per row
 
 _U = np.uint64
 _BEGIN = _U(0x5EED5EED5EED5EED)
@@ -162,9 +163,14 @@ def _tokens(raw: list[bytes], vocabulary: Vocabulary):
     one, two, three = back(1), back(2), back(3)
     # bucket 0 is the bias
     hashed = [mix(one + _SALT[0]), mix(two + _SALT[1]), mix(three + _SALT[2]), mix(one * _SALT[3] + two)]
-    features = np.stack([np.zeros(total, np.uint64), *[h % _U(BUCKETS - 1) + _U(1) for h in hashed]], axis=1).astype(np.int64)
-    features_2 = np.stack([np.zeros(total, np.uint64), *[mix(h) % _U(BUCKETS_2 - 1) + _U(1) for h in hashed[:2]]], axis=1).astype(np.int64)
-    return hashes, kind, place, found, text, nth, features, features_2
+    # a column's values lie side by side, as takes and sorts want them
+    features = np.zeros((5, total), np.int64)
+    features_2 = np.zeros((3, total), np.int64)
+    for column, h in enumerate(hashed, 1):
+        features[column] = h % _U(BUCKETS - 1) + _U(1)
+    for column, h in enumerate(hashed[:2], 1):
+        features_2[column] = mix(h) % _U(BUCKETS_2 - 1) + _U(1)
+    return hashes, kind, place, found, text, nth, features.T, features_2.T
 
 
 def _examples(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -174,7 +180,7 @@ def _examples(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iter
             hashes, kind, place, _, _, nth, features, features_2 = _tokens(raw, vocabulary)
             draw = mix(hashes * _SALT[4] + features[:, 4].astype(np.uint64) + nth.astype(np.uint64) * _SALT[5])
             order = np.argsort(draw)
-            yield kind[order], place[order], features[order], features_2[order]
+            yield kind[order], place[order], np.take(features.T, order, axis=1).T, np.take(features_2.T, order, axis=1).T
 
 
 def _logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -192,16 +198,29 @@ def _class_logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     return out
 
 
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """Per row the exponentials, their sum, and what was taken off first: its maximum, or nothing where no row needs it."""
+    ones = np.ones(logits.shape[1], logits.dtype)
+    with np.errstate(over="ignore"):
+        chances = np.exp(logits)
+        sums = chances @ ones
+    if sums.min(initial=1) > 1e-20 and sums.max(initial=1) < 1e20:
+        return chances, sums, 0.0
+    top = logits.max(axis=1)
+    chances = np.exp(logits - top[:, None])
+    return chances, chances @ ones, top
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    chances = np.exp(logits - logits.max(axis=1, keepdims=True))
-    chances /= chances.sum(axis=1, keepdims=True)
+    chances, sums, _ = _exponentials(logits)
+    chances *= (1 / sums)[:, None]
     return chances
 
 
 def _log_chance(logits: np.ndarray, of: np.ndarray) -> np.ndarray:
     """Per row of ``logits`` the log of the softmax at the place ``of`` names."""
-    top = logits.max(axis=1)
-    return logits[np.arange(len(of)), of] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+    _, sums, top = _exponentials(logits)
+    return logits[np.arange(len(of)), of] - top - np.log(sums)
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
@@ -212,30 +231,41 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
 def _scatter(weights: np.ndarray, seen: np.ndarray, features: np.ndarray, gradient: np.ndarray) -> None:
     """One AdaGrad step on the rows named by each example's features, repeated rows summed; ``seen`` holds a sum
     of squares per row."""
-    rows = features.T.ravel()
-    order = np.argsort(rows.astype(np.int16), kind="stable")  # all rows fit, and 16 bits are sorted by radix
-    rows = rows[order]
-    first = np.flatnonzero(np.diff(rows, prepend=-1))
-    sizes = np.diff(np.append(first, len(order)))
-    at = order % len(gradient)
-    # most rows are named a few times only: add what they have first, second... together, and the rest row by row
+    named = features.T.ravel().astype(np.int16)  # all rows fit, and 16 bits are sorted by radix
+    order = np.argsort(named, kind="stable")
+    named = named[order]
+    at = np.tile(np.arange(len(gradient)), features.shape[1])[order]
+    new = np.ones(len(named) + 1, bool)
+    np.not_equal(named[1:], named[:-1], out=new[1:-1])
+    bounds = np.flatnonzero(new)
+    first, sizes = bounds[:-1], bounds[1:] - bounds[:-1]
+    # rows named most often come first: those named more than n times are then a stretch at the front
+    level = np.minimum(sizes, ONE_BY_ONE + 1).astype(np.int8)
+    by = np.argsort(-level, kind="stable")
+    first, sizes = first[by], sizes[by]
+    rows = named[first].astype(np.int64)
+    more = len(rows) - np.cumsum(np.bincount(level, minlength=ONE_BY_ONE + 1))
+    # most rows are named a few times only: add what they have first, second... together, and what is left per row
     summed = np.take(gradient, at[first], axis=0)
-    for nth in range(1, 8):
-        more = np.flatnonzero(sizes > nth)
-        summed[more] += np.take(gradient, at[first[more] + nth], axis=0)
-    for row in np.flatnonzero(sizes > 8):
-        summed[row] += np.take(gradient, at[first[row] + 8 : first[row] + sizes[row]], axis=0).sum(axis=0)
-    rows = rows[first]
-    squares = seen[rows] + np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
+    for nth in range(1, ONE_BY_ONE):
+        if not more[nth]:
+            break
+        summed[: more[nth]] += np.take(gradient, at[first[: more[nth]] + nth], axis=0)
+    if often := more[ONE_BY_ONE]:
+        left = sizes[:often] - ONE_BY_ONE
+        begins = np.cumsum(left) - left
+        places = np.arange(left.sum()) + np.repeat(first[:often] + ONE_BY_ONE - begins, left)
+        summed[:often] += np.add.reduceat(np.take(gradient, at[places], axis=0), begins, axis=0)
+    squares = seen[rows] + (summed * summed) @ np.ones(summed.shape[1], summed.dtype) / summed.shape[1]
     seen[rows] = squares
     summed *= (RATE / np.sqrt(squares + 1.0)).astype(np.float32)[:, None]
-    weights[rows] -= summed
+    weights[rows] = np.take(weights, rows, axis=0) - summed
 
 
 def _scatter_classes(weights: np.ndarray, seen: np.ndarray, features: np.ndarray, gradient: np.ndarray) -> None:
     """The same where the first feature is the bias of every example: its row takes the sum of all at once."""
     _scatter(weights, seen, features[:, 1:], gradient)
-    summed = gradient.sum(axis=0)
+    summed = np.ones(len(gradient), gradient.dtype) @ gradient
     seen[0] += (summed * summed).mean()
     weights[0] -= RATE * summed / np.sqrt(seen[0] + 1.0)
 

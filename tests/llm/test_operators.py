@@ -398,6 +398,51 @@ def test_lm_learns_from_every_position(monkeypatch):
     assert sum(stepped) == vocabulary.total == sum(len(words(t)) + 1 for t in texts)
 
 
+def test_lm_steps_take_no_call_per_frequent_row():
+    """A step sums what each row is named for as a loop would, in a number of calls that frequent rows do not raise."""
+    import sys
+
+    rng = np.random.default_rng(4)
+    calls = {}
+    for hot in (5, 100):
+        features = rng.integers(400, maxent.BUCKETS, (2048, 4))
+        features[:, 0] = np.arange(2048) % hot
+        gradient = rng.normal(size=(2048, maxent.CLASSES)).astype(np.float32)
+        weights = rng.normal(size=(maxent.BUCKETS, maxent.CLASSES)).astype(np.float32)
+        seen = rng.random(maxent.BUCKETS)
+        summed = np.zeros(weights.shape)
+        for column in features.T:
+            np.add.at(summed, column, gradient)
+        squares = seen + (summed**2).mean(axis=1)
+        want = weights - maxent.RATE * summed / np.sqrt(squares + 1)[:, None]
+        count = [0]
+
+        def tick(frame, event, arg, count=count):
+            count[0] += event == "c_call"
+
+        sys.setprofile(tick)
+        try:
+            maxent._scatter(weights, seen, features, gradient)
+        finally:
+            sys.setprofile(None)
+        calls[hot] = count[0]
+        assert np.allclose(weights, want, atol=1e-4) and np.allclose(seen, squares, rtol=1e-4)
+    assert calls[100] < calls[5] + 20
+
+
+@pytest.mark.filterwarnings("error")
+def test_lm_chances_of_far_logits():
+    """Logits beyond the range of exponentials have the chances that shifted ones have."""
+    rng = np.random.default_rng(5)
+    for shift in (0, 200, -200, rng.normal(size=(50, 1)) * 100):
+        logits = (rng.normal(size=(50, 7)) * 30 + shift).astype(np.float32)
+        want = maxent._log_softmax(logits.astype(float))
+        of = rng.integers(0, 7, 50)
+        assert np.allclose(maxent._softmax(logits), np.exp(want), atol=1e-5)
+        assert np.allclose(maxent._log_chance(logits, of), want[np.arange(50), of], rtol=1e-5, atol=1e-4)
+    assert maxent._softmax(logits[:0]).shape == (0, 7) and len(maxent._log_chance(logits[:0], of[:0])) == 0
+
+
 def test_lm_changes_are_added_in_a_tree(spark, sf_dir, monkeypatch):
     """The weights are the same whether the learners' changes are added at once or in steps of two."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").repartition(7, "doc_id")
